@@ -124,6 +124,7 @@ TAIL = """(1 / (1 + 0.3275911e0 * z / sqrt(2e0)))"""
                       FROM (SELECT *, store_id <= 'S003' AND is_promo_week = 1 AS t, store_id > 'S003' AS c
                             FROM v_panel) GROUP BY ALL) WHERE tn >= 5 AND cn >= 5))""")
 def ab_effect(r: Retail):
+    r.staged()
     return promo.ab_effect(r.panel, promo.ab_assignment(r.panel, order_key="store_id"))
 
 
@@ -151,28 +152,33 @@ def zscore_histogram(r: Retail):
 
 @query("climate_baseline", "SELECT week_start, store_name, temperature_c FROM v_climate")
 def climate_baseline(r: Retail):
+    r.staged()
     spine = reports.week_store_spine(r.panel)
     return weather.climate_baseline(spine, r.climate).select("week_start", "store_name", "temperature_c")
 
 
 @query("rainy_flag", "SELECT week_start, store_name, rainfall_mm, is_rainy_week FROM v_weather")
 def rainy_flag(r: Retail):
+    r.staged()
     return r.weather.select("week_start", "store_name", "rainfall_mm", "is_rainy_week")
 
 
 @query("join_weather", f"SELECT {KEY_SQL}, temperature_c, rainfall_mm, is_rainy_week FROM v_joined")
 def join_weather(r: Retail):
+    r.staged()
     joined = weather.join_weather(r.panel, r.weather)
     return joined.select(*KEYS, "temperature_c", "rainfall_mm", "is_rainy_week")
 
 
 @query("weather_multiplier", f"SELECT {KEY_SQL}, {sql_he('weather_multiplier')} AS weather_multiplier FROM v_merged")
 def weather_multiplier(r: Retail):
+    r.staged()
     return r.merged.select(*KEYS, he("weather_multiplier"))
 
 
 @query("weather_adjusted_demand", f"SELECT {KEY_SQL}, units_sold, temperature_c, weather_adjusted_units FROM v_merged")
 def weather_adjusted_demand(r: Retail):
+    r.staged()
     return r.merged.select(*KEYS, "units_sold", "temperature_c", "weather_adjusted_units")
 
 
@@ -190,12 +196,14 @@ IMPACT = f"""
 
 @query("weather_impact", IMPACT)
 def weather_impact(r: Retail):
+    r.staged()
     return weather.weather_impact(weather.join_weather(r.panel, r.weather), r.sensitivity)
 
 
 @query("sign_split", "SELECT category, temp_coefficient, CASE WHEN temp_coefficient >= 0 THEN 'pos' ELSE 'neg' END "
                      f"AS sign FROM ({IMPACT})")
 def sign_split(r: Retail):
+    r.staged()
     impact = weather.weather_impact(weather.join_weather(r.panel, r.weather), r.sensitivity, ordered=False)
     return impact.select("category", "temp_coefficient", labels.sign_label(F.col("temp_coefficient")).alias("sign"))
 
@@ -207,6 +215,7 @@ def sign_split(r: Retail):
             min(temperature_c) AS low, max(temperature_c) AS high FROM v_joined WHERE category = 'CAT0'),
       range(0, 100) g(i)""")
 def temperature_trend_line(r: Retail):
+    r.staged()
     line = weather.temperature_trend_line(weather.join_weather(r.panel, r.weather), "CAT0")
     return line.select("point", he("temperature_c", 4), he("predicted_units", 4))
 
@@ -214,6 +223,7 @@ def temperature_trend_line(r: Retail):
 @query("monthly_city_temperature", f"""
     SELECT store_name, month, {sql_he('avg(temperature_c)')} AS avg_temperature FROM v_joined GROUP BY ALL""")
 def monthly_city_temperature(r: Retail):
+    r.staged()
     joined = weather.join_weather(r.panel, r.weather)
     return weather.monthly_city_temperature(joined).withColumn("avg_temperature", he("avg_temperature"))
 
@@ -309,6 +319,7 @@ def region_revenue(r: Retail):
     f"{sql_he(f'({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)')} AS {c}_z"
     for c in STORE_NUMBERS) + " FROM v_stores")
 def standardise_columns(r: Retail):
+    r.staged()
     scaled = cluster.standardise(cluster.store_features(r.panel), STORE_NUMBERS)
     return scaled.select("store_id", *[he(f"{c}_z") for c in STORE_NUMBERS])
 
@@ -335,6 +346,7 @@ def cluster_label(r: Retail):
 
 @query("segment_naming", f"SELECT product_id, segment, segment_name FROM ({NAMED})")
 def segment_naming(r: Retail):
+    r.staged()
     return cluster.name_segments(labelled(r)).select("product_id", "segment", "segment_name")
 
 
@@ -342,6 +354,7 @@ def segment_naming(r: Retail):
     SELECT segment_name, count(product_name) AS products, {sql_he('avg(avg_demand)', 1)} AS avg_demand,
       {sql_he('avg(avg_revenue)', 1)} AS avg_revenue FROM ({NAMED}) GROUP BY segment_name""")
 def segment_summary(r: Retail):
+    r.staged()
     return cluster.segment_summary(cluster.name_segments(labelled(r)))
 
 
@@ -357,26 +370,31 @@ POINTS = [f"{c}_z" for c in PRODUCT_NUMBERS[:5]]
             min(CASE WHEN own <> other THEN t / n END) AS b FROM d GROUP BY product_id)
     SELECT {sql_he('avg((b - a) / greatest(a, b))')} AS silhouette FROM s""")
 def silhouette(r: Retail):
+    r.staged()
     scaled = cluster.standardise(labelled(r), PRODUCT_NUMBERS[:5])
     return cluster.silhouette(scaled, POINTS, "segment", ["product_id"]).select(he("silhouette"))
 
 
 @query("store_clusters")
 def store_clusters(r: Retail):
+    r.staged()
     return cluster.cluster_stores(cluster.store_features(r.panel))
 
 
 @query("pca_2d")
 def pca_2d(r: Retail):
+    r.staged()
     return cluster.pca_2d(cluster.store_features(r.panel))
 
 
 @query("product_segments")
 def product_segments(r: Retail):
+    r.staged()
     return cluster.segment_products(cluster.product_features(r.panel))
 
 
 @query("isolation_forest")
 def isolation_forest(r: Retail):
+    r.staged()
     scored = anomaly.isolation_forest(r.panel)
     return scored.select(*KEYS, "units_sold", "if_score", "anomaly_if")

@@ -15,6 +15,7 @@ from demandspark.functions.lookup import literal_table
 from demandspark.functions.numeric import round_half_even
 from demandspark.operators import anomaly, cleaning, features, forecast, inventory, pricing, promo, reports, weather
 from demandspark.operators.rollup import weekly_rollup
+from demandspark.session import staged
 from demandspark.sources.tables import retail_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +100,11 @@ class Retail:
     def panel(self) -> DataFrame:
         return features.drop_warmup(self.panel_full)
 
+    def staged(self) -> Retail:
+        """Write the panel once, for queries that read it several times."""
+        self.panel = staged(self.panel)
+        return self
+
     @cached_property
     def policy(self) -> DataFrame:
         return inventory.policy(self.panel)

@@ -11,6 +11,7 @@ from demandspark.catalog.sql import SALES_COLUMNS
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import describe
 from demandspark.operators import reports
+from demandspark.sources.tables import retail_sales
 
 YEARS = list(range(1995, 2002))
 CORRELATED = ["units_sold", "revenue", "unit_price", "is_promotion", "is_weekend", "month", "day_of_week",
@@ -21,8 +22,9 @@ CORRELATED = ["units_sold", "revenue", "unit_price", "is_promotion", "is_weekend
     SELECT {SALES_COLUMNS} FROM v_sales
     WHERE store_name = 'ASIA' AND category = 'CAT1' AND date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'""")
 def dashboard_filter(r: Retail):
-    return reports.dashboard_filter(r.sales, store="ASIA", category="CAT1", start=dt.date(1997, 1, 1),
-                                    end=dt.date(1998, 12, 31)).select(*SALES_COLUMNS.split(", "))
+    start, end = dt.date(1997, 1, 1), dt.date(1998, 12, 31)
+    sales = retail_sales(r.spark, r.sf_dir, start, end)
+    return reports.dashboard_filter(sales, "ASIA", "CAT1", start, end).select(*SALES_COLUMNS.split(", "))
 
 
 @query("monthly_revenue", f"""

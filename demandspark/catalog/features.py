@@ -115,6 +115,7 @@ def first_last_of_series(r: Retail):
           ORDER BY avg(units_sold) DESC, store_id, product_id LIMIT 1) USING (store_id, product_id)
     ORDER BY week_start DESC LIMIT 52""")
 def tail_52_weeks(r: Retail):
+    r.staged()
     return reports.tail_weeks(r.panel)
 
 
@@ -136,6 +137,7 @@ def future_calendar_cross(r: Retail):
 
 @query("week_store_spine", "SELECT week_start, store_name FROM v_spine")
 def week_store_spine(r: Retail):
+    r.staged()
     return reports.week_store_spine(r.panel)
 
 
@@ -143,6 +145,7 @@ def week_store_spine(r: Retail):
     SELECT {', '.join(KEYS)}, row_number() OVER (ORDER BY store_id, product_id, week_start) - 1
       < floor((SELECT count(*) FROM v_panel) * 0.8e0) AS is_train FROM v_panel""")
 def train_test_split_80(r: Retail):
+    r.staged()
     return models.split_positional(r.panel.select(*KEYS))
 
 
@@ -152,6 +155,7 @@ def train_test_split_80(r: Retail):
                                      / sum(count(*)) OVER () AS part FROM v_panel GROUP BY week_start)
       WHERE part <= 0.8e0) AS is_train FROM v_panel""")
 def train_test_split_by_week(r: Retail):
+    r.staged()
     return models.split_by_week(r.panel.select(*KEYS))
 
 
@@ -163,4 +167,5 @@ def train_test_split_by_week(r: Retail):
                                count(*) OVER () AS total FROM (SELECT DISTINCT week_start FROM v_panel)))
       USING (week_start)""")
 def expanding_cv_splits(r: Retail):
+    r.staged()
     return models.expanding_folds(r.panel.select(*KEYS))

@@ -90,6 +90,7 @@ def reorder_alerts(r: Retail):
     FROM (SELECT *, CAST(row_number() OVER (ORDER BY estimated_order_cost DESC, store_id, product_id) AS INT) AS position
           FROM v_alerts) WHERE position <= 15""")
 def alert_digest(r: Retail):
+    r.staged()
     return inventory.alert_digest(r.alerts, r.report)
 
 
@@ -198,6 +199,7 @@ def category_forecast_summary(r: Retail):
       (SELECT {sql_he('avg(abs((units_sold - lag_1w) / (units_sold + 1e-6))) * 100')} FROM v_panel) AS forecast_mape
     FROM v_panel""")
 def executive_kpis(r: Retail):
+    r.staged()
     from demandspark.operators.models import regression_metrics
     scored = r.panel.withColumn("predicted", F.col("lag_1w"))
     kpis = reports.executive_kpis(r.panel, r.report, r.alerts, r.anomalies, regression_metrics(scored))
@@ -209,6 +211,7 @@ def executive_kpis(r: Retail):
       sum(estimated_order_cost) AS total_value
     FROM v_alerts GROUP BY GROUPING SETS ((), (category))""")
 def alert_kpis(r: Retail):
+    r.staged()
     return reports.alert_kpis(r.alerts)
 
 
@@ -232,6 +235,7 @@ def top15_reorders_by_qty(r: Retail):
     UNION ALL SELECT 'elasticity', product_id, price_elasticity FROM v_elasticity
     UNION ALL SELECT 'stl', store_id || '/' || product_id, seasonal_strength FROM v_summary""")
 def sorted_reports(r: Retail):
+    r.staged()
     from demandspark.operators import decompose
     alerts = r.alerts.select(F.lit("alerts").alias("report"), F.concat_ws("/", *KEYS).alias("item"),
                              F.col("estimated_order_cost").alias("sort_value"))

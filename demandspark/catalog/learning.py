@@ -37,6 +37,7 @@ def regression_metrics(r: Retail):
 
 @query("standardise_features")
 def standardise_features(r: Retail):
+    r.staged()
     from pyspark.ml.functions import vector_to_array
     columns = feature_columns(r.panel.columns)
     marked = models.split_by_week(r.panel).persist()
@@ -48,26 +49,31 @@ def standardise_features(r: Retail):
 
 @query("linear_regression")
 def linear_regression(r: Retail):
+    r.staged()
     return one_model(r, models.linear_regression).metrics
 
 
 @query("random_forest")
 def random_forest(r: Retail):
+    r.staged()
     return one_model(r, models.random_forest, trees=TREES).metrics
 
 
 @query("gradient_boosting")
 def gradient_boosting(r: Retail):
+    r.staged()
     return one_model(r, models.gradient_boosting, trees=TREES).metrics
 
 
 @query("gradient_boosting_colsample")
 def gradient_boosting_colsample(r: Retail):
+    r.staged()
     return one_model(r, models.gradient_boosting_colsample, trees=TREES).metrics
 
 
 @query("select_best_model")
 def select_best_model(r: Retail):
+    r.staged()
     columns = feature_columns(r.panel.columns)
     trained = models.train_models(r.panel, {
         "LinearRegression": models.linear_regression(columns),
@@ -77,23 +83,27 @@ def select_best_model(r: Retail):
 
 @query("scored_test_set")
 def scored_test_set(r: Retail):
+    r.staged()
     return one_model(r, models.linear_regression).scored.select(*KEYS, "units_sold", "predicted")
 
 
 @query("first_200_scored")
 def first_200_scored(r: Retail):
+    r.staged()
     scored = one_model(r, models.linear_regression).scored
     return scored.select(*KEYS, "units_sold", "predicted").orderBy(*KEYS).limit(200)
 
 
 @query("feature_importance_top15")
 def feature_importance_top15(r: Retail):
+    r.staged()
     trained = one_model(r, models.random_forest, trees=TREES)
     return models.feature_importance(trained.best_model, trained.feature_cols, r.spark)
 
 
 @query("expanding_cv_metrics")
 def expanding_cv_metrics(r: Retail):
+    r.staged()
     return models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel.columns)))
 
 
@@ -114,6 +124,7 @@ def expanding_cv_metrics(r: Retail):
       {sql_he('roll_mean_4w')} AS roll_mean_4w, CAST(units AS BIGINT) AS predicted_units
     FROM steps WHERE h > 0""")
 def closed_form_forecast(r: Retail):
+    r.staged()
     def predict(rows):
         return rows.withColumn("prediction", 0.6 * F.col("lag_1w") + 0.4 * F.col("roll_mean_4w"))
 
@@ -124,6 +135,7 @@ def closed_form_forecast(r: Retail):
 
 @query("recursive_forecast_model")
 def model_forecast(r: Retail):
+    r.staged()
     trained = one_model(r, models.linear_regression)
     return recursive_forecast(r.panel, trained.best_model.transform).select(
         "store_id", "product_id", "horizon_week", "week_start", "predicted_units")

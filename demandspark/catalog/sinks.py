@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,19 +11,13 @@ from demandspark.catalog.inventory import RUN_DATE
 from demandspark.catalog.learning import KEYS, one_model
 from demandspark.functions import labels
 from demandspark.operators import inventory, models
-from demandspark.session import ensure_checkpoint_dir
+from demandspark.session import shared_path
 from demandspark.sources import erp, stages
 
 
-def scratch(r: Retail) -> str:
-    """A new folder beside the session's checkpoints, which all executors share."""
-    ensure_checkpoint_dir(r.spark)
-    return f"{r.spark.sparkContext.getCheckpointDir()}/stages-{uuid.uuid4().hex}"
-
-
 @query("scan_stage_outputs", "SELECT store_id, product_id, week_start, units_sold, promo_days FROM v_weekly")
 def scan_stage_outputs(r: Retail):
-    path = f"{scratch(r)}/weekly"
+    path = shared_path(r.spark, "weekly")
     stages.write_stage(r.weekly.withColumn("week_start", F.col("week_start").cast("string")), path)
     return stages.read_stage(r.spark, path).select("store_id", "product_id", "week_start", "units_sold", "promo_days")
 
@@ -33,7 +26,8 @@ def scan_stage_outputs(r: Retail):
     SELECT 'weekly' AS stage, count(*) AS n_rows FROM v_weekly
     UNION ALL SELECT 'inventory', count(*) FROM v_report UNION ALL SELECT 'uplift', count(*) FROM v_uplift""")
 def write_stage_tables(r: Retail):
-    paths = stages.write_stages({"weekly": r.weekly, "inventory": r.report, "uplift": r.uplift}, scratch(r))
+    r.staged()
+    paths = stages.write_stages({"weekly": r.weekly, "inventory": r.report, "uplift": r.uplift}, shared_path(r.spark, "stages"))
     counts = [r.spark.read.parquet(path).agg(F.lit(name).alias("stage"), F.count("*").alias("n_rows"))
               for name, path in paths.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
@@ -41,15 +35,16 @@ def write_stage_tables(r: Retail):
 
 @query("write_text_reports", "SELECT count(*) AS n_lines FROM v_alerts")
 def write_text_reports(r: Retail):
-    path = f"{scratch(r)}/alerts"
+    path = shared_path(r.spark, "alerts")
     stages.write_text_report(r.alerts.select(labels.alert_line().alias("line")), path)
     return r.spark.read.text(path).agg(F.count("*").alias("n_lines"))
 
 
 @query("save_load_model")
 def save_load_model(r: Retail):
+    r.staged()
     trained = one_model(r, models.linear_regression)
-    path = f"{scratch(r)}/model"
+    path = shared_path(r.spark, "model")
     models.save_model(trained.best_model, path)
     again = models.score(models.load_model(path), trained.scored.drop("predicted"))
     return again.select(*KEYS, "units_sold", "predicted")
@@ -69,7 +64,7 @@ def stock_snapshot_normalise(r: Retail):
         F.when(F.col("plant") == "A", half).otherwise(F.col("current_stock") - half).cast("int").alias("unrestricted_stock"),
         (F.col("current_stock") % 50).cast("int").alias("in_transit_qty"),
         (F.col("current_stock") % 20).cast("int").alias("reserved_qty"))
-    path = f"{scratch(r)}/stock"
+    path = shared_path(r.spark, "stock")
     stages.write_stage(rows.withColumns({"last_updated": F.lit(dt.datetime(2002, 1, 7)), "unit": F.lit("EA")}), path)
     return erp.stock_snapshot(erp.read_erp_stock(r.spark, path))
 
@@ -85,6 +80,6 @@ def open_po_by_item(r: Retail):
                    (number_of("material_id") % 4).cast("int"))
     rows = orders.withColumns({"status": status, "quantity": F.col("quantity").cast("int")}).select(
         "po_number", "material_id", "store_id", "quantity", "unit_price", "status", "expected_delivery", "supplier")
-    path = f"{scratch(r)}/orders"
+    path = shared_path(r.spark, "orders")
     stages.write_stage(rows, path)
     return erp.open_orders_by_item(erp.read_erp_orders(r.spark, path))

@@ -26,6 +26,11 @@ def values(mapping: dict) -> str:
     return "(VALUES " + ", ".join(rows) + ")"
 
 
+def money(column: str) -> str:
+    """Exact sum of an amount with up to four decimals."""
+    return f"(CAST(sum(CAST(round_even({column} * 1e4, 0) AS BIGINT)) AS DOUBLE) / 1e4)"
+
+
 SERIES = "PARTITION BY store_id, product_id"
 ITEM = "store_id, store_name, product_id, product_name, category"
 SALES_COLUMNS = (
@@ -97,8 +102,8 @@ VIEWS = {
           CAST(week(week_start) AS INT) AS week_num, CAST(quarter(week_start) AS INT) AS quarter,
           CASE WHEN promo_days > 0 THEN 1 ELSE 0 END AS is_promo_week
         FROM (SELECT {ITEM}, CAST(date_trunc('week', date) AS DATE) AS week_start,
-                CAST(sum(units_sold) AS BIGINT) AS units_sold, sum(revenue) AS revenue,
-                avg(unit_price) AS avg_price, CAST(sum(is_promotion) AS BIGINT) AS promo_days,
+                CAST(sum(units_sold) AS BIGINT) AS units_sold, {money("revenue")} AS revenue,
+                {money("unit_price")} / count(unit_price) AS avg_price, CAST(sum(is_promotion) AS BIGINT) AS promo_days,
                 CAST(sum(stockout_flag) AS BIGINT) AS stockout_days,
                 max(lead_time_days) AS lead_time_days, max(holding_cost_pct) AS holding_cost_pct,
                 max(base_price) AS base_price,

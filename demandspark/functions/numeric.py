@@ -19,6 +19,15 @@ def floor_at_zero(col: Column) -> Column:
     return F.when(col < 0, F.lit(0)).otherwise(col)
 
 
+def money_sum(col: Column, digits: int = 4) -> Column:
+    """Sum of an amount with at most ``digits`` decimals, as whole units of the last one.
+
+    Integer sums do not depend on the order of tasks, so a retried stage gives the same total.
+    """
+    scale = 10 ** digits
+    return F.sum(F.rint(col * float(scale)).cast("bigint")) / scale
+
+
 def to_units(prediction: Column) -> Column:
     """Model output as a unit count: rounded half to even, never negative."""
     return F.greatest(F.lit(0), F.rint(prediction)).cast("bigint")

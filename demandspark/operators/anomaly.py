@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from demandspark.constants import EPSILON, FOREST_FEATURES, SERIES_KEYS
 from demandspark.functions.numeric import round_half_even
 from demandspark.functions.quantiles import exact_quantiles
-from demandspark.operators.cleaning import columns_with_nulls, median_impute
+from demandspark.operators.cleaning import median_impute
 from demandspark.operators.cluster import standardise
 from demandspark.session import ensure_checkpoint_dir
 
@@ -96,7 +96,7 @@ def isolation_forest(panel: DataFrame, features: Sequence[str] = FOREST_FEATURES
     """
     features = [c for c in features if c in panel.columns]
     data = panel.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
-    data = median_impute(data, columns_with_nulls(data, features))
+    data = median_impute(data, features)
     data = standardise(data, features, suffix="")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -19,8 +18,10 @@ from demandspark.constants import (
 from demandspark.functions.labels import cluster_label
 from demandspark.functions.lookup import literal_table, look_up
 from demandspark.functions.numeric import round_half_even
+from demandspark.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 2048
+PARTITION_ROWS = 50_000
 EXACT_SILHOUETTE_ROWS = 20_000
 
 
@@ -74,6 +75,14 @@ def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="vector").transform(scaled)
 
 
+def _entity_table(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """Standardised vectors, checkpointed for the many passes of the fits, in partitions of useful size."""
+    ensure_checkpoint_dir(df.sparkSession)
+    scaled = _vectors(df, columns).checkpoint()
+    rows = scaled.count()
+    return scaled.coalesce(max(1, rows // PARTITION_ROWS)), rows
+
+
 def _best_kmeans(vectors: DataFrame, k: int, tries: int):
     """The lowest-cost fit over several seeds."""
     fits = (KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster").fit(vectors)
@@ -90,7 +99,6 @@ def silhouette(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence
     """
     points = df.select(F.struct(*keys).alias("id"), F.col(label).alias("own"),
                        F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
-    sizes = points.groupBy("own").agg(F.count("*").alias("size"))
     n_blocks = F.greatest(F.ceil(points.agg(F.count("*")).scalar() / block_rows), F.lit(1)).cast("int")
     placed = points.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int"))
     blocks = placed.groupBy("block", F.col("own").alias("other")).agg(F.collect_list("x").alias("members"))
@@ -101,10 +109,9 @@ def silhouette(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence
         return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, v: t + v))
 
     near = visits.join(blocks, "block").select(
-        "id", "own", "other",
+        "id", "own", "other", F.size("members").alias("n"),
         F.aggregate("members", F.lit(0.0), lambda t, m: t + distance(m, F.col("x"))).alias("part"))
-    sums = near.groupBy("id", "own", "other").agg(F.sum("part").alias("total"))
-    means = sums.join(sizes.withColumnRenamed("own", "other"), "other")
+    means = near.groupBy("id", "own", "other").agg(F.sum("part").alias("total"), F.sum("n").alias("size"))
     mine = F.col("own") == F.col("other")
     per_point = means.groupBy("id").agg(
         F.max(F.when(mine, F.col("size"))).alias("own_size"),
@@ -127,8 +134,7 @@ def _score(model, vectors: DataFrame, columns: Sequence[str], key: str, rows: in
 def cluster_stores(features: DataFrame, columns: Sequence[str] = STORE_CLUSTER_FEATURES, max_k: int = 5,
                    tries: int = 10) -> DataFrame:
     """KMeans on standardised store features, with the k of the best silhouette."""
-    vectors = _vectors(features, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = vectors.count()
+    vectors, rows = _entity_table(features, columns)
     best, best_score = None, -1.0
     for k in range(2, min(max_k, rows - 1) + 1):
         model = _best_kmeans(vectors, k, tries)
@@ -147,7 +153,7 @@ def cluster_stores(features: DataFrame, columns: Sequence[str] = STORE_CLUSTER_F
 
 def pca_2d(features: DataFrame, columns: Sequence[str] = STORE_CLUSTER_FEATURES) -> DataFrame:
     """Two principal components of the standardised features; their signs are arbitrary."""
-    vectors = _vectors(features, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors, _ = _entity_table(features, columns)
     model = PCA(k=2, inputCol="vector", outputCol="pc").fit(vectors)
     share = model.explainedVariance.toArray()
     xy = vector_to_array(F.col("pc"))
@@ -169,7 +175,7 @@ def name_segments(products: DataFrame, segment: str = "segment", value: str = "a
 
 def segment_products(features: DataFrame, k: int = 4, columns: Sequence[str] = PRODUCT_SEGMENT_FEATURES,
                      tries: int = 10) -> DataFrame:
-    vectors = _vectors(features, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors, _ = _entity_table(features, columns)
     model = _best_kmeans(vectors, k, tries)
     labelled = model.transform(vectors).withColumnRenamed("cluster", "segment")
     return name_segments(labelled.select(*features.columns, "segment"))

@@ -15,37 +15,41 @@ from pyspark.sql import Window as W
 
 from demandspark.constants import EPSILON, SERIES_KEYS
 from demandspark.functions.numeric import to_units
-from demandspark.operators.features import feature_columns, series_window
+from demandspark.operators.features import feature_columns
+from demandspark.session import staged
 
 TARGET = "units_sold"
 
 
 # --- splits -----------------------------------------------------------------------------------
 
-def row_position(panel: DataFrame, keys: Sequence[str] = SERIES_KEYS, time: str = "week_start") -> DataFrame:
-    """Position of each row in (store, product, week) order, from zero.
+def _first_past(counts: DataFrame, key: str, offset: int) -> tuple:
+    """The key, in order, whose rows hold position ``offset``, and the rows before it."""
+    upto = counts.withColumn("upto", F.sum("n").over(W.orderBy(key)))
+    row = upto.where(F.col("upto") > offset).orderBy(key).first()
+    return row[key], row["upto"] - row["n"]
 
-    Counts are summed by store and series, so only the store list passes one task.
+
+def split_positional(panel: DataFrame, share: float = 0.8, keys: Sequence[str] = SERIES_KEYS,
+                     time: str = "week_start") -> DataFrame:
+    """First rows in (store, product, week) order train, the rest test: the last stores' series.
+
+    Only the row at the cut is looked for: among the stores, then the products of its store, then
+    the weeks of its series. Every row then compares its own key with that one.
     """
     outer, inner = keys
-    counts = panel.groupBy(outer, inner).agg(F.count("*").alias("n"))
-    before = W.orderBy(outer).rowsBetween(W.unboundedPreceding, -1)
-    stores = counts.groupBy(outer).agg(F.sum("n").alias("store_n")).select(
-        outer, F.coalesce(F.sum("store_n").over(before), F.lit(0)).alias("store_offset"))
-    within = W.partitionBy(outer).orderBy(inner).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (counts.withColumn("series_offset", F.coalesce(F.sum("n").over(within), F.lit(0)))
-               .join(stores, outer)
-               .select(outer, inner, (F.col("store_offset") + F.col("series_offset")).alias("offset")))
-    numbered = panel.withColumn("in_series", F.row_number().over(series_window(keys, time)) - 1)
-    return (numbered.join(offsets, [outer, inner])
-            .withColumn("position", F.col("offset") + F.col("in_series")).drop("offset", "in_series"))
-
-
-def split_positional(panel: DataFrame, share: float = 0.8) -> DataFrame:
-    """First rows by position train, the rest test: the test rows are the last stores' series."""
-    total = panel.agg(F.count("*")).scalar()
-    positioned = row_position(panel)
-    return positioned.withColumn("is_train", F.col("position") < F.floor(total * share)).drop("position")
+    counts = staged(panel.groupBy(outer, inner).agg(F.count("*").alias("n")))
+    cut = int((counts.agg(F.sum("n")).first()[0] or 0) * share)
+    if cut == 0:
+        return panel.withColumn("is_train", F.lit(False))
+    store, before = _first_past(counts.groupBy(outer).agg(F.sum("n").alias("n")), outer, cut)
+    product, earlier = _first_past(counts.where(F.col(outer) == store), inner, cut - before)
+    series = panel.where((F.col(outer) == store) & (F.col(inner) == product))
+    # One series has a row per calendar week.
+    week, _ = _first_past(series.groupBy(time).agg(F.count("*").alias("n")), time, cut - before - earlier)
+    first_test = F.struct(F.lit(store).alias("s"), F.lit(product).alias("p"), F.lit(week).alias("w"))
+    own = F.struct(F.col(outer).alias("s"), F.col(inner).alias("p"), F.col(time).alias("w"))
+    return panel.withColumn("is_train", own < first_test)
 
 
 def split_by_week(panel: DataFrame, share: float = 0.8, time: str = "week_start") -> DataFrame:

@@ -74,19 +74,30 @@ def ab_assignment(panel: DataFrame, share: float = AB_TREATED_SHARE, order_key:
 def ab_effect(panel: DataFrame, groups: DataFrame, min_rows: int = 5, ordered: bool = True) -> DataFrame:
     """Mean of the treated promotion weeks less the mean of all control weeks, per product.
 
-    Significance is the two-sided Welch statistic on the normal tail.
+    Significance is the two-sided Welch statistic on the normal tail. Rows are reduced to sums per
+    product and store before they meet the store's arm, so a hot store is never shuffled whole.
     """
-    treated = (F.col("ab_group") == "Treatment") & (F.col("is_promo_week") == 1)
-    control = F.col("ab_group") == "Control"
+    x = F.col("units_sold")
+    promo_x = F.when(F.col("is_promo_week") == 1, x)
 
-    def arm(name, condition):
-        x = F.when(condition, F.col("units_sold").cast("double"))
-        return [F.count(x).alias(f"{name}_n"), F.avg(x).alias(f"{name}_mean"), F.var_samp(x).alias(f"{name}_var")]
+    def sums(name, v):
+        return [F.count(v).alias(f"{name}_n"), F.sum(v).alias(f"{name}_sum"), F.sum(v * v).alias(f"{name}_sq")]
 
-    stats = (panel.join(groups, "store_id")
-             .groupBy("product_id", "product_name", "category")
-             .agg(*arm("t", treated), *arm("c", control))
-             .where((F.col("t_n") >= min_rows) & (F.col("c_n") >= min_rows)))
+    cells = panel.groupBy("product_id", "product_name", "category", "store_id").agg(*sums("p", promo_x), *sums("a", x))
+    treated, control = F.col("ab_group") == "Treatment", F.col("ab_group") == "Control"
+
+    def arm(name, source, condition):
+        return [F.sum(F.when(condition, F.col(f"{source}_{part}"))).alias(f"{name}_{part}") for part in ("n", "sum", "sq")]
+
+    totals = (cells.join(groups, "store_id").groupBy("product_id", "product_name", "category")
+              .agg(*arm("t", "p", treated), *arm("c", "a", control))
+              .where((F.col("t_n") >= min_rows) & (F.col("c_n") >= min_rows)))
+
+    def moments(name):
+        n, total, squares = (F.col(f"{name}_{part}") for part in ("n", "sum", "sq"))
+        return {f"{name}_mean": total / n, f"{name}_var": F.greatest((squares - total / n * total) / (n - 1), F.lit(0.0))}
+
+    stats = totals.withColumns({**moments("t"), **moments("c")})
     ate = F.col("t_mean") - F.col("c_mean")
     error = F.sqrt(F.col("t_var") / F.col("t_n") + F.col("c_var") / F.col("c_n"))
     # Without spread any difference is certain and no difference is none.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.constants import ITEM_KEYS
 from demandspark.functions.calendar import add_week_calendar, festival_flag, week_start
+from demandspark.functions.numeric import money_sum
 
 
 def weekly_rollup(daily: DataFrame, date: str = "date", pre_shuffle: bool = False) -> DataFrame:
@@ -21,8 +22,8 @@ def weekly_rollup(daily: DataFrame, date: str = "date", pre_shuffle: bool = Fals
     weekly = (daily.withColumn("week_start", week_start(F.col(date)))
               .groupBy(*ITEM_KEYS, "week_start")
               .agg(F.sum("units_sold").cast("bigint").alias("units_sold"),
-                   F.sum("revenue").alias("revenue"),
-                   F.avg("unit_price").alias("avg_price"),
+                   money_sum(F.col("revenue")).alias("revenue"),
+                   (money_sum(F.col("unit_price")) / F.count("unit_price")).alias("avg_price"),
                    F.sum("is_promotion").cast("bigint").alias("promo_days"),
                    F.sum("stockout_flag").cast("bigint").alias("stockout_days"),
                    F.max("lead_time_days").alias("lead_time_days"),

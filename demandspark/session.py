@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -42,3 +43,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="demandspark-checkpoint-"))
+
+
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a table that several passes read to the shared folder and read it back.
+
+    Unlike cached blocks it outlives executors, and later passes read only the columns they need.
+    """
+    path = shared_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

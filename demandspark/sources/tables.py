@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,11 +29,13 @@ def read_daily_sales(spark: SparkSession, path: str, fmt: str | None = None) ->
     return read_table(spark, path, DAILY_SALES, fmt)
 
 
-def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retail_sales(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
+                 end: dt.date | None = None) -> DataFrame:
     """The driver's order lines in the shape of the daily sales table.
 
     Stores are regions, products are brands, prices have two decimals. Joins carry no hint: sizes decide, and AQE splits
-    the partitions of a hot part or supplier.
+    the partitions of a hot part or supplier. An inclusive date range is compared with the stored
+    column, so it reaches the Parquet filters.
     """
     def table(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -39,11 +43,19 @@ def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     brand_no = F.substring("p_brand", 7, 10).cast("int")
     lines = table("lineitem", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                   "l_quantity", "l_extendedprice", "l_discount")
+    if start is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.lit(start).cast(lines.schema["l_shipdate"].dataType))
+    if end is not None:
+        after = F.lit(end + dt.timedelta(days=1))
+        lines = lines.where(F.col("l_shipdate") < after.cast(lines.schema["l_shipdate"].dataType))
     parts = table("part", "p_partkey", "p_brand").withColumn("brand_no", brand_no)
     places = (table("supplier", "s_suppkey", "s_nationkey")
               .join(table("nation", "n_nationkey", "n_name", "n_regionkey"),
                     F.col("s_nationkey") == F.col("n_nationkey"))
               .join(table("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
+    def numbered(prefix: str, number):
+        return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 3, "0"))
+
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     price = round_half_even(net / F.col("l_quantity"), 2)
     units = F.col("l_quantity").cast("bigint")
@@ -51,10 +63,10 @@ def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 F.col("l_shipdate").cast("date").alias("date"),
-                F.format_string("S%03d", F.col("r_regionkey") + 1).alias("store_id"),
+                numbered("S", F.col("r_regionkey") + 1).alias("store_id"),
                 F.col("r_name").alias("store_name"),
                 F.col("n_name").alias("state"),
-                F.format_string("P%03d", F.col("brand_no")).alias("product_id"),
+                numbered("P", F.col("brand_no")).alias("product_id"),
                 F.col("p_brand").alias("product_name"),
                 F.concat(F.lit("CAT"), (F.col("brand_no") % 5).cast("string")).alias("category"),
                 units.alias("units_sold"),
