@@ -1 +1,8 @@
 """Retail demand, forecast and inventory analytics as PySpark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with their code, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -98,7 +98,7 @@ class Retail:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return features.drop_warmup(self.panel_full)
+        return features.build_features(self.weekly, CATEGORIES)
 
     def staged(self) -> Retail:
         """Write the panel once, for queries that read it several times."""

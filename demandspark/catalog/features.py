@@ -73,7 +73,7 @@ def interaction_features(r: Retail):
 @query("drop_warmup_rows", f"SELECT {', '.join(KEYS)}, units_sold, "
                            f"{', '.join(f'lag_{k}w' for k in LAGS)} FROM v_panel")
 def drop_warmup_rows(r: Retail):
-    return r.panel.select(*KEYS, "units_sold", *features.LAG_COLS)
+    return features.drop_warmup(r.panel_full).select(*KEYS, "units_sold", *features.LAG_COLS)
 
 
 FEATURES = (features.LAG_COLS + features.ROLL_COLS + features.CYCLIC_COLS + features.CALENDAR_COLS

@@ -15,7 +15,7 @@ from demandspark.functions.numeric import round_half_even
 from demandspark.functions.quantiles import exact_quantiles
 from demandspark.operators.cleaning import median_impute
 from demandspark.operators.cluster import standardise
-from demandspark.session import ensure_checkpoint_dir
+from demandspark.session import spread_by, staged
 
 
 def series_zscore(panel: DataFrame, value: str = "units_sold", keys: Sequence[str] = SERIES_KEYS,
@@ -94,20 +94,21 @@ def isolation_forest(panel: DataFrame, features: Sequence[str] = FOREST_FEATURES
     Trees grow in parallel from their own samples of at most ``sample_size`` rows. The forest has
     at most ``trees * 2 * sample_size`` nodes, which is the size of what is broadcast.
     """
-    features = [c for c in features if c in panel.columns]
-    data = panel.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
-    data = median_impute(data, features)
-    data = standardise(data, features, suffix="")
+    names = {f"forest_{c}": c for c in features if c in panel.columns}
+    inputs = list(names)
+    data = panel.withColumns({f: F.col(c).cast("double") for f, c in names.items()})
+    data = standardise(median_impute(data, inputs), inputs, suffix="")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values(list(keys))[features].to_numpy(dtype=float)
+        x = pdf.sort_values(list(keys))[inputs].to_numpy(dtype=float)
         out = pd.DataFrame(_grow_tree(x, np.random.default_rng([seed, tree])),
                            columns=["node", "feature", "threshold", "left", "path"])
         return out.assign(tree=tree, sampled=len(x))
 
     schema = "node int, feature int, threshold double, left int, path double, tree int, sampled int"
-    nodes = forest_sample(data, keys, trees, sample_size).groupBy("tree").applyInPandas(grow, schema).toPandas()
+    samples = spread_by(forest_sample(data.select(*keys, *inputs), keys, trees, sample_size), "tree")
+    nodes = samples.groupBy("tree").applyInPandas(grow, schema).toPandas()
     if nodes.empty:
         raise ValueError("the panel has no rows")
     forest = [g.sort_values("node") for _, g in nodes.groupby("tree")]
@@ -131,12 +132,11 @@ def isolation_forest(panel: DataFrame, features: Sequence[str] = FOREST_FEATURES
         mean = depth / len(shared.value)
         return pd.Series(-(2.0 ** (-mean / scale)) if scale > 0 else np.full(len(x), -0.5))
 
-    ensure_checkpoint_dir(panel.sparkSession)
-    # Checkpointed, so the quantile passes below do not score the rows again.
-    scored = data.select(*keys, score(F.struct(*features)).alias("raw_score")).checkpoint()
+    # Staged, so the quantile passes below read one column and do not score the rows again.
+    scored = staged(data.withColumn("raw_score", score(F.struct(*inputs))).drop(*inputs))
     offset = exact_quantiles(scored, ["raw_score"], [contamination]).select(F.col("q")[0]).scalar()
-    scored = scored.select(*keys, (F.col("raw_score") - offset).alias("if_score"))
-    return panel.join(scored, list(keys)).withColumn("anomaly_if", F.col("if_score") < 0)
+    return (scored.withColumn("if_score", F.col("raw_score") - offset).drop("raw_score")
+            .withColumn("anomaly_if", F.col("if_score") < 0))
 
 
 def combine_anomalies(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.numeric import floor_at_zero, round_half_even
-from demandspark.functions.quantiles import ValueProfile, exact_quantiles
+from demandspark.functions.quantiles import DISTINCT_ERROR, ValueProfile, exact_quantiles
 from demandspark.session import staged
 
 CLAMPED = ("units_sold", "revenue", "unit_price")
@@ -32,7 +32,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], ValueProfile]:
     """Columns to fill and the size facts of their values, from one pass and one row."""
     row = df.agg(F.count("*").alias("rows"),
-                 *[F.struct(F.max(F.col(c).isNull()).alias("nulls"), F.approx_count_distinct(c).alias("distinct"))
+                 *[F.struct(F.max(F.col(c).isNull()).alias("nulls"), F.approx_count_distinct(c, DISTINCT_ERROR).alias("distinct"))
                    .alias(c) for c in columns]).first()
     found = [c for c in columns if row[c]["nulls"]]
     return found, ValueProfile(row["rows"], 1, max([row[c]["distinct"] for c in found], default=0))

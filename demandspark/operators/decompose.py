@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from demandspark.constants import EPSILON, ITEM_KEYS, SERIES_KEYS
 from demandspark.functions.numeric import round_half_even
+from demandspark.session import spread_by
 
 PERIOD = 52
 MIN_WEEKS = 104
@@ -95,7 +96,9 @@ def stl_decompose(filled: DataFrame, value: str = "units_sold", keys: Sequence[s
                            *[T.StructField(c, T.DoubleType())
                              for c in ["observed", "trend", "seasonal", "residual"]],
                            T.StructField("error", T.StringType())])
-    return filled.select(*keys, time, value).groupBy(*keys).applyInPandas(decompose, schema)
+    # A fit costs far more than its few rows weigh, so the tasks are spread by count, not by size.
+    spread = spread_by(filled.select(*keys, time, value), *keys)
+    return spread.groupBy(*keys).applyInPandas(decompose, schema)
 
 
 def decomposition_summary(components: DataFrame, keys: Sequence[str] = ITEM_KEYS,

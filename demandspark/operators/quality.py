@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import round_half_even
-from demandspark.functions.quantiles import exact_quantiles
+from demandspark.functions.quantiles import DISTINCT_ERROR, ValueProfile, exact_quantiles
 
 
 def profile(df: DataFrame, date: str = "date",
@@ -33,18 +33,26 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str] = ("units_sold", "unit_price", "revenue"),
              digits: int = 2) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
-    row = df.agg(*[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
-                   for c in columns])
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns]
-    stats = row.select(F.inline(F.array(*cells)))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column.
+
+    The first pass also sizes the values, so the quartiles need one more.
+    """
+    row = df.agg(F.count("*").alias("rows"),
+                 *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+                            F.approx_count_distinct(c, DISTINCT_ERROR).alias("distinct")).alias(c)
+                   for c in columns]).first()
+    sizes = ValueProfile(row["rows"], 1, max(row[c]["distinct"] for c in columns))
+    cells = [F.struct(F.lit(c).alias("column"), F.struct(
+        F.lit(row[c]["n"]).cast("bigint").alias("n"),
+        *[F.lit(row[c][k]).cast("double").alias(k) for k in ("mean", "std", "min", "max")]).alias("s")) for c in columns]
+    stats = F.broadcast(df.sparkSession.range(1).select(F.inline(F.array(*cells))))
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], profile=sizes)
 
     def out(col, name):
         return round_half_even(col, digits).alias(name)
 
-    return stats.join(quartiles, "column").select(
+    return quartiles.join(stats, "column").select(
         F.col("column").alias("column_name"), F.col("s.n").alias("n"),
         out(F.col("s.mean"), "mean"), out(F.col("s.std"), "std"), out(F.col("s.min"), "min"),
         out(F.col("q")[0], "q1"), out(F.col("q")[1], "median"), out(F.col("q")[2], "q3"),

@@ -17,15 +17,19 @@ def weekly_rollup(daily: DataFrame, date: str = "date", pre_shuffle: bool = Fals
     ``pre_shuffle`` instead moves the raw rows once by series, which lets the series windows reuse
     that exchange; it pays only where a series has few rows per week.
     """
+    def total(sum_):
+        # A week whose values are all missing sold nothing, so the series has no null units.
+        return F.coalesce(sum_, F.lit(0))
+
     if pre_shuffle:
         daily = daily.repartition("store_id", "product_id")
     weekly = (daily.withColumn("week_start", week_start(F.col(date)))
               .groupBy(*ITEM_KEYS, "week_start")
-              .agg(F.sum("units_sold").cast("bigint").alias("units_sold"),
-                   money_sum(F.col("revenue")).alias("revenue"),
+              .agg(total(F.sum("units_sold").cast("bigint")).alias("units_sold"),
+                   total(money_sum(F.col("revenue"))).alias("revenue"),
                    (money_sum(F.col("unit_price")) / F.count("unit_price")).alias("avg_price"),
-                   F.sum("is_promotion").cast("bigint").alias("promo_days"),
-                   F.sum("stockout_flag").cast("bigint").alias("stockout_days"),
+                   total(F.sum("is_promotion").cast("bigint")).alias("promo_days"),
+                   total(F.sum("stockout_flag").cast("bigint")).alias("stockout_days"),
                    F.max("lead_time_days").alias("lead_time_days"),
                    F.max("holding_cost_pct").alias("holding_cost_pct"),
                    F.max("base_price").alias("base_price"),

@@ -59,3 +59,10 @@ def staged(df: DataFrame) -> DataFrame:
     path = shared_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by key into a fixed number of tasks, which adaptive execution does not merge."""
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
