@@ -132,7 +132,8 @@ HISTOGRAM_SQL = """
     SELECT bin, {start} AS bin_start, count(*) AS n
     FROM (SELECT CAST(least(floor((x - lo) / w), {bins} - 1) AS INT) AS bin, lo, w
           FROM (SELECT x, min(x) OVER () AS lo, (max(x) OVER () - min(x) OVER ()) / {bins} AS w
-                FROM (SELECT CAST(greatest(least({value}, {high}), {low}) AS DOUBLE) AS x FROM {view})))
+                FROM (SELECT CAST(greatest(least({value}, {high}), {low}) AS DOUBLE) AS x FROM {view}
+                      WHERE {value} IS NOT NULL)))
     GROUP BY bin, lo, w"""
 
 
@@ -142,10 +143,10 @@ def uplift_histogram(r: Retail):
     return describe.histogram(r.uplift, "uplift_pct", -50, 100, 40).withColumn("bin_start", he("bin_start", 4))
 
 
-@query("zscore_histogram", HISTOGRAM_SQL.format(start=sql_he("lo + bin * w", 4), bins=60, value="z_score",
+@query("zscore_histogram", HISTOGRAM_SQL.format(start=sql_he("lo + bin * w", 4), bins=60, value=sql_he("z_score"),
                                                 low=-5, high=5, view="v_zscore"))
 def zscore_histogram(r: Retail):
-    return describe.histogram(r.zscored, "z_score", -5, 5, 60).withColumn("bin_start", he("bin_start", 4))
+    return describe.histogram(r.zscored.select(he("z_score")), "z_score", -5, 5, 60).withColumn("bin_start", he("bin_start", 4))
 
 
 # --- weather ----------------------------------------------------------------------------------

@@ -32,10 +32,10 @@ def gap_fill_interpolate(r: Retail):
     return decompose.gap_fill(r.panel).withColumn("units_sold", he("units_sold"))
 
 
-@query("classical_decompose", f"SELECT {ITEM}, week_start, idx, " + ", ".join(f"{sql_he(c)} AS {c}" for c in PARTS)
+@query("classical_decompose", f"SELECT {ITEM}, week_start, idx, " + ", ".join(f"{sql_he(c, 7)} AS {c}" for c in PARTS)
        + " FROM v_components")
 def classical_decompose(r: Retail):
-    return components(r).select(*ITEMS, "week_start", "idx", *[he(c) for c in PARTS])
+    return components(r).select(*ITEMS, "week_start", "idx", *[he(c, 7) for c in PARTS])
 
 
 @query("trend_slope", "SELECT store_id, product_id, trend_slope FROM v_summary")

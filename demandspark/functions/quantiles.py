@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-MAX_DISTINCT = 1_000_000
+MAX_DISTINCT = 100_000
 MAX_BROADCAST_GROUPS = 50_000
 # A rough count is enough to choose a plan and keeps the sketch small.
 DISTINCT_ERROR = 0.15
@@ -68,7 +68,7 @@ def _by_brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                  profile: ValueProfile) -> DataFrame:
     keys = [*by, "column"]
     values = _long(df, columns, by)
-    # The bracket holds some 6/accuracy of a group's rows, so the accuracy grows with the data.
+    # The brackets hold some 6/accuracy of a group's rows, so the accuracy grows with the data.
     accuracy = int(min(max(profile.rows // 100_000, 10_000), 1_000_000))
     margin = 3.0 / accuracy
 
@@ -80,36 +80,38 @@ def _by_brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         sketch(-margin).alias("low"), sketch(margin).alias("high"), F.count("*").alias("total"))
     # A group no larger than the sketch is its own bracket.
     small = F.col("total") <= accuracy
-    cells = [F.struct(F.lit(i).alias("i"),
-                      F.when(small, F.lit(float("-inf"))).otherwise(F.col("low")[i]).alias("low"),
-                      F.when(small, F.lit(float("inf"))).otherwise(F.col("high")[i]).alias("high"),
-                      (F.lit(float(p)) * (F.col("total") - 1)).alias("position"))
-             for i, p in enumerate(probs)]
-    brackets = edges.select(*keys, F.array(*cells).alias("brackets"))
+    brackets = edges.select(*keys, "total", *[c for i in range(len(probs)) for c in (
+        F.when(small, F.lit(float("-inf"))).otherwise(F.col("low")[i]).alias(f"low{i}"),
+        F.when(small, F.lit(float("inf"))).otherwise(F.col("high")[i]).alias(f"high{i}"))])
     if profile.groups_fit_broadcast:
         brackets = F.broadcast(brackets)
 
-    # Per value and quantile: below the bracket it only counts, inside it is kept.
-    hits = (values.join(brackets, keys)
-            .select(*keys, "value", F.inline("brackets"))
-            .where(F.col("value") <= F.col("high"))
-            .withColumn("inside", F.when(F.col("value") >= F.col("low"), F.col("value")))
-            .groupBy(*keys, "i", "position", "inside").agg(F.count("*").alias("n")))
-    order = W.partitionBy(*keys, "i").orderBy(F.col("inside").asc_nulls_first())
-    ranked = (hits.withColumn("upto", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0)))
-              .withColumn("lower", F.floor("position")).withColumn("upper", F.ceil("position"))
-              .where(F.col("inside").isNotNull()))
-
-    def value_at(rank: str):
-        covers = (F.col("upto") > F.col(rank)) & (F.col("upto") - F.col("n") <= F.col(rank))
-        return F.max(F.when(covers, F.col("inside")))
-
-    picked = ranked.groupBy(*keys, "i").agg(
-        value_at("lower").alias("a"), value_at("upper").alias("b"),
-        (F.max("position") - F.max("lower")).alias("part"))
-    checked = F.when(F.col("a").isNull() | F.col("b").isNull(),
-                     F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-                     ).otherwise(F.col("a") + F.col("part") * (F.col("b") - F.col("a")))
-    return (picked.withColumn("v", checked)
-            .groupBy(*keys)
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q")))
+    # A value inside a bracket is kept; any other only counts, at the nearest bracket end below it.
+    inside, below = F.lit(False), [F.lit(float("-inf"))]
+    for i in range(len(probs)):
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        inside = inside | ((F.col("value") >= low) & (F.col("value") <= high))
+        below.append(F.when(high < F.col("value"), high))
+    marked = values.join(brackets, keys).withColumn("inside", inside)
+    mark = F.when(F.col("inside"), F.col("value")).otherwise(F.greatest(*below))
+    hits = (marked.select(*keys, "total", "inside", mark.alias("mark"))
+            .groupBy(*keys, "total", "inside", "mark").agg(F.count("*").alias("n")))
+    order = W.partitionBy(*keys).orderBy("mark", F.desc("inside")).rowsBetween(W.unboundedPreceding, 0)
+    ranked = hits.withColumn("upto", F.sum("n").over(order)).where("inside")
+
+    def value_at(rank):
+        covers = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(covers, F.col("mark")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        aggs += [value_at(F.floor(position)).alias(f"a{i}"), value_at(F.ceil(position)).alias(f"b{i}")]
+    picked = ranked.groupBy(*keys, "total").agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        a, b = F.col(f"a{i}"), F.col(f"b{i}")
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        lost = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+        out.append(F.when(a.isNull() | b.isNull(), lost).otherwise(a + (position - F.floor(position)) * (b - a)))
+    return picked.select(*keys, F.array(*out).alias("q"))

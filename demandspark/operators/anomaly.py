@@ -60,7 +60,9 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int,
             nodes.append((node, -1, 0.0, -1, depth + float(mean_path(len(rows)))))
             continue
         feature = int(rng.choice(varying))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        # Rounding may reach the upper end, which would leave the right side empty.
+        cut = rng.uniform(low[feature], high[feature])
+        threshold = float(min(cut, np.nextafter(high[feature], low[feature])))
         goes_left = x[rows, feature] <= threshold
         nodes.append((node, feature, threshold, used, 0.0))
         queue += [(used, rows[goes_left], depth + 1), (used + 1, rows[~goes_left], depth + 1)]

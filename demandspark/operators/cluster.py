@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -22,6 +24,7 @@ from demandspark.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 2048
 PARTITION_ROWS = 50_000
+PARALLEL_FITS = 5
 EXACT_SILHOUETTE_ROWS = 20_000
 
 
@@ -84,9 +87,12 @@ def _entity_table(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int
 
 
 def _best_kmeans(vectors: DataFrame, k: int, tries: int):
-    """The lowest-cost fit over several seeds."""
-    fits = (KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster").fit(vectors)
-            for seed in range(42, 42 + tries))
+    """The lowest-cost fit over several seeds, fitted side by side."""
+    def fit(seed: int):
+        return KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster").fit(vectors)
+
+    with ThreadPool(min(tries, PARALLEL_FITS)) as pool:
+        fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(42, 42 + tries))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

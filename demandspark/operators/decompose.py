@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,14 +85,16 @@ def stl_decompose(filled: DataFrame, value: str = "units_sold", keys: Sequence[s
         try:
             trend, seasonal, residual = stl(pdf[value].to_numpy(dtype=float), period)
         except (ValueError, ArithmeticError) as error:
-            out = pdf[keys].head(1).copy()
-            return out.assign(**{time: None, "idx": None, "observed": None, "trend": None,
-                                 "seasonal": None, "residual": None, "error": str(error)})
+            missing = pd.array([pd.NA], dtype="Float64")
+            return pdf[keys].head(1).assign(
+                **{time: None}, idx=pd.array([pd.NA], dtype="Int32"), observed=missing, trend=missing,
+                seasonal=missing, residual=missing, error=str(error))
         out = pdf[[*keys, time]].copy()
-        return out.assign(idx=range(len(pdf)), observed=pdf[value], trend=trend, seasonal=seasonal,
+        return out.assign(idx=np.arange(len(pdf), dtype=np.int32), observed=pdf[value], trend=trend, seasonal=seasonal,
                           residual=residual, error=None)
 
-    schema = T.StructType([*[filled.schema[k] for k in keys], filled.schema[time],
+    schema = T.StructType([*[filled.schema[k] for k in keys],
+                           T.StructField(time, filled.schema[time].dataType),
                            T.StructField("idx", T.IntegerType()),
                            *[T.StructField(c, T.DoubleType())
                              for c in ["observed", "trend", "seasonal", "residual"]],

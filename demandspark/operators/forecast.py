@@ -34,6 +34,12 @@ def _array_mean(values):
     return F.aggregate(values, F.lit(0.0), lambda t, v: t + v) / F.size(values)
 
 
+def _array_std(values, mean):
+    """Sample deviation, zero for a single value."""
+    total = F.aggregate(values, F.lit(0.0), lambda t, v: t + (v - mean) * (v - mean))
+    return F.when(F.size(values) > 1, F.sqrt(total / (F.size(values) - 1))).otherwise(0.0)
+
+
 def _tail(values, n: int):
     return F.when(F.size(values) > n, F.slice(values, F.size(values) - n + 1, n)).otherwise(values)
 
@@ -54,10 +60,8 @@ def next_week_features(state: DataFrame, horizon: int) -> DataFrame:
     df = df.withColumns({f"roll_mean_{w}w": _array_mean(F.col(f"tail_{w}")) for w in ROLL_WINDOWS})
     rolling = {}
     for w in ROLL_WINDOWS:
-        values, mean = F.col(f"tail_{w}"), F.col(f"roll_mean_{w}w")
-        squares = F.transform(values, lambda v, m=mean: (v - m) * (v - m))
-        total = F.aggregate(squares, F.lit(0.0), lambda t, v: t + v)
-        rolling[f"roll_std_{w}w"] = F.when(F.size(values) > 1, F.sqrt(total / (F.size(values) - 1))).otherwise(0.0)
+        values = F.col(f"tail_{w}")
+        rolling[f"roll_std_{w}w"] = _array_std(values, F.col(f"roll_mean_{w}w"))
         rolling[f"roll_max_{w}w"] = F.array_max(values)
     df = df.withColumns(rolling)
     df = df.withColumns({

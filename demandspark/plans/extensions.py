@@ -50,14 +50,16 @@ def run_extensions(panel: DataFrame, report: DataFrame, weather_table: DataFrame
 
     ``panel`` should be a stage table, since every analysis reads it.
     """
-    alerts = inventory.reorder_alerts(report)
+    def alerts():
+        return inventory.reorder_alerts(report)
+
     steps: dict[str, Callable[[], dict[str, DataFrame]]] = {
         "clustering": lambda: _clustering(panel),
         "pricing": lambda: _pricing(panel),
         "weather": lambda: _weather(panel, weather_table),
-        "alerts": lambda: {"alert_digest": inventory.alert_digest(alerts, report)},
+        "alerts": lambda: {"alert_digest": inventory.alert_digest(alerts(), report)},
         "decomposition": lambda: {"stl_summary": decompose.stl_all_series(panel)},
-        "orders": lambda: {"purchase_orders": inventory.purchase_orders(alerts, run_date)},
+        "orders": lambda: {"purchase_orders": inventory.purchase_orders(alerts(), run_date)},
         "promotions": lambda: _promotions(panel),
         "anomalies": lambda: _anomalies(panel),
     }

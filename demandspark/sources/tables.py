@@ -49,18 +49,18 @@ def retail_sales(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
         after = F.lit(end + dt.timedelta(days=1))
         lines = lines.where(F.col("l_shipdate") < after.cast(lines.schema["l_shipdate"].dataType))
     parts = table("part", "p_partkey", "p_brand").withColumn("brand_no", brand_no)
-    places = (table("supplier", "s_suppkey", "s_nationkey")
-              .join(table("nation", "n_nationkey", "n_name", "n_regionkey"),
-                    F.col("s_nationkey") == F.col("n_nationkey"))
-              .join(table("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
     def numbered(prefix: str, number):
         return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 3, "0"))
 
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     price = round_half_even(net / F.col("l_quantity"), 2)
     units = F.col("l_quantity").cast("bigint")
+    # One dimension at a time: each is then judged, and broadcast, by the size of its own files.
     return (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(table("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(table("nation", "n_nationkey", "n_name", "n_regionkey"),
+                  F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(table("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 F.col("l_shipdate").cast("date").alias("date"),
                 numbered("S", F.col("r_regionkey") + 1).alias("store_id"),

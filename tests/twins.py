@@ -34,7 +34,12 @@ def key(row):
     return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
 
 
-def compare(df, sql: str, con) -> tuple[int, list[str]]:
+def same(a: tuple, b: tuple, tolerance: float) -> bool:
+    return a == b or all(x == y or (isinstance(x, float) and isinstance(y, float) and abs(x - y) <= tolerance)
+                         for x, y in zip(a, b))
+
+
+def compare(df, sql: str, con, tolerance: float = 0.0) -> tuple[int, list[str]]:
     """Row count and differences, after sorting columns by name and rows by value."""
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -51,7 +56,7 @@ def compare(df, sql: str, con) -> tuple[int, list[str]]:
         return len(left), problems + [f"rows: spark {len(left)} sql {len(right)}"]
     left.sort(key=key)
     right.sort(key=key)
-    different = [(a, b) for a, b in zip(left, right) if a != b]
+    different = [(a, b) for a, b in zip(left, right) if not same(a, b, tolerance)]
     if different:
         problems.append(f"{len(different)} rows differ, e.g.\n   spark {different[0][0]}\n   sql   {different[0][1]}")
     return len(left), problems
