@@ -49,6 +49,7 @@ def elasticity_label(r: Retail):
     SELECT product_id, price_elasticity, {sql_he('avg_price')} AS avg_price, {sql_he('units_sold')} AS units_sold
     FROM v_base""")
 def join_price_demand_base(r: Retail):
+    r.staged()
     base = pricing.price_demand_base(r.elasticity, r.panel)
     return base.select("product_id", "price_elasticity", he("avg_price"), he("units_sold"))
 
@@ -76,6 +77,7 @@ def argmax_per_group(r: Retail):
 
 @query("optimal_price", BEST_SQL)
 def optimal_price(r: Retail):
+    r.staged()
     base = pricing.price_demand_base(pricing.simple_elasticity(r.panel), r.panel)
     return pricing.optimal_price(pricing.price_scenarios(base)).orderBy("product_id")
 
@@ -140,12 +142,14 @@ HISTOGRAM_SQL = """
 @query("uplift_histogram", HISTOGRAM_SQL.format(start=sql_he("lo + bin * w", 4), bins=40, value="uplift_pct",
                                                 low=-50, high=100, view="v_uplift"))
 def uplift_histogram(r: Retail):
+    r.staged()
     return describe.histogram(r.uplift, "uplift_pct", -50, 100, 40).withColumn("bin_start", he("bin_start", 4))
 
 
 @query("zscore_histogram", HISTOGRAM_SQL.format(start=sql_he("lo + bin * w", 4), bins=60, value=sql_he("z_score"),
                                                 low=-5, high=5, view="v_zscore"))
 def zscore_histogram(r: Retail):
+    r.staged()
     return describe.histogram(r.zscored.select(he("z_score")), "z_score", -5, 5, 60).withColumn("bin_start", he("bin_start", 4))
 
 

@@ -59,6 +59,7 @@ class Retail:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.panel_written = False
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -101,8 +102,9 @@ class Retail:
         return features.build_features(self.weekly, CATEGORIES)
 
     def staged(self) -> Retail:
-        """Write the panel once, for queries that read it several times."""
-        self.panel = staged(self.panel)
+        """Write the panel once, for queries that read it several times: one scan of the sales."""
+        if not self.panel_written:
+            self.panel, self.panel_written = staged(self.panel), True
         return self
 
     @cached_property
@@ -122,6 +124,7 @@ class Retail:
 
     @cached_property
     def report(self) -> DataFrame:
+        self.staged()
         return inventory.inventory_report(self.panel, self.stock, self.naive)
 
     @cached_property
@@ -139,6 +142,7 @@ class Retail:
     @cached_property
     def weather(self) -> DataFrame:
         """Seasonal temperature with rain by arithmetic; every tenth week is missing."""
+        self.staged()
         stores = self.panel.select("store_name", "store_id").distinct()
         spine = reports.week_store_spine(self.panel).join(stores, "store_name")
         rain = ((F.weekofyear("week_start") * 7 + number_of("store_id") * 13) % 40).cast("double")
@@ -160,6 +164,7 @@ class Retail:
 
     @cached_property
     def scenarios(self) -> DataFrame:
+        self.staged()
         return pricing.price_scenarios(pricing.price_demand_base(self.elasticity, self.panel))
 
     @cached_property
@@ -169,6 +174,7 @@ class Retail:
     @cached_property
     def flagged(self) -> DataFrame:
         """Z-scores beside an arithmetic stand-in for the forest's flag and score."""
+        self.staged()
         return anomaly.combine_anomalies(self.zscored.withColumns({
             "anomaly_if": F.col("units_sold") % 20 == 0,
             "if_score": -F.col("units_sold") / 1000}))

@@ -70,6 +70,7 @@ def seasonal_strength_matrix(r: Retail):
     f"{sql_he(c)} AS {c}" for c in ["q1", "median", "q3", "whisker_low", "whisker_high"])
     + f", outliers, n FROM ({BOX_SQL.format(by='category', value='seasonal_strength', view='v_summary')})")
 def seasonal_strength_box(r: Retail):
+    r.staged()
     box = describe.box_stats(summary(r), "seasonal_strength", "category")
     return box.select("category", *[he(c) for c in ["q1", "median", "q3", "whisker_low", "whisker_high"]],
                       "outliers", "n")

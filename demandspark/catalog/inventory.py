@@ -54,17 +54,20 @@ def eoq(r: Retail):
 
 @query("stock_position", "SELECT store_id, product_id, reorder_point, EOQ, current_stock FROM v_stocked")
 def stock_position(r: Retail):
+    r.staged()
     return inventory.stock_position(r.policy, r.stock).select(*KEYS, "reorder_point", "EOQ", "current_stock")
 
 
 @query("inventory_status", "SELECT store_id, product_id, current_stock, inventory_status FROM v_status")
 def inventory_status(r: Retail):
+    r.staged()
     stocked = inventory.stock_position(r.policy, r.stock)
     return inventory.assign_status(stocked).select(*KEYS, "current_stock", "inventory_status")
 
 
 @query("join_forecast_demand", "SELECT store_id, product_id, forecast_12w_demand FROM v_report")
 def join_forecast_demand(r: Retail):
+    r.staged()
     return inventory.join_forecast_demand(r.policy, r.naive).select(*KEYS, "forecast_12w_demand")
 
 
@@ -259,6 +262,7 @@ def sample_60(r: Retail):
     FROM v_panel UNION ALL
     SELECT {ITEM}, week_start, predicted_units, predicted_units, horizon_week FROM v_naive""")
 def append_forecast_rows(r: Retail):
+    r.staged()
     history = r.panel.select(*ITEM.split(", "), "week_start", "units_sold")
     return append_forecast(history, r.naive.withColumn("units_sold", F.col("predicted_units")))
 

@@ -72,17 +72,18 @@ def _by_brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     accuracy = int(min(max(profile.rows // 100_000, 10_000), 1_000_000))
     margin = 3.0 / accuracy
 
-    def sketch(shift: float):
-        return F.percentile_approx(
-            "value", F.array(*[F.lit(min(max(p + shift, 0.0), 1.0)) for p in probs]), accuracy)
-
-    edges = values.groupBy(*keys).agg(
-        sketch(-margin).alias("low"), sketch(margin).alias("high"), F.count("*").alias("total"))
+    # One sketch per column answers the low and the high end of every bracket.
+    ends = [min(max(p + shift, 0.0), 1.0) for shift in (-margin, margin) for p in probs]
+    cells = [F.struct(F.lit(c).alias("column"), F.percentile_approx(
+        F.col(c).cast("double"), F.array(*[F.lit(e) for e in ends]), accuracy).alias("ends"),
+        F.count(c).alias("total")) for c in columns]
+    edges = (df.groupBy(*by).agg(F.array(*cells).alias("cells")).select(*by, F.inline("cells"))
+             .where(F.col("total") > 0))
     # A group no larger than the sketch is its own bracket.
     small = F.col("total") <= accuracy
     brackets = edges.select(*keys, "total", *[c for i in range(len(probs)) for c in (
-        F.when(small, F.lit(float("-inf"))).otherwise(F.col("low")[i]).alias(f"low{i}"),
-        F.when(small, F.lit(float("inf"))).otherwise(F.col("high")[i]).alias(f"high{i}"))])
+        F.when(small, F.lit(float("-inf"))).otherwise(F.col("ends")[i]).alias(f"low{i}"),
+        F.when(small, F.lit(float("inf"))).otherwise(F.col("ends")[len(probs) + i]).alias(f"high{i}"))])
     if profile.groups_fit_broadcast:
         brackets = F.broadcast(brackets)
 

@@ -25,7 +25,7 @@ from demandspark.session import ensure_checkpoint_dir
 BLOCK_ROWS = 2048
 PARTITION_ROWS = 50_000
 PARALLEL_FITS = 5
-EXACT_SILHOUETTE_ROWS = 20_000
+EXACT_SILHOUETTE_ROWS = 200_000
 
 
 def lookup_region(df: DataFrame, regions: DataFrame | None = None, unmapped: str = "keep") -> DataFrame:
@@ -130,7 +130,11 @@ def silhouette(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence
 
 
 def _score(model, vectors: DataFrame, columns: Sequence[str], key: str, rows: int) -> float:
-    """Exact silhouette for tables whose distance sums are affordable, else the squared form."""
+    """Exact Euclidean silhouette while the distances can be summed, beyond that the squared form.
+
+    The exact form takes every distance, so its work grows with the square of the entities. The
+    score only ranks the values of k.
+    """
     labelled = model.transform(vectors)
     if rows <= EXACT_SILHOUETTE_ROWS:
         return silhouette(labelled, [f"{c}_z" for c in columns], "cluster", [key]).first()[0]

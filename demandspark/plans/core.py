@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.catalog.base import Retail
 from demandspark.functions.calendar import add_time_features
 from demandspark.operators import features, inventory, models, quality, reports
 from demandspark.operators.cleaning import clean_daily
-from demandspark.operators.forecast import naive_forecast, recursive_forecast
+from demandspark.operators.forecast import recursive_forecast
 from demandspark.operators.rollup import weekly_rollup
 from demandspark.sources import stages
 
@@ -43,7 +42,9 @@ def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
     stages neither repeat the work nor depend on cached blocks of one executor.
     """
     clean_path, panel_path = f"{root}/clean", f"{root}/features"
-    stages.write_stage(add_time_features(clean_daily(raw)), clean_path)
+    # Clustered by day, so a date range reads few files; the other keys split a busy day.
+    daily = add_time_features(clean_daily(raw)).repartitionByRange("date", "store_id", "product_id")
+    stages.write_stage(daily, clean_path)
     clean = stages.read_stage(spark, clean_path)
     stages.write_stage(build_panel(clean, categories), panel_path)
     panel = stages.read_stage(spark, panel_path)
@@ -63,11 +64,3 @@ def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
 def data_quality(raw: DataFrame) -> dict[str, DataFrame]:
     return {"profile": quality.profile(raw), "nulls": quality.null_counts(raw),
             "duplicates": quality.duplicate_count(raw), "describe": quality.describe(raw)}
-
-
-def flagship_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inventory report from the weekly roll-up, which also covers series shorter than the warm-up."""
-    retail = Retail(spark, sf_dir)
-    retail.panel = retail.weekly
-    report = inventory.inventory_report(retail.weekly, retail.stock, naive_forecast(retail.weekly))
-    return report.orderBy("store_id", "product_id")
