@@ -169,8 +169,10 @@ def anomaly_report(df: DataFrame, ordered: bool = True) -> DataFrame:
 
 def anomaly_counts(report: DataFrame) -> DataFrame:
     """Anomalies by type and by category."""
+    cells = report.groupBy("anomaly_type", "category").agg(F.count("*").alias("n"))
+
     def counts(kind: str):
-        return report.groupBy(F.lit(kind).alias("kind"), F.col(kind).alias("value")).agg(F.count("*").alias("n"))
+        return cells.groupBy(F.lit(kind).alias("kind"), F.col(kind).alias("value")).agg(F.sum("n").alias("n"))
 
     return counts("anomaly_type").unionByName(counts("category"))
 

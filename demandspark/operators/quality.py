@@ -13,9 +13,13 @@ from demandspark.functions.quantiles import DISTINCT_ERROR, ValueProfile, exact_
 
 def profile(df: DataFrame, date: str = "date",
             keys: Sequence[str] = ("store_id", "product_id", "category")) -> DataFrame:
-    """Row count, date range and distinct keys in one pass."""
-    return df.agg(F.count("*").alias("n_rows"), F.min(date).alias("date_min"), F.max(date).alias("date_max"),
-                  *[F.countDistinct(k).alias(f"n_{k}") for k in keys])
+    """Row count, date range and distinct keys.
+
+    The rows shrink to their key combinations first, so distinct counting does not multiply them.
+    """
+    combinations = df.groupBy(*keys).agg(F.count("*").alias("n"), F.min(date).alias("a"), F.max(date).alias("b"))
+    return combinations.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.min("a").alias("date_min"), F.max("b").alias("date_max"),
+                            *[F.countDistinct(k).alias(f"n_{k}") for k in keys])
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -61,8 +65,11 @@ def describe(df: DataFrame, columns: Sequence[str] = ("units_sold", "unit_price"
 
 def filter_domains(df: DataFrame, date: str = "date") -> DataFrame:
     """Choices of the dashboard filters: every store and category with its first and last date."""
+    # Both lists come from the same few combinations, whose exchange is reused.
+    cells = df.groupBy("store_name", "category").agg(F.min(date).alias("a"), F.max(date).alias("b"))
+
     def domain(column: str) -> DataFrame:
-        return df.groupBy(F.lit(column).alias("domain"), F.col(column).alias("value")).agg(
-            F.min(date).alias("date_min"), F.max(date).alias("date_max"))
+        return cells.groupBy(F.lit(column).alias("domain"), F.col(column).alias("value")).agg(
+            F.min("a").alias("date_min"), F.max("b").alias("date_max"))
 
     return domain("store_name").unionByName(domain("category"))

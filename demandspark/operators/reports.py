@@ -114,13 +114,9 @@ def executive_kpis(panel: DataFrame, report: DataFrame, alerts: DataFrame | None
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:
     """Number, quantity and value of the alerts, overall (category null) and per category."""
-    def measure(df):
-        return df.agg(F.count("*").alias("n_alerts"),
-                      F.sum("recommended_order_qty").alias("total_qty"),
-                      F.sum("estimated_order_cost").alias("total_value"))
-
-    overall = measure(alerts.groupBy()).withColumn("category", F.lit(None).cast("string"))
-    return overall.unionByName(measure(alerts.groupBy("category")))
+    return alerts.rollup("category").agg(F.count("*").alias("n_alerts"),
+                                         F.sum("recommended_order_qty").alias("total_qty"),
+                                         F.sum("estimated_order_cost").alias("total_value"))
 
 
 def best_series(panel: DataFrame, keys: Sequence[str] = SERIES_KEYS, value: str = "units_sold") -> DataFrame:
