@@ -9,6 +9,7 @@ from demandspark.catalog.sql import SALES_COLUMNS
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import calendar, labels, numeric
 from demandspark.operators import cleaning, quality
+from demandspark.session import staged
 
 DQ_COLUMNS = SALES_COLUMNS.split(", ")
 
@@ -30,7 +31,7 @@ def clamp_negative(r: Retail):
 
 @query("median_impute", "SELECT * FROM v_imputed")
 def median_impute(r: Retail):
-    return cleaning.median_impute(r.clamped)
+    return cleaning.median_impute(staged(r.clamped))
 
 
 @query("cast_flags", "SELECT date, is_promotion, stockout_flag, CAST(isodow(date) >= 6 AS INT) AS is_weekend "

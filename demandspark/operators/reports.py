@@ -44,14 +44,18 @@ def monthly_revenue(daily: DataFrame) -> DataFrame:
 
 
 def month_end_revenue(panel: DataFrame, week: str = "week_start") -> DataFrame:
-    """Revenue by month end of the week's Monday; months without sales are zero."""
-    sums = panel.groupBy(F.last_day(week).alias("month_end")).agg(F.sum("revenue").alias("revenue"))
-    # One row with the range becomes the list of months: its length is that of the calendar.
-    months = sums.agg(F.min("month_end").alias("a"), F.max("month_end").alias("b")).select(
-        F.explode(F.sequence(F.trunc("a", "month"), F.trunc("b", "month"), F.expr("interval 1 month"))).alias("m")
-    ).select(F.last_day("m").alias("month_end"))
-    return (months.join(sums, "month_end", "left")
-            .withColumn("revenue", F.coalesce("revenue", F.lit(0.0))))
+    """Revenue by month end of the week's Monday; months without sales are zero.
+
+    Each month unfolds into the months up to the next one with sales, so the panel is read once.
+    """
+    sums = panel.groupBy(F.trunc(week, "month").alias("first_day")).agg(F.sum("revenue").alias("revenue"))
+    # The window covers one row per calendar month.
+    following = F.lead("first_day").over(W.orderBy("first_day"))
+    until = F.coalesce(F.add_months("following", -1), F.col("first_day"))
+    return (sums.where(F.col("first_day").isNotNull()).withColumn("following", following)
+            .withColumn("m", F.explode(F.sequence("first_day", until, F.expr("interval 1 month"))))
+            .select(F.last_day("m").alias("month_end"),
+                    F.when(F.col("m") == F.col("first_day"), F.col("revenue")).otherwise(0.0).alias("revenue")))
 
 
 def store_year_matrix(daily: DataFrame, years: Sequence[int]) -> DataFrame:
