@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from demandspark.llm.common import table
+from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.mixing import balance
+from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +25,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: The contract's rules.
+URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
+#: Words that mark a host as unwanted where nobody labelled URLs by hand.
+REJECTED_WORDS = ("ads", "adult", "bet", "bets", "casino", "gambling", "pills", "poker", "porn", "spam", "track", "tracker", "viagra",
+                  "warez", "xxx")
+
+
+@query("op1_url_filter")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge(pages, URL_RULES, fit_ratio(seed_labels(pages, REJECTED_WORDS)))
+
+
 @query("op7_mixing", r"""
     WITH sized AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -59,3 +74,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
