@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from demandspark.llm.bpe import encode_documents
 from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
@@ -38,6 +39,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, URL_RULES, fit_ratio(seed_labels(pages, REJECTED_WORDS)))
 
 
+def byte_bpe(docs: DataFrame, **options) -> DataFrame:
+    """The 50k byte-level vocabulary of the public tokenizer files."""
+    import public_tokenizers as public
+
+    with open(public.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        return encode_documents(docs, lines.read().splitlines(), public.PATTERN, **options)
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(table(spark, sf_dir, "documents"))
+
+
 @query("op7_mixing", r"""
     WITH sized AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
