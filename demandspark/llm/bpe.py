@@ -6,7 +6,6 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -14,11 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Texts are taken together up to this many characters; a longer text is a block of its own.
-BLOCK_CHARS = 8_000_000
-#: Distinct pieces a task keeps before it starts afresh; a bound on memory, not on results.
-KEPT_PIECES = 1_000_000
-
+from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, blocks, gather
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
     """Token bytes and ranks from the lines of a rank file."""
@@ -176,44 +171,9 @@ def replay(pieces: list[bytes], table: MergeTable) -> tuple[np.ndarray, np.ndarr
     return out, sizes
 
 
-class Places(dict):
-    """Numbers keys in the order they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = value = len(self)
-        return value
-
-
-class Encoder:
-    """Encodes whole texts block by block; pieces already met are looked up."""
-
-    def __init__(self, table: MergeTable, pattern: str, kept: int = KEPT_PIECES):
-        self.table, self.split, self.kept = table, regex.compile(pattern).findall, kept
-        self.forget()
-
-    def forget(self) -> None:
-        self.place, self.flat, self.size = Places(), np.zeros(0, np.int32), np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Token ids of each text."""
-        if len(self.place) > self.kept:
-            self.forget()
-        number, docs = self.place.__getitem__, []
-        for text in texts:
-            pieces = self.split(text)
-            docs.append(np.fromiter(map(number, pieces), np.int32, len(pieces)))
-        fresh = [p.encode("utf-8", "surrogatepass") for p in islice(self.place, len(self.size), None)]
-        flat, size = replay(fresh, self.table)
-        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
-        start = np.cumsum(self.size) - self.size
-        for doc in docs:
-            yield gather(self.flat, start[doc], self.size[doc])
-
-
-def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The stretches of ``flat`` with these starts and sizes, one after another."""
-    offset = np.repeat(start - (np.cumsum(size) - size), size)
-    return flat[offset + np.arange(len(offset))]
+def piece_encoder(table: MergeTable, pattern: str, kept: int = KEPT_PIECES) -> PieceEncoder:
+    """Encodes whole texts; each distinct match of ``pattern`` goes through a replay once."""
+    return PieceEncoder(regex.compile(pattern).findall, lambda pieces: replay([p.encode("utf-8", "surrogatepass") for p in pieces], table), kept)
 
 
 class Decoder:
@@ -229,15 +189,6 @@ class Decoder:
         return gather(self.flat, self.start[ids], self.size[ids]).tobytes()
 
 
-def blocks(batches: Iterator[pd.DataFrame], column: str, chars: int = BLOCK_CHARS) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of at most ``chars`` characters, or of one longer row."""
-    for rows in batches:
-        size = rows[column].str.len().to_numpy()
-        block = np.cumsum(size) // chars if len(rows) else size
-        for _, part in rows.groupby(block, sort=False):
-            yield part
-
-
 def encode_documents(docs: DataFrame, ranks: list[bytes], pattern: str, doc_id: str = "doc_id", text: str = "text",
                      with_ids: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, and ``ids`` when asked for.
@@ -251,7 +202,7 @@ def encode_documents(docs: DataFrame, ranks: list[bytes], pattern: str, doc_id:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = MergeTable(read_ranks(shared.value))
-        encoder, decoder = Encoder(table, pattern), Decoder(table.token)
+        encoder, decoder = piece_encoder(table, pattern), Decoder(table.token)
         names = np.array([str(i) for i in range(max(table.token) + 1)], dtype=object)
         for rows in blocks(batches, "text", block_chars):
             out = []

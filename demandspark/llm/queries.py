@@ -11,6 +11,7 @@ from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.mixing import balance
+from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +82,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+#: The id that ends a document in the contract.
+END_ID = 1
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    with open(public.path("word_bpe_49k.json"), encoding="utf-8") as tokenizer:
+        folder, manifest = write_tokens(table(spark, sf_dir, "documents"), tokenizer.read(), END_ID)
+    return read_documents(folder, manifest)
+
+
 @query("op9_exact_dedup", r"""
     WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
     SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256

@@ -7,7 +7,7 @@ import random
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from demandspark.llm.bpe import Decoder, Encoder, MergeTable, encode_piece, read_ranks, replay
+from demandspark.llm.bpe import Decoder, MergeTable, encode_piece, piece_encoder, read_ranks, replay
 from demandspark.llm.queries import byte_bpe
 
 public = pytest.importorskip("public_tokenizers")
@@ -24,14 +24,14 @@ def test_matches_library_on_odd_and_random_texts():
     rng = random.Random(1)
     bits = ["a", "b", "aa", "the", "in", "ing", "er", " ", "  ", "\n", "1", "22", "é", "日本", "😀", "'s", "-", "=", "ll", "ou", "re", "tion", "on", "h"]
     texts = ODD + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 80))) for _ in range(3000)]
-    assert [x.tolist() for x in Encoder(TABLE, public.PATTERN).encode(texts)] == LIBRARY.encode_ordinary_batch(texts)
+    assert [x.tolist() for x in piece_encoder(TABLE, public.PATTERN).encode(texts)] == LIBRARY.encode_ordinary_batch(texts)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(), max_size=5))
 def test_matches_library_and_round_trips(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    ids = list(Encoder(TABLE, public.PATTERN, kept=3).encode(texts))
+    ids = list(piece_encoder(TABLE, public.PATTERN, kept=3).encode(texts))
     assert [x.tolist() for x in ids] == LIBRARY.encode_ordinary_batch(texts)
     assert [Decoder(TABLE.token).decode(x).decode() for x in ids] == texts
 
