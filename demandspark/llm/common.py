@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +25,10 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def spread(df: DataFrame, tasks_per_core: int = 2) -> DataFrame:
-    """Deal rows out round robin over at least all cores; one large file is otherwise one task."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores * tasks_per_core, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(tasks)
+def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of bounded size with the code of its class, so executors need no installed package."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)
 
 
 def components(links: DataFrame, max_rounds: int = 200) -> DataFrame:

@@ -11,6 +11,7 @@ from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.mixing import balance
+from demandspark.llm.quality import fit, score
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
@@ -53,6 +54,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(table(spark, sf_dir, "documents"))
 
 
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs))
+
+
 @query("op7_mixing", r"""
     WITH sized AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.llm.common import sent
+
 #: Longest context in bytes, contexts seen less often than MIN_CONTEXT are cut, URLs per class in the fit.
 ORDER = 5
 MIN_CONTEXT = 2
@@ -215,12 +217,14 @@ def accept_probability(pages: DataFrame, model: UrlRatio | None, url: str = "url
     """Calibrated probability that a URL is one of the accepted; 1 without a model, null URLs are empty."""
     if model is None:
         return F.lit(1.0)
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # bounded by the fit's sample
+    model_of = sent(pages.sparkSession, model)  # bounded by the fit's sample
 
     @F.pandas_udf("double")
-    def probability(urls: pd.Series) -> pd.Series:
-        code, different = pd.factorize(urls.fillna(""))
-        return pd.Series(shared.value.probability([u.encode() for u in different])[code])
+    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = model_of()
+        for urls in batches:
+            code, different = pd.factorize(urls.fillna(""))
+            yield pd.Series(model.probability([u.encode() for u in different])[code], dtype=float)
 
     return probability(F.col(url))
 
