@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from demandspark.llm import html_extract, quality
 from demandspark.llm.bpe import encode_documents
 from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.mixing import balance
-from demandspark.llm.quality import fit, score
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
@@ -41,6 +41,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, URL_RULES, fit_ratio(seed_labels(pages, REJECTED_WORDS)))
 
 
+@query("op2_html_extract")
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.main_text(pages, html_extract.fit(pages))
+
+
 def byte_bpe(docs: DataFrame, **options) -> DataFrame:
     """The 50k byte-level vocabulary of the public tokenizer files."""
     import public_tokenizers as public
@@ -57,7 +63,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(docs))
+    return quality.score(docs, quality.fit(docs))
 
 
 @query("op7_mixing", r"""
