@@ -11,6 +11,7 @@ from demandspark.llm.bpe import encode_documents
 from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
+from demandspark.llm.jaccard_join import jaccard_components
 from demandspark.llm.mixing import balance
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
@@ -120,3 +121,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_dedup")
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
