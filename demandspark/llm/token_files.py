@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -16,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.llm.blocks import BLOCK_CHARS, PieceEncoder, blocks
+from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, Places, blocks, gather
 from demandspark.session import shared_path, staged
 
 #: Ids in a sequence, sequences in a record batch.
@@ -33,25 +36,84 @@ def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
-def word_encoder(tokenizer_json: str) -> PieceEncoder:
-    """Encodes by the tokenizers library, each distinct stretch between blanks or line ends once.
+class WordTable:
+    """Ids of pieces between blanks by the tokenizers library, each distinct word encoded once while kept.
 
-    Only for tokenizers that drop white space and never join across it.
+    Only for tokenizers that lower-case, drop white space, cut words into runs of letters, and mark the
+    end of a run in its last token. A piece of letters with marks behind it, as most are, is its
+    lower-cased letters and its marks; many words of letters go to the library as one text and are told
+    apart by the end marks. Any other piece goes to the library as it is.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{}~]*)")
+
+    def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.word, self.mark = Places(), Places()
+        self.flat = {name: np.zeros(0, np.int32) for name in ("word", "mark")}
+        self.size = {name: np.zeros(0, np.int64) for name in ("word", "mark")}
+
+    def _add(self, name: str, flat: np.ndarray, size: np.ndarray) -> None:
+        self.flat[name], self.size[name] = np.concatenate([self.flat[name], flat]), np.concatenate([self.size[name], size])
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int32, int(size.sum())), size
+
+    def _runs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, _ = self._one_by_one([" ".join(words[i:i + 256]) for i in range(0, len(words), 256)])
+        last = np.flatnonzero(self.ends[flat])
+        if len(last) != len(words):
+            raise ValueError("the tokenizer does not mark the ends of words")
+        return flat, np.diff(last, prepend=-1)
+
+    def encode_all(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has."""
+        if len(self.word) > KEPT_PIECES // 2:
+            self.forget()
+        lower, match = self.word.__getitem__, self.PLAIN.fullmatch
+        word, mark, odd = np.full(len(pieces), -1), np.full(len(pieces), -1), []
+        for i, piece in enumerate(pieces):
+            m = match(piece)
+            if m:
+                word[i], mark[i] = lower(m[1].lower()), self.mark[m[2]]
+            elif piece:
+                odd.append(i)
+        fresh = list(islice(self.word, len(self.size["word"]), None))
+        if fresh:
+            self._add("word", *self._runs(fresh))
+        fresh = list(islice(self.mark, len(self.size["mark"]), None))
+        if fresh:
+            self._add("mark", *self._one_by_one(fresh))
+        others, other_size = self._one_by_one([pieces[i] for i in odd]) if odd else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        flat = np.concatenate([self.flat["word"], self.flat["mark"], others])
+        start, size = np.zeros((len(pieces), 2), np.int64), np.zeros((len(pieces), 2), np.int64)
+        plain = word >= 0
+        for column, name, at, base in ((0, "word", word, 0), (1, "mark", mark, len(self.flat["word"]))):
+            own = self.size[name]
+            start[plain, column], size[plain, column] = base + (np.cumsum(own) - own)[at[plain]], own[at[plain]]
+        base = len(flat) - len(others)
+        start[odd, 0], size[odd, 0] = base + np.cumsum(other_size) - other_size, other_size
+        return gather(flat, start.reshape(-1), size.reshape(-1)), size.sum(1)
 
-    def encode_all(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(pieces), 50_000):
-            got = [e.ids for e in tokenizer.encode_batch_fast(pieces[at:at + 50_000], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
-            ids.append(np.fromiter((i for one in got for i in one), np.int32, int(sizes[-1].sum())))
-        return np.concatenate(ids), np.concatenate(sizes)
 
-    return PieceEncoder(lambda text: text.replace("\n", " ").split(" "), encode_all)
+def word_encoder(tokenizer_json: str) -> PieceEncoder:
+    """Encoder of whole texts, the same for all tasks of a Python worker, so words met before are known."""
+    kept = sys.modules.setdefault("_kept_word_encoders", types.ModuleType("_kept_word_encoders")).__dict__
+    if tokenizer_json not in kept:
+        table = WordTable(tokenizer_json)
+        kept[tokenizer_json] = PieceEncoder(lambda text: text.replace("\n", " ").split(" "), table.encode_all, KEPT_PIECES // 2)
+    return kept[tokenizer_json]
 
 
 class SequenceWriter:

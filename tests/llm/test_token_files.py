@@ -16,7 +16,7 @@ with open(public.path("word_bpe_49k.json"), encoding="utf-8") as f:
     JSON = f.read()
 LIBRARY = tokenizers.Tokenizer.from_str(JSON)
 BITS = ["the", "The", "ΑΣ", "ς", "İ", "é", "é", "́", " ", "  ", "\n", "\t", "\r", "\xa0", " ", "\x1c", "'s", "'", "12", "-", "<|endoftext|>",
-        "日本", "😀", "ﬁ", "!", "İI", "\x00", "x̸"]
+        "日本", "😀", "ﬁ", "!", "İI", "\x00", "x̸", ".", ",", "Éa", "ß", "_", "|", "&&&", "WORD!!"]
 
 
 def whole(text):
