@@ -7,6 +7,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import zstandard
 
 #: Texts are taken together up to this many characters; a longer text is a block of its own.
 BLOCK_CHARS = 8_000_000
@@ -64,3 +65,22 @@ def blocks(batches: Iterator[pd.DataFrame], column: str = "text", chars: int = B
         block = (np.cumsum(size) - size) // chars if len(rows) else size
         for _, part in rows.groupby(block, sort=False):
             yield part
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed byte planes, which keeps small and similar numbers short."""
+    head = "\n".join(f"{a.dtype.str} {len(a)}" for a in arrays).encode()
+    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays if len(a))
+    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + body)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    at = 4 + int.from_bytes(raw[:4], "little")
+    out = []
+    for line in raw[4:at].decode().split("\n"):
+        kind, n = line.split(" ")
+        size = np.dtype(kind).itemsize * int(n)
+        out.append(np.frombuffer(raw, np.uint8, size, at).reshape(-1, max(int(n), 1)).T.copy().reshape(-1).view(kind)[:int(n)])
+        at += size
+    return out

@@ -12,6 +12,7 @@ from demandspark.llm.common import table
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.jaccard_join import jaccard_components
+from demandspark.llm.lm_score import score_documents
 from demandspark.llm.mixing import balance
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
@@ -126,3 +127,8 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_jaccard_join")
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op3_lm_score")
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
