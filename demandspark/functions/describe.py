@@ -9,17 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import clip
-from demandspark.functions.quantiles import exact_quantiles, profile_values
+from demandspark.functions.quantiles import exact_quantiles
 
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers and outlier count per group."""
     data = df.where(F.col(value).isNotNull() & F.col(by).isNotNull()).select(by, F.col(value).cast("double").alias("x"))
-    profile = profile_values(data, ["x"], [by])
-    quartiles = exact_quantiles(data, ["x"], [0.25, 0.5, 0.75], [by], profile).select(
+    quartiles = exact_quantiles(data, ["x"], [0.25, 0.5, 0.75], [by]).select(
         by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    if profile.groups_fit_broadcast:
-        quartiles = F.broadcast(quartiles)
     spread = F.col("q3") - F.col("q1")
     inside = (F.col("x") >= F.col("q1") - 1.5 * spread) & (F.col("x") <= F.col("q3") + 1.5 * spread)
     return (data.join(quartiles, by)
@@ -48,41 +45,12 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (lower triangle), one row per pair.
+    """Pearson correlation of every pair (lower triangle) on the pair's complete rows, one row per pair.
 
-    Without nulls all pairs share the sums of values and products: one generated aggregate of
-    n(n+3)/2 sums instead of six per pair. The values are taken relative to one row's, so the
-    products do not cancel. With nulls each pair is computed on its own complete rows.
+    All pairs are one lazy aggregate over one pass.
     """
     pairs = [(b, a) for a, b in combinations(columns, 2)]
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    origin = data.first()
-    if origin is None:
-        return _pairwise_correlations(data, pairs)
-    moved = {c: F.col(c) - F.lit(origin[c] if origin[c] is not None else 0.0) for c in columns}
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(c).isNull()
-    products = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    row = data.agg(F.count("*").alias("n"), F.count_if(missing).alias("missing"),
-                   *[F.sum(moved[c]).alias(f"s_{c}") for c in columns],
-                   *[F.sum(moved[x] * moved[y]).alias(f"p_{x}_{y}") for x, y in products]).first()
-    if row["missing"]:
-        return _pairwise_correlations(data, pairs)
-
-    def centred(x, y):
-        return row[f"p_{x}_{y}"] - row[f"s_{x}"] * row[f"s_{y}"] / row["n"]
-
-    def corr(x, y):
-        spread = (max(centred(x, x), 0.0) * max(centred(y, y), 0.0)) ** 0.5
-        return centred(y, x) / spread if spread > 0 else None
-
-    cells = [F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("col_name"),
-                      F.lit(corr(x, y)).cast("double").alias("corr")) for x, y in pairs]
-    return df.sparkSession.range(1).select(F.inline(F.array(*cells)))
-
-
-def _pairwise_correlations(data: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     row = data.agg(*[F.corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     cells = [F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("col_name"), F.col(f"r{i}").alias("corr"))
              for i, (x, y) in enumerate(pairs)]

@@ -1,118 +1,90 @@
-"""Exact quantiles that never gather an unbounded set of values in one task."""
+"""Exact quantiles by counting value bins; no task gathers an unbounded set of values."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-MAX_DISTINCT = 100_000
-MAX_BROADCAST_GROUPS = 50_000
-# A rough count is enough to choose a plan and keeps the sketch small.
-DISTINCT_ERROR = 0.15
+#: Bins per power of two on the first level, bins of a chosen bin on the second.
+BINS_PER_OCTAVE = 1024
+INNER_BINS = 65_536
+# Above any scaled logarithm of a double, so that bins of numbers below one stay on their side of zero.
+_OFFSET = 2.0 ** 22
 
 
-@dataclass(frozen=True)
-class ValueProfile:
-    """Size facts that choose the plan: rows, groups and distinct values per group."""
+def _bin(value: Column) -> Column:
+    """An integer that rises with the value; zero, the infinities and NaN have their own."""
+    size = F.when(F.abs(value) == float("inf"), 2 * _OFFSET).otherwise(F.floor(F.log2(F.abs(value)) * BINS_PER_OCTAVE))
+    return (F.when(F.isnan(value), 4 * _OFFSET).when(value == 0, 0.0)
+            .otherwise(F.signum(value) * (size + _OFFSET))).cast("bigint")
 
-    rows: int
-    groups: int
-    distinct: int
 
-    @property
-    def groups_fit_broadcast(self) -> bool:
-        return self.groups <= MAX_BROADCAST_GROUPS
+def _inner_bin(value: Column, low: Column, high: Column) -> Column:
+    return F.floor((value - low) / (high - low) * (INNER_BINS - 1)).cast("int")
 
 
-def profile_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> ValueProfile:
-    """One aggregate pass with sketches; a single row reaches the driver."""
-    per_group = df.groupBy(*by).agg(
-        F.count("*").alias("n"), F.greatest(*[F.approx_count_distinct(c, DISTINCT_ERROR) for c in columns], F.lit(0)).alias("d"))
-    row = per_group.agg(F.sum("n").alias("n"), F.count("*").alias("g"), F.max("d").alias("d")).first()
-    return ValueProfile(row["n"] or 0, row["g"], row["d"] or 0)
+def _holding(bins: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+    """The bins that hold a wanted rank, with ``ranks`` counted from each bin's own start."""
+    upto = F.sum("n").over(W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    before = F.col("upto") - F.col("n")
+    held = F.filter("ranks", lambda r: (r["rank"] >= before) & (r["rank"] < F.col("upto")))
+    moved = F.transform(held, lambda r: F.struct(r["i"].alias("i"), (r["rank"] - before).alias("rank")))
+    return bins.withColumn("upto", upto).withColumn("ranks", moved).where(F.size("ranks") > 0).drop("upto", "n")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), profile: ValueProfile | None = None,
-                    max_distinct: int = MAX_DISTINCT) -> DataFrame:
-    """Interpolated quantiles: one row per group and column with ``q``, an array along ``probs``.
-
-    Few distinct values per group: the built-in ``percentile``, whose state is one counter per
-    distinct value. Otherwise a sketch pass brackets every quantile, a second pass counts what lies
-    under the bracket and groups only the values inside it, and the ranks are read off there.
-    """
-    profile = profile or profile_values(df, columns, by)
-    if profile.distinct <= max_distinct:
-        return _by_percentile(df, columns, probs, by)
-    return _by_brackets(df, columns, probs, by, profile)
-
-
-def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    return df.select(*by, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join by keys that may be null."""
+    renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return left.join(F.broadcast(renamed) if small else renamed, same, how).drop(*[f"_{k}" for k in keys])
 
 
-def _by_percentile(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str]) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    aggs = [F.percentile(F.col(c).cast("double"), wanted).alias(f"q{i}") for i, c in enumerate(columns)]
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(columns)]
-    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*cells)))
-
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Interpolated quantiles: one row per group and column with ``q``, an array along ``probs``.
 
-def _by_brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str],
-                 profile: ValueProfile) -> DataFrame:
+    A group or column without values has nulls in ``q``, and without ``by`` every column has a row.
+    Rows are counted by bins of the logarithm, partially before the shuffle. The few bins that hold a
+    wanted rank are counted again by finer bins, and of those that hold one the values themselves.
+    The running counts see one row per bin. All sizes take this path.
+    """
     keys = [*by, "column"]
-    values = _long(df, columns, by)
-    # The brackets hold some 6/accuracy of a group's rows, so the accuracy grows with the data.
-    accuracy = int(min(max(profile.rows // 100_000, 10_000), 1_000_000))
-    margin = 3.0 / accuracy
-
-    # One sketch per column answers the low and the high end of every bracket.
-    ends = [min(max(p + shift, 0.0), 1.0) for shift in (-margin, margin) for p in probs]
-    cells = [F.struct(F.lit(c).alias("column"), F.percentile_approx(
-        F.col(c).cast("double"), F.array(*[F.lit(e) for e in ends]), accuracy).alias("ends"),
-        F.count(c).alias("total")) for c in columns]
-    edges = (df.groupBy(*by).agg(F.array(*cells).alias("cells")).select(*by, F.inline("cells"))
-             .where(F.col("total") > 0))
-    # A group no larger than the sketch is its own bracket.
-    small = F.col("total") <= accuracy
-    brackets = edges.select(*keys, "total", *[c for i in range(len(probs)) for c in (
-        F.when(small, F.lit(float("-inf"))).otherwise(F.col("ends")[i]).alias(f"low{i}"),
-        F.when(small, F.lit(float("inf"))).otherwise(F.col("ends")[len(probs) + i]).alias(f"high{i}"))])
-    if profile.groups_fit_broadcast:
-        brackets = F.broadcast(brackets)
-
-    # A value inside a bracket is kept; any other only counts, at the nearest bracket end below it.
-    inside, below = F.lit(False), [F.lit(float("-inf"))]
-    for i in range(len(probs)):
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        inside = inside | ((F.col("value") >= low) & (F.col("value") <= high))
-        below.append(F.when(high < F.col("value"), high))
-    marked = values.join(brackets, keys).withColumn("inside", inside)
-    mark = F.when(F.col("inside"), F.col("value")).otherwise(F.greatest(*below))
-    hits = (marked.select(*keys, "total", "inside", mark.alias("mark"))
-            .groupBy(*keys, "total", "inside", "mark").agg(F.count("*").alias("n")))
-    order = W.partitionBy(*keys).orderBy("mark", F.desc("inside")).rowsBetween(W.unboundedPreceding, 0)
-    ranked = hits.withColumn("upto", F.sum("n").over(order)).where("inside")
-
-    def value_at(rank):
-        covers = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        return F.max(F.when(covers, F.col("mark")))
-
-    aggs = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        aggs += [value_at(F.floor(position)).alias(f"a{i}"), value_at(F.ceil(position)).alias(f"b{i}")]
-    picked = ranked.groupBy(*keys, "total").agg(*aggs)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    values = df.select(*by, F.inline(F.array(*cells))).withColumn("bin", _bin(F.col("value")))
+    bins = values.groupBy(*keys, "bin").agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    everyone = bins.groupBy(*keys).agg(F.sum("n").alias("total"))
+    if not by:
+        spark = df.sparkSession
+        names = spark.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
+        everyone = names.join(everyone, "column", "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    total = F.sum("n").over(W.partitionBy(*keys))
+    places = [(i, end(F.lit(float(p)) * (F.col("total") - 1))) for i, p in enumerate(probs) for end in (F.floor, F.ceil)]
+    ranks = F.array(*[F.struct(F.lit(2 * i + k % 2).alias("i"), r.cast("bigint").alias("rank")) for k, (i, r) in enumerate(places)])
+    first = _holding(bins.where("n > 0").withColumn("total", total).withColumn("ranks", ranks).drop("total"), keys, "bin")
+
+    # Without groups the chosen bins are a few per column and broadcast; with groups their size decides.
+    wide = first.where("low < high")
+    near = _match(values, wide, [*keys, "bin"], small=not by)
+    near = near.withColumn("inner", _inner_bin(F.col("value"), F.col("low"), F.col("high")))
+    finer = near.groupBy(*keys, "bin", "inner").agg(F.count("*").alias("n"), F.any_value("ranks").alias("ranks"),
+                                                    F.any_value("low").alias("low"), F.any_value("high").alias("high"))
+    second = _holding(finer, [*keys, "bin"], "inner").withColumnRenamed("inner", "chosen")
+    last = (_match(values, second, [*keys, "bin"], small=not by)
+            .where(_inner_bin(F.col("value"), F.col("low"), F.col("high")) == F.col("chosen"))
+            .groupBy(*keys, "bin", "chosen", "value").agg(F.count("*").alias("n"), F.any_value("ranks").alias("ranks")))
+    exact = _holding(last, [*keys, "bin", "chosen"], "value").select(*keys, "value", "ranks")
+    found = first.where("NOT low < high").select(*keys, F.col("low").alias("value"), "ranks").unionByName(exact)
+    by_place = found.select(*keys, "value", F.explode("ranks").alias("r")).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("r.i"), F.col("value")))).alias("at"))
+    joined = _match(everyone, by_place, keys, "left")
     out = []
     for i, p in enumerate(probs):
-        a, b = F.col(f"a{i}"), F.col(f"b{i}")
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        lost = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-        out.append(F.when(a.isNull() | b.isNull(), lost).otherwise(a + (position - F.floor(position)) * (b - a)))
-    return picked.select(*keys, F.array(*out).alias("q"))
+        a, b = F.col("at")[2 * i], F.col("at")[2 * i + 1]
+        place = F.lit(float(p)) * (F.col("total") - 1)
+        out.append(F.when(a == b, a).otherwise(a + (place - F.floor(place)) * (b - a)))
+    return joined.select(*keys, F.array(*out).alias("q"))
+

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.numeric import floor_at_zero, round_half_even
-from demandspark.functions.quantiles import DISTINCT_ERROR, ValueProfile, exact_quantiles
+from demandspark.functions.quantiles import exact_quantiles
 from demandspark.session import staged
 
 CLAMPED = ("units_sold", "revenue", "unit_price")
@@ -29,24 +29,22 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], ValueProfile]:
-    """Columns to fill and the size facts of their values, from one pass and one row."""
-    row = df.agg(F.count("*").alias("rows"),
-                 *[F.struct(F.max(F.col(c).isNull()).alias("nulls"), F.approx_count_distinct(c, DISTINCT_ERROR).alias("distinct"))
-                   .alias(c) for c in columns]).first()
-    found = [c for c in columns if row[c]["nulls"]]
-    return found, ValueProfile(row["rows"], 1, max([row[c]["distinct"] for c in found], default=0))
+def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns to fill, from one pass and one row."""
+    row = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]
 
 
 def median_impute(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Fill nulls with the column's exact median; a filled column becomes double.
 
-    Reads ``df`` three times: pass a stage table where it is dear to compute.
+    Reads ``df`` several times: pass a stage table where it is dear to compute. A column without any
+    value stays null.
     """
-    found, profile = columns_with_nulls(df, list(columns if columns is not None else numeric_columns(df)))
+    found = columns_with_nulls(df, list(columns if columns is not None else numeric_columns(df)))
     if not found:
         return df
-    medians = exact_quantiles(df, found, [0.5], profile=profile)
+    medians = exact_quantiles(df, found, [0.5])
     table = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", F.col("q")[0]))).alias("m")).scalar()
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), table[F.lit(c)]) for c in found})
 

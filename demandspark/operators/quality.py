@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import round_half_even
-from demandspark.functions.quantiles import DISTINCT_ERROR, ValueProfile, exact_quantiles
+from demandspark.functions.quantiles import exact_quantiles
 
 
 def profile(df: DataFrame, date: str = "date",
@@ -30,28 +30,24 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of equal rows."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    """Rows beyond the first of each group of equal rows.
+
+    A hash of each row is counted first; only rows whose hash occurs again are compared whole.
+    """
+    hashed = df.select(F.struct(*df.columns).alias("row"), F.xxhash64(*df.columns).alias("hash"))
+    again = hashed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    copies = hashed.join(again, "hash", "left_semi").groupBy("row").agg(F.count("*").alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n_duplicates"))
 
 
 def describe(df: DataFrame, columns: Sequence[str] = ("units_sold", "unit_price", "revenue"),
              digits: int = 2) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per column.
-
-    The first pass also sizes the values, so the quartiles need one more.
-    """
-    row = df.agg(F.count("*").alias("rows"),
-                 *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-                            F.approx_count_distinct(c, DISTINCT_ERROR).alias("distinct")).alias(c)
-                   for c in columns]).first()
-    sizes = ValueProfile(row["rows"], 1, max(row[c]["distinct"] for c in columns))
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
     cells = [F.struct(F.lit(c).alias("column"), F.struct(
-        F.lit(row[c]["n"]).cast("bigint").alias("n"),
-        *[F.lit(row[c][k]).cast("double").alias(k) for k in ("mean", "std", "min", "max")]).alias("s")) for c in columns]
-    stats = F.broadcast(df.sparkSession.range(1).select(F.inline(F.array(*cells))))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], profile=sizes)
+        F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+        F.max(c).cast("double").alias("max")).alias("s")) for c in columns]
+    stats = F.broadcast(df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
 
     def out(col, name):
         return round_half_even(col, digits).alias(name)
