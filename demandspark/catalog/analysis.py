@@ -369,7 +369,7 @@ POINTS = [f"{c}_z" for c in PRODUCT_NUMBERS[:5]]
 @query("silhouette", f"""
     WITH z AS (SELECT product_id, {SEGMENT} AS own, """ + ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_z" for c in PRODUCT_NUMBERS[:5]) + f""" FROM v_products),
-    d AS (SELECT a.product_id, a.own, b.own AS other, sum(sqrt({' + '.join(f'(a.{c} - b.{c}) * (a.{c} - b.{c})' for c in POINTS)})) AS t,
+    d AS (SELECT a.product_id, a.own, b.own AS other, sum({' + '.join(f'(a.{c} - b.{c}) * (a.{c} - b.{c})' for c in POINTS)}) AS t,
             count(*) AS n FROM z a, z b GROUP BY ALL),
     s AS (SELECT product_id, max(CASE WHEN own = other THEN t / (n - 1) END) AS a,
             min(CASE WHEN own <> other THEN t / n END) AS b FROM d GROUP BY product_id)
@@ -377,7 +377,7 @@ POINTS = [f"{c}_z" for c in PRODUCT_NUMBERS[:5]]
 def silhouette(r: Retail):
     r.staged()
     scaled = cluster.standardise(labelled(r), PRODUCT_NUMBERS[:5])
-    return cluster.silhouette(scaled, POINTS, "segment", ["product_id"]).select(he("silhouette"))
+    return cluster.silhouette(scaled, POINTS, "segment").select(he("silhouette"))
 
 
 @query("store_clusters")

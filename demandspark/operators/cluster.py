@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator, Sequence
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -20,12 +18,12 @@ from demandspark.constants import (
 from demandspark.functions.labels import cluster_label
 from demandspark.functions.lookup import literal_table, look_up
 from demandspark.functions.numeric import round_half_even
-from demandspark.session import ensure_checkpoint_dir
+from demandspark.session import staged
 
-BLOCK_ROWS = 2048
-PARTITION_ROWS = 50_000
-PARALLEL_FITS = 5
-EXACT_SILHOUETTE_ROWS = 200_000
+#: Entities from which the fits take their first centres; all entities fit and are scored.
+START_SAMPLE = 10_000
+MAX_ROUNDS = 50
+SEED = 42
 
 
 def lookup_region(df: DataFrame, regions: DataFrame | None = None, unmapped: str = "keep") -> DataFrame:
@@ -34,8 +32,8 @@ def lookup_region(df: DataFrame, regions: DataFrame | None = None, unmapped: str
     return look_up(df, table, "store_id", unmapped=unmapped)
 
 
-def store_features(panel: DataFrame, regions: DataFrame | None = None, unmapped: str = "drop") -> DataFrame:
-    """Demand behaviour per store. The region joins the aggregate, not the panel."""
+def store_features(panel: DataFrame, regions: DataFrame | None = None, unmapped: str = "keep") -> DataFrame:
+    """Demand behaviour per store. The region joins the aggregate, not the panel; without one it is null."""
     stats = panel.groupBy("store_id", "store_name").agg(
         F.avg("units_sold").alias("avg_weekly_demand"),
         F.coalesce(F.stddev_samp("units_sold"), F.lit(0.0)).alias("demand_std"),
@@ -78,96 +76,167 @@ def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="vector").transform(scaled)
 
 
-def _entity_table(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
-    """Standardised vectors, checkpointed for the many passes of the fits, in partitions of useful size."""
-    ensure_checkpoint_dir(df.sparkSession)
-    scaled = _vectors(df, columns).checkpoint()
-    rows = scaled.count()
-    return scaled.coalesce(max(1, rows // PARTITION_ROWS)), rows
+def _entity_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Standardised vectors, staged for the passes of the fits."""
+    return staged(_vectors(df, columns).withColumn("x", vector_to_array("vector")).drop("vector"))
 
 
-def _best_kmeans(vectors: DataFrame, k: int, tries: int):
-    """The lowest-cost fit over several seeds, fitted side by side."""
-    def fit(seed: int):
-        return KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster").fit(vectors)
+def silhouette(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """Mean silhouette with squared distances, as one row.
 
-    with ThreadPool(min(tries, PARALLEL_FITS)) as pool:
-        fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(42, 42 + tries))
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def silhouette(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence[str],
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact mean silhouette with Euclidean distance, as one row.
-
-    The points of each cluster form blocks of bounded size. Every point meets every block once and
-    keeps the sum of its distances, so point pairs are never rows.
+    The mean squared distance to a cluster follows from its size, sum and sum of squares, so every
+    point meets one row per cluster. A point alone in its cluster counts as zero.
+    """
+    points = df.select(F.col(label).alias("own"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    square = F.aggregate("x", F.lit(0.0), lambda t, v: t + v * v)
+    points = points.withColumn("square", square)
+    clusters = points.groupBy("own").agg(
+        F.count("*").alias("n"), F.sum("square").alias("squares"),
+        F.array(*[F.sum(F.col("x")[i]) for i in range(len(columns))]).alias("total"))
+    table = clusters.agg(F.collect_list(F.struct("own", "n", "squares", "total"))).scalar()
+
+    def spread(c):
+        """Sum of the squared distances from the point to the cluster's points."""
+        product = F.aggregate(F.zip_with("x", c["total"], lambda p, q: p * q), F.lit(0.0), lambda t, v: t + v)
+        return F.greatest(F.lit(0.0), c["n"] * F.col("square") - 2 * product + c["squares"])
+
+    mine = F.filter("clusters", lambda c: c["own"] == F.col("own"))[0]
+    others = F.filter("clusters", lambda c: c["own"] != F.col("own"))
+    a = spread(mine) / (mine["n"] - 1)
+    b = F.array_min(F.transform(others, lambda c: spread(c) / c["n"]))
+    scored = points.withColumn("clusters", table).select(
+        F.when(mine["n"] > 1, F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))).otherwise(F.lit(0.0)).alias("s"))
+    return scored.agg(F.avg("s").alias("silhouette"))
+
+
+def _first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Centres drawn one after another with chances by squared distance to those drawn."""
+    rng = np.random.default_rng(seed)
+    centres = [sample[rng.integers(len(sample))]]
+    near = ((sample - centres[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        total = near.sum()
+        at = rng.choice(len(sample), p=near / total) if total > 0 else rng.integers(len(sample))
+        centres.append(sample[at])
+        near = np.minimum(near, ((sample - centres[-1]) ** 2).sum(1))
+    return np.array(centres)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    far = ((x[:, None, :] - centres[None]) ** 2).sum(2)
+    at = far.argmin(1)
+    return at, far[np.arange(len(x)), at]
+
+
+def _sums(table: DataFrame, candidates: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """For each set of centres the clusters' sizes, sums, sums of squares, and the cost, in one pass.
+
+    Every partition returns one row per set of centres.
     """
-    points = df.select(F.struct(*keys).alias("id"), F.col(label).alias("own"),
-                       F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
-    n_blocks = F.greatest(F.ceil(points.agg(F.count("*")).scalar() / block_rows), F.lit(1)).cast("int")
-    placed = points.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int"))
-    blocks = placed.groupBy("block", F.col("own").alias("other")).agg(F.collect_list("x").alias("members"))
-    visits = points.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-
-    def distance(a, b):
-        squares = F.zip_with(a, b, lambda p, q: (p - q) * (p - q))
-        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, v: t + v))
-
-    near = visits.join(blocks, "block").select(
-        "id", "own", "other", F.size("members").alias("n"),
-        F.aggregate("members", F.lit(0.0), lambda t, m: t + distance(m, F.col("x"))).alias("part"))
-    means = near.groupBy("id", "own", "other").agg(F.sum("part").alias("total"), F.sum("n").alias("size"))
-    mine = F.col("own") == F.col("other")
-    per_point = means.groupBy("id").agg(
-        F.max(F.when(mine, F.col("size"))).alias("own_size"),
-        F.max(F.when(mine & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
-        F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("b"))
-    gap = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
-    # A point alone in its cluster counts as zero.
-    value = F.when(F.col("own_size") > 1, F.coalesce(gap, F.lit(0.0))).otherwise(F.lit(0.0))
-    return per_point.agg(F.avg(value).alias("silhouette"))
-
-
-def _score(model, vectors: DataFrame, columns: Sequence[str], key: str, rows: int) -> float:
-    """Exact Euclidean silhouette while the distances can be summed, beyond that the squared form.
-
-    The exact form takes every distance, so its work grows with the square of the entities. The
-    score only ranks the values of k.
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = [np.zeros((len(c), c.shape[1] + 2)) for c in candidates]
+        costs = np.zeros(len(candidates))
+        for rows in batches:
+            x = np.array(rows["x"].tolist(), dtype=float)
+            for i, centres in enumerate(candidates):
+                at, far = _nearest(x, centres)
+                np.add.at(sums[i], at, np.column_stack([np.ones(len(x)), (x ** 2).sum(1), x]))
+                costs[i] += far.sum()
+        yield pd.DataFrame({"i": range(len(candidates)), "sums": [s.ravel() for s in sums], "cost": costs})
+
+    rows = table.select("x").mapInPandas(part, "i int, sums array<double>, cost double").collect()
+    out = []
+    for i, centres in enumerate(candidates):
+        own = [r for r in rows if r["i"] == i]
+        total = sum((np.array(r["sums"]).reshape(len(centres), -1) for r in own), np.zeros((len(centres), centres.shape[1] + 2)))
+        out.append((total[:, 0], total[:, 2:], total[:, 1], sum(r["cost"] for r in own)))
+    return out
+
+
+def fit_centres(table: DataFrame, ks: Sequence[int], tries: int) -> dict[int, np.ndarray]:
+    """The cheapest centres of several starts for every number of clusters.
+
+    All starts of all numbers move on in one pass over the entities per round, until none moves. An
+    empty cluster keeps its centre.
     """
-    labelled = model.transform(vectors)
-    if rows <= EXACT_SILHOUETTE_ROWS:
-        return silhouette(labelled, [f"{c}_z" for c in columns], "cluster", [key]).first()[0]
-    return ClusteringEvaluator(featuresCol="vector", predictionCol="cluster").evaluate(labelled)
+    sample = np.array([r["x"] for r in table.select("x", F.xxhash64("x").alias("h")).orderBy("h").limit(START_SAMPLE).collect()])
+    plans = [(k, _first_centres(sample, k, SEED + t)) for k in ks for t in range(tries)]
+    moving = list(range(len(plans)))
+    cost = {}
+    for _ in range(MAX_ROUNDS):
+        still = []
+        for i, (n, total, _, c) in zip(moving, _sums(table, [plans[i][1] for i in moving])):
+            cost[i] = c
+            k, old = plans[i]
+            new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], old)
+            if not np.allclose(new, old, rtol=0, atol=1e-6):
+                plans[i] = (k, new)
+                still.append(i)
+        moving = still
+        if not moving:
+            break
+    return {k: plans[min((i for i in range(len(plans)) if plans[i][0] == k), key=lambda i: (cost[i], i))][1] for k in ks}
+
+
+def _silhouettes(table: DataFrame, fits: dict[int, np.ndarray]) -> dict[int, float | None]:
+    """Mean silhouette of every number of clusters, in two passes; None with fewer than two used clusters."""
+    known = _sums(table, list(fits.values()))
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, rows_seen = np.zeros(len(known)), 0
+        for rows in batches:
+            x = np.array(rows["x"].tolist(), dtype=float)
+            rows_seen += len(x)
+            for i, ((n, sums, squares, _), centres) in enumerate(zip(known, fits.values())):
+                at, _ = _nearest(x, centres)
+                spread = np.maximum(0, n * (x ** 2).sum(1)[:, None] - 2 * x @ sums.T + squares)
+                own = np.arange(len(x)), at
+                a = spread[own] / np.maximum(n[at] - 1, 1)
+                mean = np.where(n > 0, spread / np.maximum(n, 1), np.inf)
+                mean[own] = np.inf
+                b = mean.min(1)
+                top = np.maximum(a, b)
+                total[i] += np.where((n[at] > 1) & (top > 0) & np.isfinite(b), (b - a) / np.where(top > 0, top, 1), 0.0).sum()
+        yield pd.DataFrame({"total": [total], "n": [rows_seen]})
+
+    rows = table.select("x").mapInPandas(part, "total array<double>, n long").collect()
+    n = sum(r["n"] for r in rows)
+    return {k: sum(r["total"][i] for r in rows) / n if (known[i][0] > 0).sum() > 1 else None for i, k in enumerate(fits)}
+
+
+def _assign(table: DataFrame, centres: np.ndarray, name: str) -> DataFrame:
+    """The nearest centre of every entity, as an expression."""
+    far = [F.aggregate(F.zip_with("x", F.array(*map(F.lit, c.tolist())), lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda t, v: t + v)
+           for c in centres]
+    all_far = F.array(*far)
+    return table.withColumn(name, (F.array_position(all_far, F.array_min(all_far)) - 1).cast("int"))
 
 
 def cluster_stores(features: DataFrame, columns: Sequence[str] = STORE_CLUSTER_FEATURES, max_k: int = 5,
                    tries: int = 10) -> DataFrame:
-    """KMeans on standardised store features, with the k of the best silhouette."""
-    vectors, rows = _entity_table(features, columns)
-    best, best_score = None, -1.0
-    for k in range(2, min(max_k, rows - 1) + 1):
-        model = _best_kmeans(vectors, k, tries)
-        if model.summary.k < 2:
-            continue
-        score = _score(model, vectors, columns, "store_id", rows)
-        if best is None or score > best_score:
-            best, best_score = model, score
-    if best is None:
+    """K-means on standardised store features, with the k of the best silhouette."""
+    table = _entity_table(features, columns)
+    ks = range(2, min(max_k, table.count() - 1) + 1)
+    if not ks:
         raise ValueError("clustering needs at least three stores")
-    out = best.transform(vectors).withColumnRenamed("cluster", "demand_cluster")
+    fits = fit_centres(table, ks, tries)
+    scores = {k: s for k, s in _silhouettes(table, fits).items() if s is not None}
+    if not scores:
+        raise ValueError("all stores are alike")
+    best = max(scores, key=lambda k: (scores[k], -k))
+    out = _assign(table, fits[best], "demand_cluster")
     return out.select(*features.columns, "demand_cluster",
                       cluster_label(F.col("demand_cluster")).alias("cluster_label"),
-                      F.lit(float(best_score)).alias("silhouette_score"))
+                      F.lit(float(scores[best])).alias("silhouette_score"))
 
 
 def pca_2d(features: DataFrame, columns: Sequence[str] = STORE_CLUSTER_FEATURES) -> DataFrame:
     """Two principal components of the standardised features; their signs are arbitrary."""
-    vectors, _ = _entity_table(features, columns)
-    model = PCA(k=2, inputCol="vector", outputCol="pc").fit(vectors)
+    table = _entity_table(features, columns).withColumn("vector", array_to_vector("x"))
+    model = PCA(k=2, inputCol="vector", outputCol="pc").fit(table)
     share = model.explainedVariance.toArray()
     xy = vector_to_array(F.col("pc"))
-    return model.transform(vectors).select(
+    return model.transform(table).select(
         "store_id", "store_name", xy[0].alias("pc1"), xy[1].alias("pc2"),
         F.lit(float(share[0])).alias("pc1_variance"), F.lit(float(share[1])).alias("pc2_variance"))
 
@@ -185,9 +254,8 @@ def name_segments(products: DataFrame, segment: str = "segment", value: str = "a
 
 def segment_products(features: DataFrame, k: int = 4, columns: Sequence[str] = PRODUCT_SEGMENT_FEATURES,
                      tries: int = 10) -> DataFrame:
-    vectors, _ = _entity_table(features, columns)
-    model = _best_kmeans(vectors, k, tries)
-    labelled = model.transform(vectors).withColumnRenamed("cluster", "segment")
+    table = _entity_table(features, columns)
+    labelled = _assign(table, fit_centres(table, [k], tries)[k], "segment")
     return name_segments(labelled.select(*features.columns, "segment"))
 
 
