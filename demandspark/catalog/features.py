@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from demandspark.catalog.base import CATEGORIES, Retail, he, query
 from demandspark.catalog.sql import ITEM, LAGS, SERIES, WINDOWS, lag_sql
 from demandspark.catalog.sql import he as sql_he
+from demandspark.constants import WEEKLY_INPUTS
 from demandspark.functions import calendar
 from demandspark.operators import features, models, reports
 
 KEYS = ["store_id", "product_id", "week_start"]
+CYCLIC = ["month_sin", "month_cos", "week_num_sin", "week_num_cos"]
 WEEKLY = ("store_id, store_name, product_id, product_name, category, week_start, units_sold, promo_days, "
           "stockout_days, lead_time_days, holding_cost_pct, base_price, is_festival_season, year, month, week_num, "
           "quarter, is_promo_week")
@@ -43,11 +45,11 @@ for _stat in ("mean", "std", "max"):
 
 
 @query("cyclic_encoding", "SELECT month, week_num, " + ", ".join(
-    f"{sql_he(f'any_value({c})')} AS {c}" for c in features.CYCLIC_COLS) + " FROM v_full GROUP BY month, week_num")
+    f"{sql_he(f'any_value({c})')} AS {c}" for c in CYCLIC) + " FROM v_full GROUP BY month, week_num")
 def cyclic_encoding(r: Retail):
     # The encoding depends on month and week only, so distinct pairs are encoded.
     pairs = r.weekly.select("month", "week_num").distinct()
-    return calendar.add_cyclic_features(pairs).select("month", "week_num", *[he(c) for c in features.CYCLIC_COLS])
+    return calendar.add_cyclic_features(pairs).select("month", "week_num", *[he(c) for c in CYCLIC])
 
 
 ONEHOT = [f"cat_{c}" for c in CATEGORIES[1:]]
@@ -73,17 +75,17 @@ def interaction_features(r: Retail):
 @query("drop_warmup_rows", f"SELECT {', '.join(KEYS)}, units_sold, "
                            f"{', '.join(f'lag_{k}w' for k in LAGS)} FROM v_panel")
 def drop_warmup_rows(r: Retail):
-    return features.drop_warmup(r.panel_full).select(*KEYS, "units_sold", *features.LAG_COLS)
+    return features.drop_warmup(r.panel_full).select(*KEYS, "units_sold", *[f"lag_{k}w" for k in LAGS])
 
 
-FEATURES = (features.LAG_COLS + features.ROLL_COLS + features.CYCLIC_COLS + features.CALENDAR_COLS
-            + features.INTERACTION_COLS + ONEHOT)
+FEATURES = [*(f"lag_{k}w" for k in LAGS), *(f"roll_{s}_{w}w" for w in WINDOWS for s in ("mean", "std", "max")), *CYCLIC,
+            "promo_x_festival", "price_x_promo", "demand_cv_4w", *WEEKLY_INPUTS, *ONEHOT]
 
 
 @query("feature_projection", f"SELECT {', '.join(KEYS)}, "
                              + ", ".join(f"{sql_he(c)} AS {c}" for c in FEATURES) + " FROM v_panel")
 def feature_projection(r: Retail):
-    columns = features.feature_columns(r.panel.columns)
+    columns = features.feature_columns(r.panel)
     return r.panel.select(*KEYS, *[he(F.col(c).cast("double")).alias(c) for c in columns])
 
 

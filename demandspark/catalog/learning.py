@@ -1,7 +1,4 @@
-"""Demand models and the recursive forecast.
-
-The registered model queries grow 20 trees; the library's default is 200.
-"""
+"""Demand models and the recursive forecast."""
 
 from __future__ import annotations
 
@@ -14,14 +11,14 @@ from demandspark.functions.numeric import to_units
 from demandspark.operators import models
 from demandspark.operators.features import feature_columns
 from demandspark.operators.forecast import recursive_forecast
+from demandspark.session import staged
 
-TREES = 20
 KEYS = ["store_id", "product_id", "week_start"]
 
 
-def one_model(r: Retail, build, **options) -> models.TrainedModels:
-    columns = feature_columns(r.panel.columns)
-    return models.train_models(r.panel, {build.__name__: build(columns, **options)})
+def one_model(r: Retail, build) -> models.TrainedModels:
+    columns = feature_columns(r.panel)
+    return models.train_models(r.panel, {build.__name__: build(columns)})
 
 
 @query("regression_metrics", f"""
@@ -39,8 +36,8 @@ def regression_metrics(r: Retail):
 def standardise_features(r: Retail):
     r.staged()
     from pyspark.ml.functions import vector_to_array
-    columns = feature_columns(r.panel.columns)
-    marked = models.split_by_week(r.panel).persist()
+    columns = feature_columns(r.panel)
+    marked = staged(models.split_by_week(r.panel))
     stages = models.linear_regression(columns).getStages()[:2]
     from pyspark.ml import Pipeline
     scaler = Pipeline(stages=stages).fit(marked.where("is_train"))
@@ -56,28 +53,25 @@ def linear_regression(r: Retail):
 @query("random_forest")
 def random_forest(r: Retail):
     r.staged()
-    return one_model(r, models.random_forest, trees=TREES).metrics
+    return one_model(r, models.random_forest).metrics
 
 
 @query("gradient_boosting")
 def gradient_boosting(r: Retail):
     r.staged()
-    return one_model(r, models.gradient_boosting, trees=TREES).metrics
+    return one_model(r, models.gradient_boosting).metrics
 
 
 @query("gradient_boosting_colsample")
 def gradient_boosting_colsample(r: Retail):
     r.staged()
-    return one_model(r, models.gradient_boosting_colsample, trees=TREES).metrics
+    return one_model(r, models.gradient_boosting_colsample).metrics
 
 
 @query("select_best_model")
 def select_best_model(r: Retail):
     r.staged()
-    columns = feature_columns(r.panel.columns)
-    trained = models.train_models(r.panel, {
-        "LinearRegression": models.linear_regression(columns),
-        "RandomForest": models.random_forest(columns, TREES)})
+    trained = models.train_models(r.panel)
     return trained.metrics.withColumn("is_best", F.col("model") == trained.best_name)
 
 
@@ -97,14 +91,14 @@ def first_200_scored(r: Retail):
 @query("feature_importance_top15")
 def feature_importance_top15(r: Retail):
     r.staged()
-    trained = one_model(r, models.random_forest, trees=TREES)
+    trained = one_model(r, models.random_forest)
     return models.feature_importance(trained.best_model, trained.feature_cols, r.spark)
 
 
 @query("expanding_cv_metrics")
 def expanding_cv_metrics(r: Retail):
     r.staged()
-    return models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel.columns)))
+    return models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel)))
 
 
 @query("recursive_forecast", f"""

@@ -27,8 +27,8 @@ def values(mapping: dict) -> str:
 
 
 def money(column: str) -> str:
-    """Exact sum of an amount with up to four decimals."""
-    return f"(CAST(sum(CAST(round_even({column} * 1e4, 0) AS BIGINT)) AS DOUBLE) / 1e4)"
+    """Sum of an amount, exact to eight decimals."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(28, 8))) AS DOUBLE)"
 
 
 SERIES = "PARTITION BY store_id, product_id"

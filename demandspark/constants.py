@@ -57,6 +57,17 @@ ROLL_WINDOWS = [2, 4, 8, 12]
 FESTIVAL_MONTHS = [10, 11, 12]
 EPSILON = 1e-6
 
+# Weekly columns that feed the models beside the features built from them.
+WEEKLY_INPUTS = [
+    "year", "month", "quarter", "week_num", "is_promo_week", "is_festival_season", "promo_days", "stockout_days",
+    "avg_price",
+]
+
+# Settings of the models.
+FOREST_SETTINGS = {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 5, "seed": 42}
+BOOSTING_SETTINGS = {"maxIter": 200, "maxDepth": 6, "stepSize": 0.07, "subsamplingRate": 0.85, "seed": 42}
+BOOSTING_COLUMN_SHARE = "0.8"
+
 # Price scenarios and elasticity labels with their upper bounds.
 PRICE_DELTAS = [-0.15, -0.10, -0.05, 0.0, 0.05, 0.10, 0.15]
 ELASTICITY_LABELS = [

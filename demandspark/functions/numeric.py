@@ -19,13 +19,17 @@ def floor_at_zero(col: Column) -> Column:
     return F.when(col < 0, F.lit(0)).otherwise(col)
 
 
-def money_sum(col: Column, digits: int = 4) -> Column:
-    """Sum of an amount with at most ``digits`` decimals, as whole units of the last one.
+def money(col: Column) -> Column:
+    """An amount as a wide decimal; NaN and what does not fit count as missing."""
+    return col.try_cast("decimal(28,8)")
 
-    Integer sums do not depend on the order of tasks, so a retried stage gives the same total.
+
+def money_sum(col: Column) -> Column:
+    """Sum of an amount, exact to eight decimals.
+
+    Decimal sums do not depend on the order of tasks, so a retried stage gives the same total.
     """
-    scale = 10 ** digits
-    return F.sum(F.rint(col * float(scale)).cast("bigint")) / scale
+    return F.sum(money(col)).cast("double")
 
 
 def to_units(prediction: Column) -> Column:

@@ -106,23 +106,32 @@ def stl_decompose(filled: DataFrame, value: str = "units_sold", keys: Sequence[s
 
 def decomposition_summary(components: DataFrame, keys: Sequence[str] = ITEM_KEYS,
                           epsilon: float = EPSILON) -> DataFrame:
-    """Slope of the trend, strengths, residual deviation and growth direction per series."""
+    """Slope of the trend, strengths, residual deviation and growth direction per series.
+
+    Components with an ``error`` keep a row for every series: a failed one has its text and nulls.
+    """
     def strength(part: str):
         share = F.try_divide(F.var_pop("residual"), F.var_pop(F.col(part) + F.col("residual")) + epsilon)
         return F.greatest(F.lit(0.0), 1 - share)
 
-    stats = components.where(F.col("trend").isNotNull()).groupBy(*keys).agg(
+    has_error = "error" in components.columns
+    rows = components if has_error else components.where(F.col("trend").isNotNull())
+    stats = rows.groupBy(*keys).agg(
+        F.count("trend").alias("known"),
         F.regr_slope("trend", "idx").alias("slope"),
         strength("trend").alias("trend_strength"),
         strength("seasonal").alias("seasonal_strength"),
-        F.stddev_samp("residual").alias("residual_std"))
+        F.stddev_samp("residual").alias("residual_std"),
+        *([F.max("error").alias("error")] if has_error else []))
+    fitted = F.col("known") > 0
     return stats.select(
         *keys,
         round_half_even(F.col("slope"), 4).alias("trend_slope"),
-        round_half_even(F.col("trend_strength"), 4).alias("trend_strength"),
-        round_half_even(F.col("seasonal_strength"), 4).alias("seasonal_strength"),
+        F.when(fitted, round_half_even(F.col("trend_strength"), 4)).alias("trend_strength"),
+        F.when(fitted, round_half_even(F.col("seasonal_strength"), 4)).alias("seasonal_strength"),
         round_half_even(F.col("residual_std"), 4).alias("residual_std"),
-        growth_direction(F.col("slope")).alias("growth_direction"))
+        F.when(fitted, growth_direction(F.col("slope"))).alias("growth_direction"),
+        *(["error"] if has_error else []))
 
 
 def growth_direction(slope):
@@ -130,7 +139,7 @@ def growth_direction(slope):
 
 
 def stl_all_series(panel: DataFrame) -> DataFrame:
-    """Decomposition summary of every series of two years or more."""
+    """Decomposition summary of every series of two years or more; a failed one has a row with its error."""
     return decomposition_summary(stl_decompose(long_series(gap_fill(panel))))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -13,12 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from demandspark.constants import EPSILON, SERIES_KEYS
+from demandspark.constants import BOOSTING_COLUMN_SHARE, BOOSTING_SETTINGS, EPSILON, FOREST_SETTINGS, SERIES_KEYS
 from demandspark.functions.numeric import to_units
 from demandspark.operators.features import feature_columns
 from demandspark.session import staged
 
 TARGET = "units_sold"
+PARALLEL_FITS = 4
 
 
 # --- splits -----------------------------------------------------------------------------------
@@ -91,28 +93,24 @@ def linear_regression(columns: Sequence[str]) -> Pipeline:
     return _pipeline(columns, LinearRegression(labelCol=TARGET, solver="normal"), scaled=True)
 
 
-def random_forest(columns: Sequence[str], trees: int = 200) -> Pipeline:
-    return _pipeline(columns, RandomForestRegressor(
-        labelCol=TARGET, numTrees=trees, maxDepth=10, minInstancesPerNode=5, seed=42), scaled=False)
+def random_forest(columns: Sequence[str], **settings) -> Pipeline:
+    return _pipeline(columns, RandomForestRegressor(labelCol=TARGET, **{**FOREST_SETTINGS, **settings}), scaled=False)
 
 
-def gradient_boosting(columns: Sequence[str], trees: int = 200) -> Pipeline:
-    return _pipeline(columns, GBTRegressor(
-        labelCol=TARGET, maxIter=trees, maxDepth=6, stepSize=0.07, subsamplingRate=0.85, seed=42), scaled=False)
+def gradient_boosting(columns: Sequence[str], **settings) -> Pipeline:
+    return _pipeline(columns, GBTRegressor(labelCol=TARGET, **{**BOOSTING_SETTINGS, **settings}), scaled=False)
 
 
-def gradient_boosting_colsample(columns: Sequence[str], trees: int = 200) -> Pipeline:
-    return _pipeline(columns, GBTRegressor(
-        labelCol=TARGET, maxIter=trees, maxDepth=6, stepSize=0.07, subsamplingRate=0.85,
-        featureSubsetStrategy="0.8", seed=42), scaled=False)
+def gradient_boosting_colsample(columns: Sequence[str], **settings) -> Pipeline:
+    return gradient_boosting(columns, **{"featureSubsetStrategy": BOOSTING_COLUMN_SHARE, **settings})
 
 
-def default_models(columns: Sequence[str], trees: int = 200) -> dict[str, Pipeline]:
+def default_models(columns: Sequence[str]) -> dict[str, Pipeline]:
     return {
         "LinearRegression": linear_regression(columns),
-        "RandomForest": random_forest(columns, trees),
-        "GradientBoosting": gradient_boosting(columns, trees),
-        "GradientBoostingColsample": gradient_boosting_colsample(columns, trees),
+        "RandomForest": random_forest(columns),
+        "GradientBoosting": gradient_boosting(columns),
+        "GradientBoostingColsample": gradient_boosting_colsample(columns),
     }
 
 
@@ -137,6 +135,12 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.select(*rows.columns, "predicted")
 
 
+def side_by_side(spark, fits: Sequence[Callable], rows: DataFrame) -> list:
+    """Run independent fits at once; each is many small jobs that leave cores idle."""
+    with ThreadPool(min(len(fits), PARALLEL_FITS)) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda fit: fit(rows)), fits)
+
+
 @dataclass
 class TrainedModels:
     best_name: str
@@ -149,12 +153,12 @@ class TrainedModels:
 def train_models(panel: DataFrame, models: Mapping[str, Pipeline] | None = None,
                  split: Callable[[DataFrame], DataFrame] = split_by_week) -> TrainedModels:
     """Fit every model on the training rows and keep the one with the lowest test RMSE."""
-    columns = feature_columns(panel.columns)
+    columns = feature_columns(panel)
     models = models or default_models(columns)
-    marked = split(panel).persist(StorageLevel.MEMORY_AND_DISK)
+    marked = staged(split(panel))
     train = marked.where("is_train").drop("is_train")
     test = marked.where("NOT is_train").drop("is_train")
-    fitted = {name: pipeline.fit(train) for name, pipeline in models.items()}
+    fitted = dict(zip(models, side_by_side(train.sparkSession, [p.fit for p in models.values()], train)))
     tables = [regression_metrics(score(model, test)).withColumn("model", F.lit(name))
               for name, model in fitted.items()]
     metrics = tables[0]
@@ -168,11 +172,10 @@ def train_models(panel: DataFrame, models: Mapping[str, Pipeline] | None = None,
 
 def cross_validate(panel: DataFrame, pipeline: Pipeline, folds: int = 5) -> DataFrame:
     """Metrics over the validation rows of all expanding folds."""
-    marked = expanding_folds(panel, folds).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    for v in range(1, folds + 1):
-        model = pipeline.fit(marked.where(F.col("fold") < v))
-        parts.append(score(model, marked.where(F.col("fold") == v)))
+    marked = staged(expanding_folds(panel, folds))
+    fits = [lambda rows, v=v: pipeline.fit(rows.where(F.col("fold") < v)) for v in range(1, folds + 1)]
+    fitted = side_by_side(panel.sparkSession, fits, marked)
+    parts = [score(model, marked.where(F.col("fold") == v)) for v, model in enumerate(fitted, 1)]
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.constants import ITEM_KEYS
 from demandspark.functions.calendar import add_week_calendar, festival_flag, week_start
-from demandspark.functions.numeric import money_sum
+from demandspark.functions.numeric import money, money_sum
 
 
 def weekly_rollup(daily: DataFrame, date: str = "date", pre_shuffle: bool = False) -> DataFrame:
@@ -27,7 +27,7 @@ def weekly_rollup(daily: DataFrame, date: str = "date", pre_shuffle: bool = Fals
               .groupBy(*ITEM_KEYS, "week_start")
               .agg(total(F.sum("units_sold").cast("bigint")).alias("units_sold"),
                    total(money_sum(F.col("revenue"))).alias("revenue"),
-                   (money_sum(F.col("unit_price")) / F.count("unit_price")).alias("avg_price"),
+                   (money_sum(F.col("unit_price")) / F.count(money(F.col("unit_price")))).alias("avg_price"),
                    total(F.sum("is_promotion").cast("bigint")).alias("promo_days"),
                    total(F.sum("stockout_flag").cast("bigint")).alias("stockout_days"),
                    F.max("lead_time_days").alias("lead_time_days"),

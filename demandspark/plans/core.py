@@ -31,8 +31,7 @@ class CoreTables:
 
 
 def build_panel(clean: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    weekly = weekly_rollup(clean)
-    return features.build_features(weekly, categories or features.category_domain(weekly))
+    return features.build_features(weekly_rollup(clean), categories or features.category_domain(clean))
 
 
 def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
@@ -42,13 +41,13 @@ def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
     stages neither repeat the work nor depend on cached blocks of one executor.
     """
     clean_path, panel_path = f"{root}/clean", f"{root}/features"
-    # Clustered by day, so a date range reads few files; the other keys split a busy day.
-    daily = add_time_features(clean_daily(raw)).repartitionByRange("date", "store_id", "product_id")
+    # Clustered by day, so a date range reads few files; the hint also splits a busy day by size.
+    daily = add_time_features(clean_daily(raw)).hint("rebalance", "date")
     stages.write_stage(daily, clean_path)
     clean = stages.read_stage(spark, clean_path)
     stages.write_stage(build_panel(clean, categories), panel_path)
     panel = stages.read_stage(spark, panel_path)
-    columns = features.feature_columns(panel.columns)
+    columns = features.feature_columns(panel)
     trained = models.train_models(panel, (models_of or models.default_models)(columns), split)
     models.save_model(trained.best_model, f"{root}/model")
     forecast = recursive_forecast(panel, trained.best_model.transform, weeks)

@@ -200,3 +200,29 @@ def test_csv_and_stage_round_trip(spark, tmp_path):
     weekly = df.select(F.lit("2024-01-01").alias("week_start"), "units_sold")
     stages.write_stage(weekly, f"{tmp_path}/weekly")
     assert stages.read_stage(spark, f"{tmp_path}/weekly").first().week_start == dt.date(2024, 1, 1)
+
+
+def test_store_without_region_stays(make_weekly):
+    from demandspark.operators import features
+
+    rows = [(s, "P001", i, 10 + i % 5) for s in ("S001", "S006") for i in range(30)]
+    stores = cluster.store_features(features.build_features(make_weekly(rows), ["CAT0"])).collect()
+    assert {r.store_id: r.region for r in stores} == {"S001": "West", "S006": None}
+
+
+def test_money_keeps_small_amounts_and_skips_nan(spark):
+    from demandspark.functions.numeric import money, money_sum
+
+    df = spark.createDataFrame([(0.00004, 1.0), (0.00004, float("nan")), (0.00004, 2.0)], "a double, b double")
+    row = df.agg(money_sum(F.col("a")).alias("a"), money_sum(F.col("b")).alias("b"), F.count(money(F.col("b"))).alias("n")).first()
+    assert (row.a, row.b, row.n) == (0.00012, 3.0, 2)
+
+
+def test_failed_series_has_a_row(make_weekly):
+    from demandspark.operators import decompose
+
+    panel = make_weekly([("S001", "P001", i, 10 + i % 7) for i in range(120)] + [("S001", "P002", i, 5) for i in range(60)])
+    summary = decompose.decomposition_summary(decompose.stl_decompose(decompose.gap_fill(panel)))
+    rows = {r.product_id: r for r in summary.collect()}
+    assert rows["P001"].error is None and rows["P001"].growth_direction is not None
+    assert "two periods" in rows["P002"].error and rows["P002"].trend_strength is None and rows["P002"].growth_direction is None

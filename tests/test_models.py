@@ -54,9 +54,9 @@ def test_metrics_formula(spark):
 
 
 def test_train_select_save_and_forecast(spark, panel, tmp_path):
-    columns = features.feature_columns(panel.columns)
+    columns = features.feature_columns(panel)
     trained = models.train_models(panel, {"LinearRegression": models.linear_regression(columns),
-                                          "RandomForest": models.random_forest(columns, 5)})
+                                          "RandomForest": models.random_forest(columns, numTrees=5)})
     metrics = {r.model: r.RMSE for r in trained.metrics.collect()}
     assert trained.best_name == min(metrics, key=metrics.get)
     assert trained.scored.where("predicted < 0").count() == 0
@@ -88,8 +88,8 @@ def test_forecast_of_a_short_history(make_weekly):
 
 
 def test_tree_importance(spark, panel):
-    columns = features.feature_columns(panel.columns)
-    trained = models.train_models(panel, {"GradientBoosting": models.gradient_boosting(columns, 3)})
+    columns = features.feature_columns(panel)
+    trained = models.train_models(panel, {"GradientBoosting": models.gradient_boosting(columns, maxIter=3)})
     top = models.feature_importance(trained.best_model, columns, spark).collect()
     assert len(top) == 15 and [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
 
@@ -193,12 +193,11 @@ def test_clusters(panel):
     assert flat[0].pc1_variance >= flat[0].pc2_variance
 
 
-@pytest.mark.parametrize("block_rows", [3, 2048])
-def test_silhouette_against_all_pairs(spark, block_rows):
+def test_silhouette_against_all_pairs(spark):
     rng = np.random.default_rng(8)
     x, label = rng.normal(size=(25, 2)), rng.integers(0, 3, 25)
     label[24] = 3
-    distance = np.linalg.norm(x[:, None] - x[None], axis=2)
+    distance = ((x[:, None] - x[None]) ** 2).sum(2)
     want = []
     for i in range(25):
         mine = (label == label[i]) & (np.arange(25) != i)
@@ -210,10 +209,25 @@ def test_silhouette_against_all_pairs(spark, block_rows):
         want.append((b - a) / max(a, b))
     df = spark.createDataFrame([(i, float(p[0]), float(p[1]), int(l)) for i, (p, l) in enumerate(zip(x, label))],
                                "id int, x double, y double, label int")
-    got = cluster.silhouette(df, ["x", "y"], "label", ["id"], block_rows).first()[0]
+    got = cluster.silhouette(df, ["x", "y"], "label").first()[0]
     assert got == pytest.approx(np.mean(want))
 
 
+def test_clusters_of_known_groups(spark):
+    """Well separated groups come out whole, with the silhouette of the plain operator."""
+    rng = np.random.default_rng(3)
+    rows = [(f"S{i}", f"n{i}", float(g * 20 + e[0]), float(g % 2 * 30 + e[1])) for i, (g, e) in
+            enumerate(zip(rng.integers(0, 4, 300), rng.normal(size=(300, 2))))]
+    df = spark.createDataFrame(rows, "store_id string, store_name string, a double, b double").repartition(5)
+    got = cluster.cluster_stores(df, ["a", "b"], max_k=5, tries=3)
+    groups = {}
+    for r in got.collect():
+        groups.setdefault(r.demand_cluster, set()).add(round(r.a / 20))
+    assert len(groups) == 4 and sorted(min(g) for g in groups.values()) == [0, 1, 2, 3] and all(len(g) == 1 for g in groups.values())
+    scaled = cluster.standardise(got, ["a", "b"])
+    assert got.first().silhouette_score == pytest.approx(cluster.silhouette(scaled, ["a_z", "b_z"], "demand_cluster").first()[0])
+
+
 def test_standardise_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert [(r.a_z, r.b_z) for r in cluster.standardise(df, ["a", "b"]).orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
