@@ -189,8 +189,9 @@ def _prepare(window: int):
                 # Shingles that no other set has come first in the order and are not in g.
                 prefix.append(g[:max(0, n - -(-window * n // 100) + 1 - (n - len(g)))])
                 grams.append(np.sort(g).tobytes())
-            yield pd.DataFrame({"sid": rows["sid"], "n": rows["n"], "apart": (rows["n"] - rows["grams"].str.len()) / rows["n"],
-                                "meet": meet, "prefix": prefix, "grams": grams})
+            alone = rows["n"] - rows["grams"].str.len()
+            yield pd.DataFrame({"sid": rows["sid"], "n": rows["n"], "alone": alone, "apart": alone / rows["n"], "meet": meet, "prefix": prefix,
+                                "grams": grams})
     return prepare
 
 
@@ -242,40 +243,50 @@ def pivots(sets: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> Dat
     return done.unionByName(active.select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("d")))
 
 
+def _candidates(sets: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs that hold every set and pivot within the pivot's window, ``t`` as a similarity, and few others.
+
+    Shingles are in one order for all sets, the rarest first. Two sets as similar as t share one of
+    the first n - ceil(t n) + 1 of both, and behind the first one they share, both still have what
+    the overlap needs.
+    """
+    rows = sets.select("sid", "n", F.posexplode("prefix").alias("at", "g"), "alone").withColumn("at", F.col("at") + F.col("alone")).drop("alone")
+    centres = (rows.join(heads, rows.sid == heads.home).filter(F.col("at") <= F.col("n") - F.ceil(F.col("t") * F.col("n")))
+               .select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), "g", "t"))
+    t, n, n_b = F.col("t"), F.col("n"), F.col("n_b")
+    met = rows.join(centres, "g").filter(
+        (F.col("sid") != F.col("b")) & (n >= t * n_b) & (n_b >= t * n) & (F.col("at") <= n - F.ceil(t * n))
+        & (F.least(n - F.col("at"), n_b - F.col("at_b")) >= t / (1 + t) * (n + n_b)))
+    return met.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
+
+
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``a, b``: links between sets that connect all that are linked, directly or over others.
 
-    Let r be the largest distance of a link. A set x lies within r of its pivot p, so whatever links to
-    x lies within 2r of p: that window is joined exactly, over the rarest shingles of both, and gives
-    each region the boundary sets of others. What lies within r of p is linked to p, hence connected
-    to all of its region. A boundary set y beyond r is compared with the region's sets x unless the
-    links so far connect them, and only where the distances to p differ by r at most.
+    Let r be the largest distance of a link. What links to a set of pivot p's region, at a distance d
+    from p, lies within d + r of p: a window of the region's radius plus r, joined exactly, gives each
+    region the boundary sets of others. What lies within r of p is linked to p, hence connected to all
+    of its region. A boundary set beyond r is compared with the region's sets unless the links so far
+    connect them, and only where the distances to p differ by r at most.
     """
     reach = (100 - percent) / 100 + 1e-9
     regions = staged(pivots(sets, percent))
-    heads = regions.filter("sid = home").select(F.col("sid").alias("pivot"))
-    rows = sets.select("sid", "n", F.explode("prefix").alias("g"))
-    marked = staged(rows.join(heads, F.col("sid") == F.col("pivot"), "left"))
-    centres = marked.filter("pivot is not null").select(F.col("sid").alias("b"), F.col("n").alias("n_b"), "g")
-    window = max(0, 2 * percent - 100)
-    meets = marked.join(centres, "g").filter(
-        (F.col("sid") != F.col("b")) & (F.col("pivot").isNull() | (F.col("sid") < F.col("b")))
-        & (F.col("n") * 100 >= F.col("n_b") * window) & (F.col("n_b") * 100 >= F.col("n") * window))
-    near = meets.select(F.col("sid").alias("a"), "b").distinct()
-    seen = staged(_overlaps(near, sets).filter(F.col("common") * 100 >= F.col("either") * window))
+    heads = staged(regions.groupBy("home").agg(F.max("d").alias("radius"))
+                   .select("home", "radius", F.greatest(F.lit(0.0), 1 - reach - F.col("radius") - 1e-9).alias("t")))
+    seen = staged(_overlaps(_candidates(sets, heads), sets))
     link = F.col("common") * 100 >= F.col("either") * percent
     stars = staged(seen.filter(link).select("a", "b").unionByName(regions.filter("sid <> home").select(F.col("sid").alias("a"), F.col("home").alias("b"))))
     part = components(stars)
-    apart = F.col("d_p") - F.col("d") <= reach
     edge = seen.filter(~link).withColumn("d_p", 1 - F.col("common") / F.col("either"))
-    both = edge.select("a", F.col("b").alias("p"), "d_p").unionByName(
-        edge.join(heads, F.col("a") == F.col("pivot")).select(F.col("b").alias("a"), F.col("a").alias("p"), "d_p"))
+    wide = heads.filter("radius > 0").select(F.col("home").alias("p"), "radius")
+    both = (edge.select("a", F.col("b").alias("p"), "d_p").unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("p"), "d_p"))
+            .join(wide, "p").filter(F.col("d_p") <= F.col("radius") + reach))
     mine = part.select(F.col("id").alias("a"), F.col("component_id").alias("of_a"))
     theirs = part.select(F.col("id").alias("p"), F.col("component_id").alias("of_p"))
     open_edges = (both.join(mine, "a", "left").join(theirs, "p", "left")
                   .filter(F.coalesce("of_a", "a") != F.coalesce("of_p", "p")))
     members = regions.filter("sid <> home").select(F.col("sid").alias("x"), F.col("home").alias("p"), "d")
-    pairs = open_edges.join(members, "p").filter(apart & (F.col("x") != F.col("a"))).select(
+    pairs = open_edges.join(members, "p").filter((F.col("d_p") - F.col("d") <= reach) & (F.col("x") != F.col("a"))).select(
         F.least("a", "x").alias("a"), F.greatest("a", "x").alias("b")).distinct()
     return stars.unionByName(_overlaps(pairs, sets).filter(link).select("a", "b"))
 
@@ -307,7 +318,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "d
     ordered = (rows.join(often, "g").groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
                .filter(F.size("o") * 100 >= F.col("n") * percent).select("sid", "n", F.col("o.g").alias("grams")))
     ready = staged(ordered.mapInPandas(_prepare(max(0, 2 * percent - 100)),
-                                       "sid long, n int, apart double, meet array<long>, prefix array<long>, grams binary"))
+                                       "sid long, n int, alone int, apart double, meet array<long>, prefix array<long>, grams binary"))
     part = components(links(ready, percent))
     named = sets.select("sid", "digest").join(classes.select("digest", "first_id"), "digest").join(part, F.col("sid") == F.col("id"), "left")
     named = named.withColumn("part", F.coalesce("component_id", "sid"))
