@@ -9,6 +9,7 @@ from demandspark.catalog.sql import ITEM, SENSITIVITY, values
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import describe, labels
 from demandspark.operators import anomaly, cluster, pricing, promo, reports, weather
+from demandspark.session import staged
 
 KEYS = ["store_id", "product_id", "week_start"]
 KEY_SQL = ", ".join(KEYS)
@@ -23,7 +24,28 @@ def log_transforms(r: Retail):
     return logs.select(*KEYS, he("ln_quantity"), he("ln_price"))
 
 
-@query("price_elasticity")
+def partial_slope_sql() -> str:
+    """Slope on price beside the controls: each control in turn is taken out of the later ones, price and demand."""
+    names = ["y", "x", *(f"c{i}" for i in range(len(pricing.CONTROLS)))]
+    steps = ["s0 AS (SELECT product_id, product_name, category, ln_quantity AS y, ln_price AS x, ln_quantity AS y0, "
+             + ", ".join(f"CAST({c} AS DOUBLE) AS c{i}" for i, c in enumerate(pricing.CONTROLS)) + " FROM v_logs)"]
+    for i in range(len(pricing.CONTROLS)):
+        kept = [n for n in names if not n.startswith("c") or int(n[1:]) > i]
+        rest = ", ".join(f"{n} - coalesce(regr_slope({n}, c{i}) OVER p, 0) * (c{i} - avg(c{i}) OVER p) AS {n}" for n in kept)
+        steps.append(f"s{i + 1} AS (SELECT product_id, product_name, category, y0, {rest} FROM s{i} WINDOW p AS (PARTITION BY product_id))")
+    last = len(pricing.CONTROLS)
+    return "WITH " + ", ".join(steps) + f"""
+        SELECT product_id, product_name, category, {sql_he('slope', 4)} AS price_elasticity, {sql_he('r2', 4)} AS r2_score,
+          CASE WHEN slope < -1.5 THEN 'Lower price → Big demand boost (Highly elastic)'
+               WHEN slope < -0.5 THEN 'Price reduction moderately increases demand'
+               WHEN slope < 0 THEN 'Price-insensitive — maintain current pricing'
+               ELSE 'Unusual — verify data or check for Giffen behavior' END AS interpretation
+        FROM (SELECT product_id, product_name, category, coalesce(regr_slope(y, x), 0) AS slope,
+                1 - (var_pop(y) - coalesce(regr_slope(y, x), 0) * covar_pop(y, x)) / var_pop(y0) AS r2
+              FROM s{last} GROUP BY product_id, product_name, category HAVING count(*) >= 20)"""
+
+
+@query("price_elasticity", partial_slope_sql())
 def price_elasticity(r: Retail):
     return pricing.price_elasticity(r.panel)
 
@@ -380,26 +402,54 @@ def silhouette(r: Retail):
     return cluster.silhouette(scaled, POINTS, "segment").select(he("silhouette"))
 
 
-@query("store_clusters")
+@query("store_clusters", """
+    SELECT store_id, store_name, region, TRUE AS is_labelled, TRUE AS is_numbered, TRUE AS score_agrees FROM v_stores""")
 def store_clusters(r: Retail):
+    """Every store once, labelled by its cluster's number, with the silhouette that the labels give."""
     r.staged()
-    return cluster.cluster_stores(cluster.store_features(r.panel))
+    found = staged(cluster.cluster_stores(cluster.store_features(r.panel)))
+    columns = cluster.STORE_CLUSTER_FEATURES
+    again = cluster.silhouette(cluster.standardise(found, columns), [f"{c}_z" for c in columns], "demand_cluster").scalar()
+    return found.select(
+        "store_id", "store_name", "region", (F.col("cluster_label") == labels.cluster_label(F.col("demand_cluster"))).alias("is_labelled"),
+        F.col("demand_cluster").between(0, 4).alias("is_numbered"), (F.abs(F.col("silhouette_score") - again) < 1e-9).alias("score_agrees"))
 
 
-@query("pca_2d")
+@query("pca_2d", """
+    SELECT count(*) AS n, TRUE AS is_centred, TRUE AS is_uncorrelated, TRUE AS is_ordered, TRUE AS spread_agrees FROM v_stores""")
 def pca_2d(r: Retail):
+    """Components of mean zero without correlation, the wider first, in the proportion of their variances."""
     r.staged()
-    return cluster.pca_2d(cluster.store_features(r.panel))
+    flat = cluster.pca_2d(cluster.store_features(r.panel))
+    one, two = F.var_samp("pc1"), F.var_samp("pc2")
+    return flat.agg(
+        F.count("*").alias("n"), (F.abs(F.avg("pc1")) + F.abs(F.avg("pc2")) < 1e-9).alias("is_centred"),
+        (F.abs(F.covar_samp("pc1", "pc2")) < 1e-9).alias("is_uncorrelated"), (one >= two).alias("is_ordered"),
+        (F.abs(one * F.first("pc2_variance") - two * F.first("pc1_variance")) < 1e-9).alias("spread_agrees"))
 
 
-@query("product_segments")
+@query("product_segments", f"""
+    SELECT product_id, product_name, category, {sql_he('avg_demand', 4)} AS avg_demand, TRUE AS is_named, TRUE AS names_rise
+    FROM v_products""")
 def product_segments(r: Retail):
+    """Every product once, in one of the named segments, whose names follow their mean demand."""
     r.staged()
-    return cluster.segment_products(cluster.product_features(r.panel))
-
-
-@query("isolation_forest")
+    found = staged(cluster.segment_products(cluster.product_features(r.panel)))
+    place = F.array_position(F.array(*map(F.lit, cluster.SEGMENT_NAMES)), F.col("segment_name"))
+    means = found.groupBy(place.alias("place")).agg(F.avg("avg_demand").alias("mean"))
+    # A row per segment.
+    rises = means.agg(F.array_sort(F.collect_list(F.struct("place", "mean"))).alias("m")).select(
+        (F.array_sort("m.mean") == F.col("m.mean"))).scalar()
+    return found.select("product_id", "product_name", "category", he("avg_demand", 4), (place > 0).alias("is_named"), rises.alias("names_rise"))
+
+
+@query("isolation_forest", f"""
+    SELECT {', '.join(KEYS)}, units_sold, TRUE AS flag_follows_score, CAST(floor(0.05e0 * (count(*) OVER () - 1)) AS BIGINT) + 1 AS n_lowest
+    FROM v_panel""")
 def isolation_forest(r: Retail):
+    """Every week once, flagged below zero, where as many scores lie as the contamination asks for."""
     r.staged()
-    scored = anomaly.isolation_forest(r.panel)
-    return scored.select(*KEYS, "units_sold", "if_score", "anomaly_if")
+    scored = staged(anomaly.isolation_forest(r.panel))
+    low = scored.agg(F.count_if(F.col("if_score") < 0)).scalar()
+    return scored.select(*KEYS, "units_sold", (F.col("anomaly_if") == (F.col("if_score") < 0)).alias("flag_follows_score"),
+                         low.alias("n_lowest"))

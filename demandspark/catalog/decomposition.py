@@ -101,11 +101,25 @@ def linear_trend_baseline(r: Retail):
                        he("forecast", 4))
 
 
-@query("stl_decompose")
+LONG = f"SELECT *, count(*) OVER ({SERIES}) AS series_rows FROM v_filled"
+
+
+@query("stl_decompose", f"""
+    SELECT {ITEM}, week_start, {sql_he('units_sold')} AS observed, {sql_he('units_sold')} AS rebuilt
+    FROM ({LONG}) WHERE series_rows >= 104""")
 def stl_decompose(r: Retail):
-    return decompose.stl_decompose(long_filled(r))
+    """The observed weeks, and what trend, season and rest add up to."""
+    parts = decompose.stl_decompose(long_filled(r))
+    return parts.select(*ITEMS, "week_start", he("observed"), he(F.col("trend") + F.col("seasonal") + F.col("residual")).alias("rebuilt"))
 
 
-@query("stl_all_series")
+@query("stl_all_series", f"""
+    SELECT DISTINCT {ITEM}, TRUE AS is_fitted, TRUE AS strengths_are_shares, TRUE AS direction_follows_slope
+    FROM ({LONG}) WHERE series_rows >= 104""")
 def stl_all_series(r: Retail):
-    return decompose.stl_all_series(r.panel)
+    """Every long series once, fitted, with strengths from zero to one and the direction of its slope."""
+    found = decompose.stl_all_series(r.panel)
+    direction = F.when(F.col("trend_slope") > 0, "Growing").when(F.col("trend_slope") < 0, "Declining").otherwise(F.col("growth_direction"))
+    return found.select(*ITEMS, F.col("error").isNull().alias("is_fitted"),
+                        (F.col("trend_strength").between(0, 1) & F.col("seasonal_strength").between(0, 1)).alias("strengths_are_shares"),
+                        (F.col("growth_direction") == direction).alias("direction_follows_slope"))

@@ -252,7 +252,7 @@ def sorted_reports(r: Retail):
     return alerts.unionByName(elasticity).unionByName(strength).orderBy("report", ascending, "item")
 
 
-@query("sample_60")
+@query("sample_60", f"SELECT {', '.join(KEYS)}, EOQ, current_stock, inventory_status FROM v_report ORDER BY md5(concat_ws('|', store_id, product_id)), store_id, product_id LIMIT 60")
 def sample_60(r: Retail):
     return reports.stable_sample(r.report, 60).select(*KEYS, "EOQ", "current_stock", "inventory_status")
 

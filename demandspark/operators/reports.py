@@ -161,7 +161,7 @@ def top_by_sum(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
 
 def stable_sample(df: DataFrame, n: int, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """A repeatable sample of n rows, chosen by key hash."""
-    return df.orderBy(F.xxhash64(*keys), *keys).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", *keys)), *keys).limit(n)
 
 
 def week_store_spine(panel: DataFrame, week: str = "week_start", store: str = "store_name") -> DataFrame:

@@ -46,17 +46,35 @@ def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
     stages.write_stage(daily, clean_path)
     clean = stages.read_stage(spark, clean_path)
     stages.write_stage(build_panel(clean, categories), panel_path)
-    panel = stages.read_stage(spark, panel_path)
-    columns = features.feature_columns(panel)
-    trained = models.train_models(panel, (models_of or models.default_models)(columns), split)
-    models.save_model(trained.best_model, f"{root}/model")
-    forecast = recursive_forecast(panel, trained.best_model.transform, weeks)
+    return resume_core(spark, stock, root, models_of, split, weeks)
+
+
+def resume_core(spark: SparkSession, stock: DataFrame, root: str,
+                models_of: Callable[[Sequence[str]], Mapping[str, Pipeline]] | None = None,
+                split: Callable[[DataFrame], DataFrame] = models.split_by_week, weeks: int = 12, fmt: str = "parquet",
+                retrain: bool = True) -> CoreTables:
+    """Go on from the clean rows and the panel stored below ``root``.
+
+    Without ``retrain`` the stored model forecasts, and the tables have no metrics.
+    """
+    clean, panel = stages.read_stage(spark, f"{root}/clean", fmt=fmt), stages.read_stage(spark, f"{root}/features", fmt=fmt)
+    if not features.feature_columns(panel):  # text keeps no marks
+        panel = features.mark_inputs(panel)
+    metrics = None
+    if retrain:
+        trained = models.train_models(panel, (models_of or models.default_models)(features.feature_columns(panel)), split)
+        models.save_model(trained.best_model, f"{root}/model")
+        model, metrics = trained.best_model, trained.metrics
+    else:
+        model = models.load_model(f"{root}/model")
+    forecast = recursive_forecast(panel, model.transform, weeks)
     report = inventory.inventory_report(panel, stock, forecast)
-    tables = CoreTables(clean, panel, forecast, trained.metrics, report, inventory.reorder_alerts(report),
+    tables = CoreTables(clean, panel, forecast, metrics, report, inventory.reorder_alerts(report),
                         reports.category_forecast_summary(forecast))
     rest = {k: v for k, v in tables.as_dict().items() if k not in ("clean", "panel")}
     stages.write_stages(rest, root)
-    stages.write_text_report(stages.metrics_report(trained.metrics), f"{root}/model_comparison")
+    if metrics is not None:
+        stages.write_text_report(stages.metrics_report(metrics), f"{root}/model_comparison")
     return tables
 
 

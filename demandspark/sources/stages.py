@@ -27,9 +27,14 @@ def write_stages(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet
     return paths
 
 
-def read_stage(spark: SparkSession, path: str, week: str | None = "week_start") -> DataFrame:
-    """Reload a stage table; the week column is a date again even if it was stored as text."""
-    df = spark.read.parquet(path)
+def read_stage(spark: SparkSession, path: str, week: str | None = "week_start", fmt: str = "parquet") -> DataFrame:
+    """Reload a stage table; the week column is a date again even if it was stored as text.
+
+    Parquet keeps types and marks; of CSV the types are inferred from all rows.
+    """
+    if fmt not in ("parquet", "csv"):
+        raise ValueError("stage tables are parquet or csv")
+    df = spark.read.csv(path, header=True, inferSchema=True) if fmt == "csv" else spark.read.parquet(path)
     return df.withColumn(week, F.to_date(week)) if week and week in df.columns else df
 
 

@@ -226,3 +226,13 @@ def test_failed_series_has_a_row(make_weekly):
     rows = {r.product_id: r for r in summary.collect()}
     assert rows["P001"].error is None and rows["P001"].growth_direction is not None
     assert "two periods" in rows["P002"].error and rows["P002"].trend_strength is None and rows["P002"].growth_direction is None
+
+
+def test_stage_tables_as_csv(spark, make_weekly, tmp_path):
+    panel = features.build_features(make_weekly([("S001", "P001", i, 10 + i) for i in range(20)]), ["CAT0", "CAT1"])
+    stages.write_stage(panel, f"{tmp_path}/csv", "csv")
+    again = stages.read_stage(spark, f"{tmp_path}/csv", fmt="csv")
+    assert dict(again.dtypes)["week_start"] == "date" and again.count() == panel.count()
+    assert features.feature_columns(again) == [] and features.feature_columns(features.mark_inputs(again)) == features.feature_columns(panel)
+    with pytest.raises(ValueError):
+        stages.read_stage(spark, f"{tmp_path}/csv", fmt="orc")

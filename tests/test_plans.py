@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from demandspark.catalog.base import CATEGORIES, Retail
 from demandspark.operators import features, inventory, models, promo
-from demandspark.plans.core import data_quality, run_core
+from demandspark.plans.core import data_quality, resume_core, run_core
 from demandspark.plans.dashboard import dashboard
-from demandspark.plans.extensions import run_extensions
+from demandspark.plans import extensions
+from demandspark.plans.extensions import ExtensionInputs, run_extensions
 from demandspark.sources.tables import read_table, retail_sales
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -78,13 +79,29 @@ def test_core_extensions_and_dashboard(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/model_comparison").count() == 1
     assert data_quality(raw)["duplicates"].first()[0] > 0
 
-    weather = retail.weather
-    results = run_extensions(tables.panel, tables.inventory, weather, dt.date(2002, 1, 7))
+    again = resume_core(spark, stock, str(tmp_path), retrain=False)
+    assert again.metrics is None and again.forecast.exceptAll(tables.forecast).count() == 0
+
+    given = ExtensionInputs(retail.weather, dt.date(2002, 1, 7))
+    report = read_table(spark, f"{tmp_path}/inventory")
+    results = run_extensions(tables.panel, report, given, f"{tmp_path}/more")
     assert results.errors == {}
     assert results.tables["price_elasticity"].count() == 5
     assert results.tables["stl_summary"].count() == 25
-    broken = run_extensions(tables.panel, tables.inventory.drop("EOQ"), weather, dt.date(2002, 1, 7))
-    assert {"alerts", "orders"} <= set(broken.errors) and "promo_uplift" in broken.tables
+    assert spark.read.text(f"{tmp_path}/more/alert_log").count() == min(10, tables.alerts.count())
+
+    # An error that only rows show: the step is recorded, the others' tables are there.
+    late = report.withColumn("EOQ", F.when(F.col("store_id") == "S001", F.raise_error(F.lit("bad row")).cast("double")).otherwise(F.col("EOQ")))
+    broken = run_extensions(tables.panel, late, given, f"{tmp_path}/broken", ["alerts", "orders", "promotions"])
+    assert set(broken.errors) == {"alerts", "orders"} and "bad row" in broken.errors["orders"]
+    assert read_table(spark, f"{tmp_path}/broken/promo_uplift").count() > 0
+    assert spark.read.text(f"{tmp_path}/broken/errors").count() == 2
+
+    orders = results.tables["purchase_orders"].where("quantity > 1")
+    first = orders.orderBy("po_number").first()
+    open_orders = spark.createDataFrame([(first.store_id, first.material_id, first.quantity - 1)], "store_id string, product_id string, open_qty long")
+    left = extensions.net_open_orders(tables.alerts, open_orders).where((F.col("store_id") == first.store_id) & (F.col("product_id") == first.material_id))
+    assert left.first().recommended_order_qty == 1
 
     views = dashboard(tables.clean, tables.forecast, tables.inventory, tables.alerts, store="ASIA")
     assert views["status"].agg(F.sum("n")).first()[0] == 5
