@@ -42,13 +42,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="demandspark-checkpoint-"))
+    folder = tempfile.mkdtemp(prefix="demandspark-checkpoint-")
+    context.setCheckpointDir(folder)
+    _remove_at_end(spark, folder)
 
 
-def shared_path(spark: SparkSession, kind: str) -> str:
-    """A new path in the shared checkpoint folder."""
+def shared_path(spark: SparkSession, kind: str, keep: bool = False) -> str:
+    """A new path in the shared checkpoint folder, removed when the driver ends unless it is to be kept."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+    if not keep:
+        _remove_at_end(spark, folder)
+    return f"{folder}/data"
+
+
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Hadoop removes the folder when the driver's JVM ends; it must exist to be noted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
 
 
 def staged(df: DataFrame) -> DataFrame:
