@@ -27,7 +27,7 @@ END, START = b" ", 0
 EXACT, STEPS, CODES, ID_BITS, CLASS_AT = 32_768, 992, 65_535, 40, 34
 #: After words that make up 1 / FREQUENT of all tokens or more, the next word's class is predicted first.
 FREQUENT, CLASSES = 1_024, 64
-#: A pair that this many documents of a block have is answered to the block instead of summed where it is looked up.
+#: A triple that this many documents of a block have is answered to the block instead of summed where it is looked up.
 ASK_FROM = 64
 #: Room above zero for the log10 of weights.
 REST_SHIFT = 6.0
@@ -152,7 +152,7 @@ class Totals:
 
 
 def _assemble(shards: int, totals: Totals):
-    """The blocks' pairs of neighbours, sent to the shard of the first word, and the documents' own sums."""
+    """The blocks' three words in a row, sent to the shard of the middle one, and the documents' own sums."""
     def assemble(tokens: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         name = tokens["block"].iloc[0]
         local, sizes, held, doc_ids, nulls = unpack(tokens["body"].iloc[0])
@@ -163,21 +163,25 @@ def _assemble(shards: int, totals: Totals):
         doc = np.repeat(np.arange(len(sizes)), sizes)
         known = np.bincount(doc, count[local] > 0, len(sizes)).astype(np.int64)
         logs = np.bincount(doc, np.log10(count[local] + 1.0), len(sizes))
-        # Words by rank of their ids, the text's start below all, so that one integer orders pairs and documents.
+        # Words by rank of their ids, the text's start below all, so that one integer orders n-grams and documents.
         ranked = np.sort(word_id)
         rank = np.searchsorted(ranked, word_id) + 1
         word = rank[local]
+        starts = np.cumsum(sizes) - sizes
         before = np.concatenate([[0], word[:-1]])
-        before[np.cumsum(sizes) - sizes] = 0
+        before[starts] = 0
+        earlier = np.concatenate([[0], before[:-1]])
+        earlier[starts] = 0
         bits = int(len(ranked) + 1).bit_length()
-        key, times = np.unique((((before << bits) + word) << 15) + doc, return_counts=True)
-        pair, doc = key >> 15, (key & 0x7FFF).astype(np.uint16)
-        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
-        n_docs = np.diff(np.r_[first, len(pair)])
+        contexts, at = np.unique((before << bits) + earlier, return_inverse=True)
+        key, times = np.unique((((at << bits) + word) << 15) + doc, return_counts=True)
+        gram, doc = key >> 15, (key & 0x7FFF).astype(np.uint16)
+        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        n_docs = np.diff(np.r_[first, len(gram)])
         learned = np.add.reduceat(np.where(held[doc].astype(bool), 0, times), first)
-        one, two = pair[first] >> bits, pair[first] & ((1 << bits) - 1)
         ids = np.concatenate([[START], ranked])
-        one, two = ids[one], ids[two]
+        pair = contexts[gram[first] >> bits]
+        one, mid, two = ids[pair >> bits], ids[pair & ((1 << bits) - 1)], ids[gram[first] & ((1 << bits) - 1)]
         context = totals.context(one, two)
         shard = ((context.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)).astype(np.int64) % shards
         order = np.argsort(shard, kind="stable")
@@ -192,7 +196,7 @@ def _assemble(shards: int, totals: Totals):
                 sent, ask = own[~asked[own]], own[asked[own]]
                 entries = _stretches(starts[sent], n_docs[sent])
                 kept.append(ask)
-                out.append((s, name, "pairs", pack(one[own], two[own], learned[own].astype(np.uint32), asked[own].astype(np.uint8),
+                out.append((s, name, "pairs", pack(one[own], mid[own], two[own], learned[own].astype(np.uint32), asked[own].astype(np.uint8),
                                                    n_docs[sent].astype(np.uint16), doc[entries], times[entries].astype(np.uint32))))
         kept = np.concatenate(kept)
         entries = _stretches(starts[kept], n_docs[kept])
@@ -205,49 +209,111 @@ def _stretches(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
-def build_trie(one: np.ndarray, two: np.ndarray, n: np.ndarray, totals: Totals) -> tuple[Trie, np.ndarray]:
-    """Trie of a shard's learned pairs, and the ids of its second words in order.
+def _ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and each one's place."""
+    values, place = np.unique(x, return_inverse=True)
+    return values, place.reshape(-1)
 
-    ``one, two`` are distinct pairs with counts, in order of context and word. A node of the first level
-    is a context, of the second a word after it. Probabilities are interpolated by Witten-Bell with the
-    unigram's; after a frequent word within the class of the next, times the chance of the class.
-    """
-    context = totals.context(one, two)
-    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(one) else np.zeros(0, np.int64)
-    kinds = np.diff(np.r_[first, len(one)]).astype(float)
-    seen = np.add.reduceat(n, first).astype(float) if len(first) else np.zeros(0)
-    frequent = totals.frequent(one[first])
-    share = np.where(frequent, totals.class_share(one[first], seen), 1.0)
-    mass = np.where(frequent, totals.mass[context[first] & 63], 1.0)
-    of = np.repeat(np.arange(len(first)), kinds.astype(np.int64))
-    unigram = (count_of(two) + 1) / totals.room / mass[of]
-    p = share[of] * (n + kinds[of] * unigram) / (seen + kinds)[of]
-    rest = share * kinds / (seen + kinds) / mass
-    words, number = np.unique(two, return_inverse=True)
-    grams = [context[first][:, None], np.stack([context, number.reshape(-1)], 1)]
-    logs = [np.zeros(len(first)), np.log10(np.minimum(p, 1.0))]
-    return Trie.build(grams, logs, [np.log10(rest) - REST_SHIFT, np.zeros(len(two))]), words
-
-
-def look_up(trie: Trie, words: np.ndarray, one: np.ndarray, two: np.ndarray, totals: Totals) -> np.ndarray:
-    """Log10 probability of each pair's second word after its first.
-
-    The successor of (context, word) among the context's children; else the context's weight for the
-    unseen, or without the context the class's chance, times the unigram probability.
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal keys start, and each entry's run."""
+    new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+class ShardModel:
+    """A shard's trie: contexts, the word before each context, and the words after both.
+
+    A context is the word before, with the next word's class where that word is frequent. Under each
+    context the word ANY stands for every word before it, so that the same path leads to pairs and to
+    triples. Probabilities are interpolated by Witten-Bell: triples with pairs, pairs with the unigram,
+    after a frequent word within the class; a context's own value is the chance of its class.
     """
-    unigram = np.log10((count_of(two) + 1) / totals.room)
-    context = totals.context(one, two)
-    number = np.minimum(np.searchsorted(words, two), max(len(words) - 1, 0))
-    known = words[number] == two if len(words) else np.zeros(len(two), bool)
-    at = trie.find(np.stack([context, np.where(known, number, trie.levels[1].stride)], 1))
-    frequent = totals.frequent(one)
-    unseen = np.where(frequent, np.log10(totals.class_share(one, np.zeros(len(one))) / totals.mass[context & 63]), 0.0)
-    out = unigram + unseen
-    has = at[:, 0] >= 0
-    out[has] = unigram[has] + restore(trie.levels[0].rest[at[has, 0]]) + REST_SHIFT
-    hit = at[:, 1] >= 0
-    out[hit] = restore(trie.levels[1].logp[at[hit, 1]])
-    return out
+
+    ANY = 0
+
+    def __init__(self, trie: Trie, words: np.ndarray, middles: np.ndarray, totals: Totals):
+        self.trie, self.words, self.middles, self.totals = trie, words, middles, totals
+
+    @classmethod
+    def build(cls, one: np.ndarray, mid: np.ndarray, two: np.ndarray, n: np.ndarray, totals: Totals) -> ShardModel:
+        """From learned distinct triples, ``mid`` before ``one`` before ``two``, with their counts."""
+        context = totals.context(one, two)
+        contexts, c = _ranked(context)
+        middles, m = _ranked(mid)
+        words, w = _ranked(two)
+        bits_m, bits_w = int(len(middles) + 1).bit_length(), int(len(words) + 1).bit_length()
+        if int(len(contexts)).bit_length() + bits_m + bits_w > 63:
+            raise ValueError("a shard is too large; use more shards")
+        frequent = np.zeros(len(contexts), bool)
+        before = np.zeros(len(contexts), np.int64)
+        frequent[c], before[c] = totals.frequent(one), one
+        mass = np.where(frequent, totals.mass[contexts & 63], 1.0)
+        # Pairs: counts over all middles.
+        pair, at = np.unique((c << bits_w) + w, return_inverse=True)
+        pair_n = np.bincount(at.reshape(-1), n, len(pair))
+        of = pair >> bits_w
+        seen, kinds = np.bincount(of, pair_n, len(contexts)), np.bincount(of, minlength=len(contexts))
+        unigram = (count_of(words[pair & ((1 << bits_w) - 1)]) + 1) / totals.room / mass[of]
+        pair_p = (pair_n + kinds[of] * unigram) / (seen + kinds)[of]
+        # Triples, in order of context, middle and word.
+        key = (((c << bits_m) + m + 1) << bits_w) + w
+        order = np.argsort(key)
+        key, n, c, w = key[order], n[order].astype(float), c[order], w[order]
+        first, run = _groups(key >> bits_w)
+        seen3, kinds3 = np.bincount(run, n, len(first)), np.bincount(run, minlength=len(first))
+        below = pair_p[np.searchsorted(pair, (c << bits_w) + w)]
+        p = (n + kinds3[run] * below) / (seen3 + kinds3)[run]
+        # Both under one path; ANY is the lowest middle.
+        any_key = ((of << bits_m) << bits_w) + (pair & ((1 << bits_w) - 1))
+        both, logs = np.concatenate([any_key, key]), np.log10(np.concatenate([pair_p, p]))
+        order = np.argsort(both)
+        both, logs = both[order], logs[order]
+        rest = {"key": np.concatenate([np.arange(len(contexts)) << bits_m, key[first] >> bits_w]),
+                "value": np.log10(np.concatenate([kinds / (seen + kinds) / mass, kinds3 / (seen3 + kinds3)]))}
+        order = np.argsort(rest["key"])
+        node, value = rest["key"][order], rest["value"][order]
+        share = np.where(frequent, totals.class_share(before, seen), 1.0)
+        low = (1 << bits_m) - 1
+        grams = [contexts[:, None], np.stack([node >> bits_m, node & low], 1),
+                 np.stack([both >> bits_w >> bits_m, (both >> bits_w) & low, both & ((1 << bits_w) - 1)], 1)]
+        trie = Trie.build(grams, [np.log10(share), np.zeros(len(node)), np.minimum(logs, 0.0)],
+                          [np.zeros(len(contexts)), value - REST_SHIFT, np.zeros(len(both))])
+        return cls(trie, words, middles, totals)
+
+    def look_up(self, one: np.ndarray, mid: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Log10 probability of ``two`` after ``mid`` and ``one``.
+
+        The successor among the children of (context, middle); else that node's weight for the unseen
+        times what ANY has; there again the successor, or the weight times the unigram probability.
+        """
+        totals = self.totals
+        unigram = np.log10((count_of(two) + 1) / totals.room)
+        context = totals.context(one, two)
+        beyond = [int(level.stride) for level in self.trie.levels]
+        w = np.where(*_known(self.words, two), beyond[2])
+        m = np.where(*_known(self.middles, mid, 1), beyond[1])
+        pairs = self.trie.find(np.stack([context, np.full(len(two), self.ANY), w], 1))
+        triples = self.trie.find(np.stack([context, m, w], 1))
+        logp, rest = (lambda k, at: restore(self.trie.levels[k].logp[at])), (lambda at: restore(self.trie.levels[1].rest[at]) + REST_SHIFT)
+        frequent = totals.frequent(one)
+        unseen = np.where(frequent, np.log10(totals.class_share(one, np.zeros(len(one))) / totals.mass[context & 63]), 0.0)
+        out, has = unigram + unseen, pairs[:, 0] >= 0
+        inside = unigram[has] + rest(pairs[has, 1])
+        hit = pairs[has, 2] >= 0
+        inside[hit] = logp(2, pairs[has, 2][hit])
+        led = triples[has, 1] >= 0
+        inside[led] += rest(triples[has, 1][led])
+        full = triples[has, 2] >= 0
+        inside[full] = logp(2, triples[has, 2][full])
+        out[has] = inside + logp(0, pairs[has, 0])
+        return out
+
+
+def _known(values: np.ndarray, x: np.ndarray, shift: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each x is among the ordered values, and its place plus ``shift``."""
+    at = np.minimum(np.searchsorted(values, x), max(len(values) - 1, 0))
+    return (values[at] == x if len(values) else np.zeros(len(x), bool)), at + shift
 
 
 def _score(totals: Totals):
@@ -258,21 +324,20 @@ def _score(totals: Totals):
         if not len(rows):
             return pd.DataFrame(out, columns=["block", "shard", "kind", "body"])
         parts = [unpack(b) for b in rows["body"]]
-        one, two, learned = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        context = totals.context(one, two)
-        order = np.lexsort((two, context))
-        new = np.r_[True, (context[order][1:] != context[order][:-1]) | (two[order][1:] != two[order][:-1])]
-        first = np.flatnonzero(new)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.cumsum(new) - 1
-        n = np.add.reduceat(learned[order].astype(np.int64), first)
-        one, two = one[order][first], two[order][first]
+        one, mid, two, learned = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        (ones, a), (mids, b), (twos, c) = _ranked(one), _ranked(mid), _ranked(two)
+        bits_b, bits_c = int(len(mids)).bit_length(), int(len(twos)).bit_length()
+        gram, number = _ranked((((a << bits_b) + b) << bits_c) + c)
+        del one, mid, two, a, b, c
+        n = np.bincount(number, learned, len(gram)).astype(np.int64)
+        one, mid, two = ones[gram >> bits_c >> bits_b], mids[(gram >> bits_c) & ((1 << bits_b) - 1)], twos[gram & ((1 << bits_c) - 1)]
         with tempfile.TemporaryFile() as file:  # gone when the task is
-            trie, words = build_trie(one[n > 0], two[n > 0], n[n > 0], totals)
-            trie.write(file)
-            logp = look_up(Trie.open(file), words, one, two, totals)
+            model = ShardModel.build(*(x[n > 0] for x in (one, mid, two, n)), totals)
+            model.trie.write(file)
+            model.trie = Trie.open(file)
+            logp = model.look_up(one, mid, two)
         shard, at = int(rows["shard"].iloc[0]), 0
-        for block, (_, _, _, asked, n_docs, doc, times), size in zip(rows["block"], parts, [len(p[0]) for p in parts]):
+        for block, (*_, asked, n_docs, doc, times), size in zip(rows["block"], parts, [len(p[0]) for p in parts]):
             own = logp[number[at:at + size]]
             at += size
             asked = asked.astype(bool)
@@ -305,13 +370,13 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     end. Without training documents every token has probability 1. Repeated rows count and are
     answered each; no rows give no rows; other columns are not read. Texts are read whole.
 
-    Every pair of neighbouring words is counted in its shard, for the first word's hash, with the next
-    word's class where the first is frequent, so no word holds a shard. A block of documents sends each
-    distinct pair once, with the documents that have it; pairs in many of its documents are answered
+    Every three words in a row are counted in the shard of the middle one's hash, with the last one's
+    class where the middle is frequent, so no word holds a shard. A block of documents sends each
+    distinct triple once, with the documents that have it; those in many of its documents are answered
     back instead. The documents must read the same twice, as stored tables do.
     """
     spark = docs.sparkSession
-    shards = shards or 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or 3 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        (F.crc32(name) % folds == held_out).alias("held_out"))

@@ -156,7 +156,9 @@ class Trie:
                 changed = np.r_[False, (prefix[1:] != prefix[:-1]).any(1)] if len(rows) else np.zeros(0, bool)
                 group = np.cumsum(changed)
                 first = prefix[np.r_[True, changed[1:]]] if len(rows) else prefix
-                rank = _positions(grams[k - 1], first)[group] if len(rows) else np.zeros(0, np.int64)
+                if len(first) < len(grams[k - 1]):  # else every node has children, and the groups are the nodes
+                    group = _positions(grams[k - 1], first)[group] if len(rows) else group
+                rank = group
             parents.append(rank)
         for k, rows in enumerate(grams):
             stride = int(rows[:, -1].max()) + 1 if len(rows) else 1

@@ -32,21 +32,25 @@ def base(rows):
 
 
 def witten_bell(rows):
-    """Interpolated bigram without classes, with dictionaries."""
-    count = Counter(t for d, x in rows if not held(d) for t in tokens(x))
-    pairs = Counter(p for d, x in rows if not held(d) for p in zip(["<s>"] + tokens(x), tokens(x)))
-    seen, kinds = Counter(), Counter()
-    for (a, _), n in pairs.items():
-        seen[a] += n
-        kinds[a] += 1
+    """Interpolated trigram without classes, with dictionaries."""
+    count, seen, kinds, grams = Counter(), Counter(), Counter(), Counter()
+    for d, x in rows:
+        if not held(d):
+            count.update(tokens(x))
+            for c, b, a in zip(tokens(x), ["<s>"] + tokens(x), ["<s>", "<s>"] + tokens(x)):
+                grams.update([(b, c), (a, b, c)])
+    for (*context, _), n in grams.items():
+        seen[tuple(context)] += n
+        kinds[tuple(context)] += 1
     room = sum(count.values()) + len(count) + 1
     out = {}
     for d, x in rows:
         total = 0.0
-        for a, b in zip(["<s>"] + tokens(x), tokens(x)):
-            p = (count[b] + 1) / room
-            if seen[a]:
-                p = (pairs[a, b] + kinds[a] * p) / (seen[a] + kinds[a])
+        for c, b, a in zip(tokens(x), ["<s>"] + tokens(x), ["<s>", "<s>"] + tokens(x)):
+            p = (count[c] + 1) / room
+            for context in ((b,), (a, b)):
+                if seen[context]:
+                    p = (grams[(*context, c)] + kinds[context] * p) / (seen[context] + kinds[context])
             total += math.log10(p)
         out[d] = total
     return out
@@ -104,29 +108,24 @@ def test_better_than_base_on_held_out_documents(spark):
     assert all(r.score < 0 for r in got)
 
 
-def test_probabilities_after_a_frequent_word_sum_to_one():
-    """All words and one unknown per class, after a word that is frequent."""
+def test_probabilities_after_a_frequent_word_sum_to_its_classes_share():
+    """All words of a class and its unknown, after a frequent word and any word before it."""
     rng = np.random.default_rng(3)
     count = rng.integers(1, 50, 500)
     ids = np.sort(((lm_score.CODES - code_of(count)) << lm_score.ID_BITS) + (rng.integers(0, CLASSES, 500) << lm_score.CLASS_AT) + np.arange(500) + 1)
     seen = count_of(ids)
-    totals = lm_score.Totals([[np.array([seen.sum(), 500.0, 40.0]), np.bincount(class_of(ids), seen + 1, CLASSES)]])
+    totals = lm_score.Totals([[np.array([seen.sum(), 500.0, 900.0]), np.bincount(class_of(ids), seen + 1, CLASSES)]])
     two = ids[rng.choice(500, 120, replace=False)]
-    one = np.full(120, lm_score.START)
-    order = np.lexsort((two, totals.context(one, two)))
-    n = rng.integers(1, 4, 120)
-    trie, words = lm_score.build_trie(one[order], two[order], n, totals)
-    logp = lm_score.look_up(trie, words, np.full(500, lm_score.START), ids, totals)
-    # START stands for 40 documents here but has more pairs; the share's denominator is what it is given.
-    share = totals.class_share(np.array([lm_score.START]), np.array([0.0]))[0]
-    assert 0 < share < 1 and (logp < 0).all()
-    for c in range(CLASSES):
-        own = class_of(ids) == c
-        known = np.isin(two[order], ids[own])
-        p = (10 ** logp[own]).sum()
-        expect = totals.class_share(np.array([lm_score.START]), np.array([float(n[known].sum())]))[0]
-        unknown = 1 / CLASSES / totals.room / totals.mass[c]
-        assert p <= expect * 1.001 and p == pytest.approx(expect, rel=0.02 + unknown)
+    one, mid, n = np.full(120, lm_score.START), ids[rng.choice(4, 120)], rng.integers(1, 4, 120)
+    model = lm_score.ShardModel.build(one, mid, two, n, totals)
+    for before in (ids[0], ids[400]):
+        logp = model.look_up(np.full(500, lm_score.START), np.full(500, before), ids)
+        for c in range(CLASSES):
+            own = class_of(ids) == c
+            share = totals.class_share(np.array([lm_score.START]), np.array([float(n[np.isin(two, ids[own])].sum())]))[0]
+            unknown = 1 / CLASSES / totals.room / totals.mass[c]
+            p = (10 ** logp[own]).sum()
+            assert p <= share * 1.002 and p == pytest.approx(share, rel=0.004 + unknown)
 
 
 def test_nothing_to_learn_from_and_no_rows(spark):
