@@ -23,8 +23,10 @@ SHINGLE = 5
 PERCENT = 80
 #: Minimum hashes under which documents meet candidates for their pivot.
 MEETINGS = 12
-#: Levels of pivots; what no pivot covers after them becomes a pivot itself.
+#: Levels of pivots, and the share of what is left that a level must settle for another to follow; what no pivot
+#: holds then becomes a pivot itself.
 LEVELS = 12
+LEVEL_SHARE = 0.05
 #: A block has fewer documents than a 16-bit number can tell apart, and one marks keys the block itself repeats.
 BLOCK_DOCS = 60_000
 REPEATED = 65_535
@@ -216,31 +218,33 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def pivots(sets: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
-    """``sid, home, d``: the pivot whose region holds each set, at a distance that is a link, or itself at 0.
+    """``sid, home, d, common``: the pivot whose region holds each set, at a distance that is a link, or itself at 0.
 
     Sets meet where they share a minimum hash. On each level the sets that come first in all their
     meetings are the pivots; first is what has the largest share of its shingles in other sets, as the
     middle of a group of copies has. Sets linked to a pivot they meet join the nearest one's region,
     and the rest goes to the next level. A dense group so has few pivots however large it is.
     """
-    spark = sets.sparkSession
     active = sets.select("sid", "apart", "meet")
     done = None
-    for level in range(levels):
+    for _ in range(levels):
         met = active.select("sid", F.struct("apart", "sid").alias("rank"), F.posexplode("meet").alias("k", "value"))
         first = met.groupBy("k", "value").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
         behind = staged(met.join(first, ["k", "value"]).filter("first.sid <> sid").select("sid", F.col("first.sid").alias("first")).distinct())
         chosen = active.select("sid").join(behind.select("sid").distinct(), "sid", "left_anti")
         near = behind.join(chosen.select(F.col("sid").alias("first")), "first").select(F.col("sid").alias("a"), F.col("first").alias("b"))
         linked = (_overlaps(near, sets).filter(F.col("common") * 100 >= F.col("either") * percent)
-                  .groupBy("a").agg(F.min(F.struct((1 - F.col("common") / F.col("either")).alias("d"), F.col("b").alias("home"))).alias("best"))
-                  .select(F.col("a").alias("sid"), "best.home", "best.d"))
-        found = staged(linked.unionByName(chosen.select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("d"))))
+                  .groupBy("a").agg(F.min(F.struct((1 - F.col("common") / F.col("either")).alias("d"), F.col("b").alias("home"), "common")).alias("best"))
+                  .select(F.col("a").alias("sid"), "best.home", "best.d", "best.common"))
+        found = staged(linked.unionByName(chosen.select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("d"), F.lit(None).cast("long").alias("common"))))
         done = found if done is None else done.unionByName(found)
         active = staged(active.join(found.select("sid"), "sid", "left_anti"))
-        if not active.limit(1).count():
+        left, settled = active.count(), found.count()
+        if not left:
             return done
-    return done.unionByName(active.select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("d")))
+        if settled < LEVEL_SHARE * (left + settled):
+            break
+    return done.unionByName(active.select("sid", F.col("sid").alias("home"), F.lit(0.0).alias("d"), F.lit(None).cast("long").alias("common")))
 
 
 def _candidates(sets: DataFrame, heads: DataFrame) -> DataFrame:
@@ -279,14 +283,22 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     part = components(stars)
     edge = seen.filter(~link).withColumn("d_p", 1 - F.col("common") / F.col("either"))
     wide = heads.filter("radius > 0").select(F.col("home").alias("p"), "radius")
-    both = (edge.select("a", F.col("b").alias("p"), "d_p").unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("p"), "d_p"))
+    both = (edge.select("a", F.col("b").alias("p"), "d_p", "common").unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("p"), "d_p", "common"))
             .join(wide, "p").filter(F.col("d_p") <= F.col("radius") + reach))
     mine = part.select(F.col("id").alias("a"), F.col("component_id").alias("of_a"))
     theirs = part.select(F.col("id").alias("p"), F.col("component_id").alias("of_p"))
-    open_edges = (both.join(mine, "a", "left").join(theirs, "p", "left")
-                  .filter(F.coalesce("of_a", "a") != F.coalesce("of_p", "p")))
-    members = regions.filter("sid <> home").select(F.col("sid").alias("x"), F.col("home").alias("p"), "d")
-    pairs = open_edges.join(members, "p").filter((F.col("d_p") - F.col("d") <= reach) & (F.col("x") != F.col("a"))).select(
+    size = sets.select("sid", "n", "alone")
+    outer = (both.join(mine, "a", "left").join(theirs, "p", "left").filter(F.coalesce("of_a", "a") != F.coalesce("of_p", "p"))
+             .join(size, F.col("a") == F.col("sid")).select("a", "p", "d_p", F.col("n").alias("n_a"), F.col("common").alias("in_a"),
+                                                            (F.col("n") - F.col("common") - F.col("alone")).alias("out_a")))
+    inner = regions.filter("sid <> home").join(size, "sid").select(
+        F.col("sid").alias("x"), F.col("home").alias("p"), "d", F.col("n").alias("n_x"), F.col("common").alias("in_x"),
+        (F.col("n") - F.col("common") - F.col("alone")).alias("out_x"))
+    # What two sets share lies in the pivot, as far as each does, or outside it among what others have too.
+    most = F.least("in_a", "in_x") + F.least("out_a", "out_x")
+    pairs = outer.join(inner, "p").filter(
+        (F.col("d_p") - F.col("d") <= reach) & (F.col("x") != F.col("a"))
+        & (most * (100 + percent) >= (F.col("n_a") + F.col("n_x")) * percent)).select(
         F.least("a", "x").alias("a"), F.greatest("a", "x").alias("b")).distinct()
     return stars.unionByName(_overlaps(pairs, sets).filter(link).select("a", "b"))
 
