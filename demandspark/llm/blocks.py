@@ -7,12 +7,17 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Texts are taken together up to this many characters; a longer text is a block of its own.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Distinct pieces a task keeps before it starts afresh; a bound on memory, not on results.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 200_000
 
 
 class Places(dict):
@@ -58,13 +63,25 @@ class PieceEncoder:
             yield gather(self.flat, start[doc], self.size[doc])
 
 
-def blocks(batches: Iterator[pd.DataFrame], column: str = "text", chars: int = BLOCK_CHARS) -> Iterator[pd.DataFrame]:
-    """The same rows in order, in frames of about ``chars`` characters or of one longer row."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = BLOCK_CHARS) -> Iterator[pd.DataFrame]:
+    """The same rows in order, in frames of about ``chars`` bytes of text or of one longer row."""
     for rows in batches:
-        size = rows[column].str.len().to_numpy()
-        block = (np.cumsum(size) - size) // chars if len(rows) else size
-        for _, part in rows.groupby(block, sort=False):
-            yield part
+        size = pc.binary_length(rows.column(rows.schema.get_field_index(column))).to_numpy(zero_copy_only=False)
+        block = (np.cumsum(size) - size) // chars
+        for at in np.split(np.arange(len(block)), np.flatnonzero(np.diff(block)) + 1):
+            if len(at):
+                yield rows.slice(at[0], len(at)).to_pandas(integer_object_nulls=True)  # ids beside nulls stay exact
+
+
+def map_blocks(rows: DataFrame, work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, chars: int = BLOCK_CHARS) -> DataFrame:
+    """Run ``work`` over each partition's blocks; only one block of a batch is turned into Python strings at a time."""
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in work(blocks(batches, chars=chars)):
+            yield pa.RecordBatch.from_pandas(out, schema=shape, preserve_index=False)
+
+    return rows.mapInArrow(run, schema)
 
 
 def pack(*arrays: np.ndarray) -> bytes:

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, blocks, gather
+from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, gather, map_blocks
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
     """Token bytes and ranks from the lines of a rank file."""
@@ -200,15 +200,15 @@ def encode_documents(docs: DataFrame, ranks: list[bytes], pattern: str, doc_id:
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = MergeTable(read_ranks(shared.value))
         encoder, decoder = piece_encoder(table, pattern), Decoder(table.token)
         names = np.array([str(i) for i in range(max(table.token) + 1)], dtype=object)
-        for rows in blocks(batches, "text", block_chars):
+        for rows in frames:
             out = []
             for ids in encoder.encode(rows["text"].tolist()):
                 said = " ".join(names[ids])
-                out.append((len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoder.decode(ids)).hexdigest(), ids))
+                out.append((len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoder.decode(ids)).hexdigest(), ids if with_ids else None))
             frame = pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "n_tokens": [x[0] for x in out],
                                   "ids_sha256": [x[1] for x in out], "decoded_sha256": [x[2] for x in out]})
             if with_ids:
@@ -216,4 +216,4 @@ def encode_documents(docs: DataFrame, ranks: list[bytes], pattern: str, doc_id:
             yield frame
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, schema)
+    return map_blocks(rows, run, schema, block_chars)

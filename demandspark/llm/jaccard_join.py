@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, Places, blocks
+from demandspark.llm.blocks import BLOCK_CHARS, Places, map_blocks
 from demandspark.llm.common import components
 from demandspark.session import staged
 
@@ -30,6 +30,8 @@ LEVEL_SHARE = 0.05
 #: A block has fewer documents than a 16-bit number can tell apart, and one marks keys the block itself repeats.
 BLOCK_DOCS = 60_000
 REPEATED = 65_535
+#: Words whose hashes a task keeps; a bound on memory, not on results.
+KEPT_WORDS = 200_000
 #: Bits of a key beyond those that tell all shingles apart, so that few keys meet by chance.
 SPARE_BITS = 5
 SHINGLES_PER_DOC = 512
@@ -44,7 +46,7 @@ class Shingler:
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         """A-Z lower-cased, words cut at white space; fewer words than a shingle are one shingle of all."""
-        if len(self.place) > KEPT_PIECES:
+        if len(self.place) > KEPT_WORDS:
             self.place, self.hash = Places(), []
         docs = []
         for text in texts:
@@ -94,9 +96,9 @@ def shared_counts(docs: DataFrame, bits: int, shards: int, block_chars: int = BL
     documents share costs one entry per block. A shard answers with the documents whose keys it
     met twice. Keys that meet by chance only raise counts.
     """
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, number = Shingler(), 0
-        for rows in blocks(batches, "text", block_chars):
+        for rows in frames:
             for at in range(0, len(rows), BLOCK_DOCS):
                 part = rows.iloc[at:at + BLOCK_DOCS]
                 # A repeated task must give its blocks the same names, as others may have read the first ones.
@@ -153,7 +155,7 @@ def shared_counts(docs: DataFrame, bits: int, shards: int, block_chars: int = BL
         return pd.DataFrame({"doc_id": ids, "n_shingles": np.asarray(listed["sizes"], np.int32), "digest": list(listed["digests"]),
                              "shared": count.astype(np.int32)})
 
-    return (docs.mapInPandas(send, SENT).groupBy("shard").applyInPandas(meet, MET).groupBy("block").applyInPandas(total, DOCS))
+    return (map_blocks(docs, send, SENT, block_chars).groupBy("shard").applyInPandas(meet, MET).groupBy("block").applyInPandas(total, DOCS))
 
 
 def _runs(group: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
@@ -165,15 +167,15 @@ def _runs(group: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.nda
 
 def _class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The set of one document of each class."""
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
-        for rows in blocks(batches):
+        for rows in frames:
             sets = shingler.sets(rows["text"].tolist())
             right = [digest(s) == bytes(d) for s, d in zip(sets, rows["digest"])]  # an id may have other rows
             yield pd.DataFrame({"digest": rows["digest"][right], "n": rows["n"][right], "grams": [s.astype(np.int64) for s, r in zip(sets, right) if r]})
 
     texts = docs.join(classes, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "digest", "n")
-    return texts.mapInPandas(read, "digest binary, n int, grams array<long>").dropDuplicates(["digest"])
+    return map_blocks(texts, read, "digest binary, n int, grams array<long>").dropDuplicates(["digest"])
 
 
 def _prepare(window: int):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from demandspark.llm.blocks import BLOCK_CHARS, Places, blocks, pack, unpack
+from demandspark.llm.blocks import Places, map_blocks, pack, unpack
 from demandspark.llm.ngram_trie import Trie, restore
 from demandspark.session import staged
 
@@ -32,6 +32,8 @@ ASK_FROM = 64
 #: Room above zero for the log10 of weights.
 REST_SHIFT = 6.0
 BLOCK_DOCS = 30_000
+#: Larger blocks than elsewhere, as each sends its words and triples once.
+BLOCK_CHARS = 8_000_000
 
 MESSAGE = "shard int, block string, kind string, body binary"
 
@@ -80,9 +82,9 @@ class Block:
         self.ids, self.nulls = rows["doc_id"].fillna(0).to_numpy(np.int64), rows["doc_id"].isna().to_numpy()
 
 
-def read_blocks(batches: Iterator[pd.DataFrame], shards: int, block_chars: int) -> Iterator[Block]:
+def read_blocks(frames: Iterator[pd.DataFrame], shards: int) -> Iterator[Block]:
     number = 0
-    for rows in blocks(batches, "text", block_chars):
+    for rows in frames:
         for at in range(0, len(rows), BLOCK_DOCS):
             yield Block(rows.iloc[at:at + BLOCK_DOCS], number, shards)
             number += 1
@@ -94,9 +96,9 @@ def vocabulary(docs: DataFrame, shards: int, block_chars: int) -> DataFrame:
     A block sends each distinct word once with its count; so a word in every text is one entry per block.
     Ids rise as counts fall, carry the count, and differ for all words.
     """
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdCompressor(level=1).compress
-        for block in read_blocks(batches, shards, block_chars):
+        for block in read_blocks(frames, shards):
             learned = np.repeat(~block.held, block.sizes)
             count = np.bincount(block.tokens[learned], minlength=len(block.words))
             out = [(s, block.name, press(b"\n".join(block.words[a:b])), pack(count[a:b]))
@@ -125,7 +127,7 @@ def vocabulary(docs: DataFrame, shards: int, block_chars: int) -> DataFrame:
         out.append((shard, "", "sums", pack(np.array([total.sum(), seen.sum(), ends], float), mass)))
         return pd.DataFrame(out, columns=["shard", "block", "kind", "body"])
 
-    return (docs.mapInPandas(send, "shard int, block string, words binary, counts binary")
+    return (map_blocks(docs, send, "shard int, block string, words binary, counts binary", block_chars)
             .groupBy("shard").applyInPandas(merge, MESSAGE))
 
 
@@ -383,12 +385,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = staged(vocabulary(rows, shards, block_chars))
     totals = Totals([unpack(bytes(r.body)) for r in found.filter("kind = 'sums'").select("body").collect()])
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in read_blocks(batches, shards, block_chars):
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in read_blocks(frames, shards):
             body = pack(block.tokens, block.sizes, block.held.astype(np.uint8), block.ids, block.nulls.astype(np.uint8))
             yield pd.DataFrame({"shard": [len(block.words)], "block": [block.name], "kind": ["tokens"], "body": [body]})
 
-    sent = (rows.mapInPandas(send, MESSAGE).groupBy("block")
+    sent = (map_blocks(rows, send, MESSAGE, block_chars).groupBy("block")
             .cogroup(found.filter("kind = 'ids'").groupBy("block")).applyInPandas(_assemble(shards, totals), MESSAGE))
     answers = sent.groupBy("shard").applyInPandas(_score(totals), "block string, shard int, kind string, body binary")
     done = answers.groupBy("block").applyInPandas(_total, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")

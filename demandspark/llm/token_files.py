@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, Places, blocks, gather
+from demandspark.llm.blocks import BLOCK_CHARS, KEPT_PIECES, PieceEncoder, Places, gather, map_blocks
 from demandspark.session import shared_path, staged
 
 #: Ids in a sequence, sequences in a record batch.
@@ -79,7 +79,7 @@ class WordTable:
 
     def encode_all(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has."""
-        if len(self.word) > KEPT_PIECES // 2:
+        if len(self.word) > KEPT_PIECES:
             self.forget()
         lower, match = self.word.__getitem__, self.PLAIN.fullmatch
         word, mark, odd = np.full(len(pieces), -1), np.full(len(pieces), -1), []
@@ -112,7 +112,7 @@ def word_encoder(tokenizer_json: str) -> PieceEncoder:
     kept = sys.modules.setdefault("_kept_word_encoders", types.ModuleType("_kept_word_encoders")).__dict__
     if tokenizer_json not in kept:
         table = WordTable(tokenizer_json)
-        kept[tokenizer_json] = PieceEncoder(lambda text: text.replace("\n", " ").split(" "), table.encode_all, KEPT_PIECES // 2)
+        kept[tokenizer_json] = PieceEncoder(lambda text: text.replace("\n", " ").split(" "), table.encode_all, KEPT_PIECES)
     return kept[tokenizer_json]
 
 
@@ -198,7 +198,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str
     (id, hash), so one id that fills the table is still spread.
     """
     spark = docs.sparkSession
-    folder = folder or shared_path(spark, "token-files")
+    folder = folder or shared_path(spark, "token-files", keep=True)
     file_system, root = open_folder(folder)
     file_system.create_dir(root, recursive=True)
     top = max(max(json.loads(tokenizer_json)["model"]["vocab"].values(), default=0),
@@ -206,13 +206,13 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str
     width = "uint16" if top < 1 << 16 else "uint32"
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part, writer, encoder = TaskContext.get().partitionId(), None, None
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         files, path = open_folder(folder)
-        for rows in blocks(batches, "text", block_chars):
+        for rows in frames:
             encoder = encoder or word_encoder(shared.value)
             writer = writer or SequenceWriter(files, f"{path}/{name}", width, sequence, batch)
             ids = [np.append(x, end_id) for x in encoder.encode(rows["text"].tolist())]
@@ -225,7 +225,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str
     rows = rows.withColumn("tie", F.xxhash64("text"))
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.repartitionByRange(tasks, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    return folder, staged(dealt.mapInPandas(write, MANIFEST))
+    return folder, staged(map_blocks(dealt, write, MANIFEST, block_chars))
 
 
 def read_documents(folder: str, manifest: DataFrame) -> DataFrame:

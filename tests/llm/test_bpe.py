@@ -70,3 +70,9 @@ def test_documents(spark):
 
 def test_rank_lines():
     assert read_ranks([base64.b64encode(b"ab") + b" 7", b""]) == {b"ab": 7}
+
+
+def test_large_ids_beside_null(spark):
+    rows = [(2**53 + 1, "a"), (None, "b"), (2**62 + 3, None)]
+    got = byte_bpe(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 2**53 + 1, 2**62 + 3]

@@ -45,7 +45,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     judge = quality.Judge(quality.fit(docs))
-    kept = [r for r, q in zip(rows, judge([r[1] or "" for r in rows])[2]) if q >= 0.5]
+    kept = [r for r, q in zip(rows, judge([r[1] or "" for r in rows])[2]) if q >= quality.KEEP_FROM]
     assert sum(r[1] is not None and "!!" in r[1] for r in kept) == 0 and len(kept) >= 120
     first = {}
     for r in kept:
