@@ -25,6 +25,8 @@ END, START = b" ", 0
 #: Counts are exact up to EXACT and in steps of 1 / STEPS of an octave above; ids carry them in their top bits,
 #: the word's class in the next six, and a number below.
 EXACT, STEPS, CODES, ID_BITS, CLASS_AT = 32_768, 992, 65_535, 40, 34
+#: The number alone tells words apart.
+NUMBER = (1 << CLASS_AT) - 1
 #: After words that make up 1 / FREQUENT of all tokens or more, the next word's class is predicted first.
 FREQUENT, CLASSES = 1_024, 64
 #: A triple that this many documents of a block have is answered to the block instead of summed where it is looked up.
@@ -198,7 +200,7 @@ def _assemble(shards: int, totals: Totals):
                 sent, ask = own[~asked[own]], own[asked[own]]
                 entries = _stretches(starts[sent], n_docs[sent])
                 kept.append(ask)
-                out.append((s, name, "pairs", pack(one[own], mid[own], two[own], learned[own].astype(np.uint32), asked[own].astype(np.uint8),
+                out.append((s, name, "pairs", pack(one[own], mid[own] & NUMBER, two[own], learned[own].astype(np.uint32), asked[own].astype(np.uint8),
                                                    n_docs[sent].astype(np.uint16), doc[entries], times[entries].astype(np.uint32))))
         kept = np.concatenate(kept)
         entries = _stretches(starts[kept], n_docs[kept])
@@ -234,8 +236,9 @@ class ShardModel:
 
     ANY = 0
 
-    def __init__(self, trie: Trie, words: np.ndarray, middles: np.ndarray, totals: Totals):
+    def __init__(self, trie: Trie, words: np.ndarray, middles: np.ndarray, totals: Totals, context_of: np.ndarray, nodes: np.ndarray):
         self.trie, self.words, self.middles, self.totals = trie, words, middles, totals
+        self.context_of, self.nodes = context_of, nodes
 
     @classmethod
     def build(cls, one: np.ndarray, mid: np.ndarray, two: np.ndarray, n: np.ndarray, totals: Totals) -> ShardModel:
@@ -260,8 +263,8 @@ class ShardModel:
         pair_p = (pair_n + kinds[of] * unigram) / (seen + kinds)[of]
         # Triples, in order of context, middle and word.
         key = (((c << bits_m) + m + 1) << bits_w) + w
-        order = np.argsort(key)
-        key, n, c, w = key[order], n[order].astype(float), c[order], w[order]
+        given = np.argsort(key)
+        context_of, (key, n, c, w) = c, (key[given], n[given].astype(float), c[given], w[given])
         first, run = _groups(key >> bits_w)
         seen3, kinds3 = np.bincount(run, n, len(first)), np.bincount(run, minlength=len(first))
         below = pair_p[np.searchsorted(pair, (c << bits_w) + w)]
@@ -270,6 +273,10 @@ class ShardModel:
         any_key = ((of << bits_m) << bits_w) + (pair & ((1 << bits_w) - 1))
         both, logs = np.concatenate([any_key, key]), np.log10(np.concatenate([pair_p, p]))
         order = np.argsort(both)
+        place = np.empty(len(both), np.int64)
+        place[order] = np.arange(len(both))
+        nodes = np.empty(len(key), np.int64)
+        nodes[given] = place[len(any_key):]
         both, logs = both[order], logs[order]
         rest = {"key": np.concatenate([np.arange(len(contexts)) << bits_m, key[first] >> bits_w]),
                 "value": np.log10(np.concatenate([kinds / (seen + kinds) / mass, kinds3 / (seen3 + kinds3)]))}
@@ -281,7 +288,11 @@ class ShardModel:
                  np.stack([both >> bits_w >> bits_m, (both >> bits_w) & low, both & ((1 << bits_w) - 1)], 1)]
         trie = Trie.build(grams, [np.log10(share), np.zeros(len(node)), np.minimum(logs, 0.0)],
                           [np.zeros(len(contexts)), value - REST_SHIFT, np.zeros(len(both))])
-        return cls(trie, words, middles, totals)
+        return cls(trie, words, middles, totals, context_of, nodes)
+
+    def learned(self) -> np.ndarray:
+        """Log10 probability of the triples it was built from, in their order, at the nodes they became."""
+        return restore(self.trie.levels[2].logp[self.nodes]) + restore(self.trie.levels[0].logp[self.context_of])
 
     def look_up(self, one: np.ndarray, mid: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Log10 probability of ``two`` after ``mid`` and ``one``.
@@ -334,10 +345,12 @@ def _score(totals: Totals):
         n = np.bincount(number, learned, len(gram)).astype(np.int64)
         one, mid, two = ones[gram >> bits_c >> bits_b], mids[(gram >> bits_c) & ((1 << bits_b) - 1)], twos[gram & ((1 << bits_c) - 1)]
         with tempfile.TemporaryFile() as file:  # gone when the task is
-            model = ShardModel.build(*(x[n > 0] for x in (one, mid, two, n)), totals)
+            known, logp = n > 0, np.empty(len(n))
+            model = ShardModel.build(*(x[known] for x in (one, mid, two, n)), totals)
             model.trie.write(file)
             model.trie = Trie.open(file)
-            logp = model.look_up(one, mid, two)
+            logp[known] = model.learned()
+            logp[~known] = model.look_up(*(x[~known] for x in (one, mid, two)))
         shard, at = int(rows["shard"].iloc[0]), 0
         for block, (*_, asked, n_docs, doc, times), size in zip(rows["block"], parts, [len(p[0]) for p in parts]):
             own = logp[number[at:at + size]]

@@ -117,7 +117,10 @@ def test_probabilities_after_a_frequent_word_sum_to_its_classes_share():
     totals = lm_score.Totals([[np.array([seen.sum(), 500.0, 900.0]), np.bincount(class_of(ids), seen + 1, CLASSES)]])
     two = ids[rng.choice(500, 120, replace=False)]
     one, mid, n = np.full(120, lm_score.START), ids[rng.choice(4, 120)], rng.integers(1, 4, 120)
+    two, mid, n = two[::-1], mid[::-1], n[::-1]  # in no order
     model = lm_score.ShardModel.build(one, mid, two, n, totals)
+    seen_before = model.look_up(one, mid, two)
+    assert np.allclose(model.learned(), seen_before, atol=1e-9)
     for before in (ids[0], ids[400]):
         logp = model.look_up(np.full(500, lm_score.START), np.full(500, before), ids)
         for c in range(CLASSES):
