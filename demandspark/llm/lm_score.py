@@ -178,7 +178,9 @@ def _assemble(shards: int, totals: Totals):
         earlier[starts] = 0
         bits = int(len(ranked) + 1).bit_length()
         contexts, at = np.unique((before << bits) + earlier, return_inverse=True)
-        key, times = np.unique((((at << bits) + word) << 15) + doc, return_counts=True)
+        key = (((at << bits) + word) << 15) + doc
+        del before, earlier, at, word, doc
+        key, times = np.unique(key, return_counts=True)
         gram, doc = key >> 15, (key & 0x7FFF).astype(np.uint16)
         first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         n_docs = np.diff(np.r_[first, len(gram)])
@@ -337,12 +339,15 @@ def _score(totals: Totals):
         if not len(rows):
             return pd.DataFrame(out, columns=["block", "shard", "kind", "body"])
         parts = [unpack(b) for b in rows["body"]]
+        lengths = [len(p[0]) for p in parts]
         one, mid, two, learned = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        parts = [p[4:] for p in parts]
         (ones, a), (mids, b), (twos, c) = _ranked(one), _ranked(mid), _ranked(two)
         bits_b, bits_c = int(len(mids)).bit_length(), int(len(twos)).bit_length()
         gram, number = _ranked((((a << bits_b) + b) << bits_c) + c)
         del one, mid, two, a, b, c
         n = np.bincount(number, learned, len(gram)).astype(np.int64)
+        del learned
         one, mid, two = ones[gram >> bits_c >> bits_b], mids[(gram >> bits_c) & ((1 << bits_b) - 1)], twos[gram & ((1 << bits_c) - 1)]
         with tempfile.TemporaryFile() as file:  # gone when the task is
             known, logp = n > 0, np.empty(len(n))
@@ -352,7 +357,7 @@ def _score(totals: Totals):
             logp[known] = model.learned()
             logp[~known] = model.look_up(*(x[~known] for x in (one, mid, two)))
         shard, at = int(rows["shard"].iloc[0]), 0
-        for block, (*_, asked, n_docs, doc, times), size in zip(rows["block"], parts, [len(p[0]) for p in parts]):
+        for block, (asked, n_docs, doc, times), size in zip(rows["block"], parts, lengths):
             own = logp[number[at:at + size]]
             at += size
             asked = asked.astype(bool)
