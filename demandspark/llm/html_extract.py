@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import sent
 
 SPACES = re.compile("[\x20\x09-\x0d]+")
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|svg)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S | re.I)
+#: What stands in a tag behind its name. A quote opens a value only after "="; elsewhere it is a character like others.
+MORE = r"""(?:[^>=/]++|/(?!>)|=\s*+(?:"[^"]*"|'[^']*'|(?=>)|[^\s>"'][^\s>]*+))*+"""
+TAG = rf"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>{MORE})(?P<empty>/?)>"
+COMMENT = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+TOKEN = re.compile(rf"{COMMENT}|<(?P<raw>script|style|noscript|template)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)|{TAG}|<[!?/][^>]*>",
+                   re.S | re.I)
+IN_SVG = re.compile(f"{COMMENT}|{TAG}", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure
     footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre section
     select summary table tbody td textarea tfoot th thead title tr ul""".split())
 VOID = frozenset(("hr",))
+#: Elements of an svg that hold others, and tags that browsers take out of an svg even if its end tag is missing.
+SVG_BOXES = frozenset(("svg", "foreignobject", "desc", "title"))
+NOT_SVG = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr
+    ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
 #: A start tag ends an open element of these kinds, up to the container named.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
@@ -71,10 +79,29 @@ def _labels(tag: str, more: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _svg_end(page: str, at: int) -> int:
+    """Where the content of an svg that starts at ``at`` ends: behind its end tag, or before a tag that cannot be in it."""
+    boxes = ["svg"]
+    for m in IN_SVG.finditer(page, at):
+        tag = (m["tag"] or "").lower()
+        if tag in SVG_BOXES:
+            if not m["end"]:
+                if not m["empty"]:
+                    boxes.append(tag)
+            elif tag in boxes:
+                while boxes.pop() != tag:
+                    pass
+                if not boxes:
+                    return m.end()
+        elif boxes[-1] == "svg" and (tag in NOT_SVG or m["end"] and tag in BLOCKS):
+            return m.start()
+    return len(page)
+
+
 def page_blocks(page: str) -> list[Block]:
     """Text blocks in page order, character references decoded, white space made single blanks.
 
-    Comments, scripts, styles and markup are gone; inline tags and ``br`` do not end a block, and a
+    Comments, scripts, styles, drawings and markup are gone; inline tags and ``br`` do not end a block, and a
     ``br`` counts as white space. Missing end tags are taken as browsers take them: a block ends an
     open paragraph, an item the item before it. Blocks without text are left out.
     """
@@ -99,7 +126,7 @@ def page_blocks(page: str) -> list[Block]:
             if links:
                 linked += len(piece)
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         take(page[at:m.start()])
         at = m.end()
         if m["tag"] is None:
@@ -110,6 +137,8 @@ def page_blocks(page: str) -> list[Block]:
                 links = 0 if m["end"] else 1
             elif tag == "br":
                 text.append(" ")
+            elif tag == "svg" and not m["end"] and not m["empty"]:
+                at = _svg_end(page, at)
             continue
         flush()
         if m["end"]:

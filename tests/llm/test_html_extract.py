@@ -25,6 +25,23 @@ def test_blocks(page, expected):
     assert texts(page) == expected
 
 
+@pytest.mark.parametrize("page, expected", [
+    ('<p>One.</p><svg class="i"/><p>Two.</p>', ["One.", "Two."]), ('<svg-icon name="x"></svg-icon><p>Two.</p>', ["Two."]),
+    ("<p>a<template-x>b</template-x> <style-x/>c<script-y>d</p><p>e", ["ab cd", "e"]), ("<p>a<svg data-x='/>' />b</p>", ["ab"]),
+    ("<p>a<svg viewBox='0 0 1 1'><title>t</title><path d='M0'/><text>x</text></svg>b</p>", ["ab"]), ("<p>a<svg class=i/></p><p>b</p>", ["a", "b"]),
+    ("<p>a<svg><g><svg><style/></svg><text>x</text></g></svg>b<p>c", ["ab", "c"]), ("<p>a<svg><path></p><p>b<svg></svg>c", ["a", "bc"]),
+    ("<p>a<svg><foreignObject><div>x</div></foreignObject></svg>b", ["ab"]), ("<p>a<svg><!-- </svg> --><text>x</text></SVG >b", ["ab"]),
+    ("<p title=don't>One isn't.</p><p>Two.</p>", ["One isn't.", "Two."]), ('<p 5" class=a>One "x".</p><p>Two.', ['One "x".', "Two."]),
+    ("<p title='a>b' alt = \"c>d\" e=>One.<p f=g'h=\"i>Two \"j\".", ["One.", 'Two "j".']), ("<script>x</script y><p>k", ["k"]),
+    ("<template><p>x</p></template><style media=a>p{}</style><noscript>n</noscript><p>k", ["k"])])
+def test_icons_custom_elements_and_stray_quotes_lose_no_text(page, expected):
+    assert texts(page) == expected
+
+
+def test_a_page_of_open_drawings_is_read_in_linear_time():
+    assert texts("<svg><foreignObject>" * 50_000 + "</svg>" * 50_000 + "<p>k") == ["k"]
+
+
 def test_paths_close_what_browsers_close():
     found = page_blocks("<html><body><nav><ul><li>a<li>b</ul></nav><div class='Ad-Box' id=x><p>c<div>d</div></div><article><p><b>e<br><p>f</article>g")
     assert [[e[0] for e in b.path] for b in found] == [["html", "body", "nav", "ul", "li"]] * 2 + [
