@@ -31,8 +31,8 @@ BUCKETS = 1 << 15
 FIT_DOCS = 4_000
 FIT_STEPS = 300
 L2 = 1e-4
-#: Documents at this probability of being good, or above, stay; below one half, as a clean document lost costs more.
-KEEP_FROM = 0.4
+#: Documents at this probability of being good, or above, stay: those that are rather good than junk.
+KEEP_FROM = 0.5
 LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
 
 

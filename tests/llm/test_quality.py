@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 
-from demandspark.llm.quality import LABELLERS, Features, fit, fit_label_model, keep_good, score, votes
+import pytest
+
+from demandspark.llm.quality import BUCKETS, LABELLERS, Features, LabelModel, QualityModel, fit, fit_label_model, keep_good, score, votes
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, quality string"
 
@@ -64,6 +66,16 @@ def test_odd_texts(spark):
     assert keep_good(df, model).count() == sum(r.kept for r in got)
 
 
+@pytest.mark.parametrize("bias, stays", [(-0.2, False), (0.0, True), (0.2, True)])  # probabilities of 0.45, 0.5 and 0.55
+def test_what_is_rather_junk_than_good_goes(spark, bias, stays):
+    weights = np.zeros(BUCKETS)
+    weights[Features().whole[-1]] = bias
+    even = np.full((len(LABELLERS), 3), 0.5)
+    docs = spark.createDataFrame([(1, "Some words.", None, None, None, None)], COLUMNS)
+    model = QualityModel(LabelModel(0.5, even, even), weights)
+    assert [r.kept for r in score(docs, model).collect()] == [stays] and keep_good(docs, model).count() == stays
+
+
 def test_no_rows_and_no_words(spark):
     for rows in ([], [(1, "", None, None, None, None)]):
         df = spark.createDataFrame(rows, COLUMNS)
