@@ -21,10 +21,13 @@ from demandspark.llm.common import sent
 #: (name, good up to, bad from): a share up to the first number is a vote for good, from the second one for
 #: bad, and between them no vote. Up to SHORT_WORDS words give no vote on repetition.
 LABELLERS = (("upper", 0.25, 0.5), ("symbols", 0.02, 0.05), ("cells", 0.02, 0.08), ("odd_words", 0.15, 0.25), ("same_next", 0.1, 0.2),
-             ("repeated", 0.5, 0.65), ("repeated_lines", 0.2, 0.5), ("digits", 0.1, 0.3), ("long_words", 0.05, 0.2))
+             ("repeated", 0.5, 0.65), ("repeated_lines", 0.2, 0.5), ("digits", 0.1, 0.3), ("long_words", 0.05, 0.2), ("seen_runs", 0.1, 0.3))
+LINES, RUNS = (next(i for i, labeller in enumerate(LABELLERS) if labeller[0] == name) for name in ("repeated_lines", "seen_runs"))
 SHORT_WORDS = 10
 #: Words in a stretch over which repetition is measured, as it grows with the stretch in any prose.
 STRETCH = 200
+#: Words in a run that "seen_runs" looks for earlier in the whole text; prose hardly repeats so many, however long it is.
+RUN = 5
 PLAIN_WORD = re.compile(rb"(?<!\S)[(\"']?[A-Za-z\x80-\xff][a-z\x80-\xff'-]*[.,;:?!)\"']?(?!\S)")
 #: Hash buckets of the scorer, documents of the fit, steps of its descent.
 BUCKETS = 1 << 15
@@ -47,16 +50,17 @@ def shares(text: bytes) -> tuple[float, ...]:
     return (upper / max(1, upper + lower), symbols / solid, int(count[124]) / max(1, n),
             1 - len(PLAIN_WORD.findall(text)) / max(1, n), sum(map(bytes.__eq__, words, words[1:])) / max(1, n),
             1 - sum(len(set(words[i:i + STRETCH])) for i in range(0, n, STRETCH)) / max(1, n),
-            1 - len(set(lines)) / max(1, len(lines)), int(count[48:58].sum()) / solid, sum(map((40).__lt__, map(len, words))) / max(1, n))
+            1 - len(set(lines)) / max(1, len(lines)), int(count[48:58].sum()) / solid, sum(map((40).__lt__, map(len, words))) / max(1, n),
+            1 - len(set(map(hash, zip(*(islice(words, k, None) for k in range(RUN)))))) / (n - RUN + 1) if n >= RUN else 0.0)
 
 
-def votes(text: bytes) -> str:
-    """One letter per labeller: g, b or - for no vote. An empty text gets no votes."""
+def votes(text: bytes, found: tuple[float, ...] | None = None) -> str:
+    """One letter per labeller: g, b or - for no vote. An empty text gets no votes. ``found`` are its ``shares``, if known."""
     if not text.split():
         return "-" * len(LABELLERS)
     short = len(text.split(None, SHORT_WORDS)) <= SHORT_WORDS
-    return "".join("-" if short and name in ("same_next", "repeated", "repeated_lines") else "b" if x >= bad else "g" if x <= good else "-"
-                   for x, (name, good, bad) in zip(shares(text), LABELLERS))
+    return "".join("-" if short and name in ("same_next", "repeated", "repeated_lines", "seen_runs") else "b" if x >= bad else "g" if x <= good else "-"
+                   for x, (name, good, bad) in zip(found or shares(text), LABELLERS))
 
 
 @dataclass
@@ -104,54 +108,52 @@ def fit_label_model(patterns: list[str], counts: np.ndarray, rounds: int = 500)
     return model
 
 
+SHAPES = bytes(65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 97 if b >= 128 or 97 <= b <= 122 else b for b in range(256))
+LONG_RUN = re.compile(rb"(.)\1{2,}", re.S)
+
+
 def _shape(word: bytes) -> bytes:
     """Case, digits and marks of a word, runs cut short; other bytes count as small letters."""
-    out = bytearray()
-    for b in word[:64]:
-        kind = 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 97 if b >= 128 or 97 <= b <= 122 else b
-        if not (len(out) > 1 and out[-1] == kind == out[-2]):
-            out.append(kind)
-    return bytes(out)
+    return LONG_RUN.sub(rb"\1\1", word.translate(SHAPES))
 
 
 class Features:
-    """Hashed features of texts: each word, its shape, whether it or a line repeats one before it.
+    """Hashed features of texts: each word, its shape, whether it, a line or a run of words repeats one before it.
 
     A feature's value is its share of the words; features per distinct word are computed once while kept.
     """
 
     def __init__(self, buckets: int = BUCKETS, kept: int = KEPT_PIECES):
         self.buckets, self.kept = buckets, kept
-        self.whole = [crc32(s) % buckets for s in (b"\x00same", b"\x00again", b"\x00line", b"\x00bias")]
+        self.whole = [crc32(s) % buckets for s in (b"\x00same", b"\x00again", b"\x00line", b"\x00runs", b"\x00bias")]
         self.forget()
 
     def forget(self) -> None:
         self.place, self.lower = Places(), Places()
         self.word, self.shape, self.low = array("i"), array("i"), array("i")
 
-    def of(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Buckets and values of each text; buckets may occur twice."""
+    def of(self, texts: list[bytes], found: list[tuple[float, ...]] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Buckets and values of each text; buckets may occur twice. ``found`` are the texts' ``shares``, if known."""
         if len(self.place) > self.kept:
             self.forget()
-        docs, repeated = [], []
+        docs = []
         for text in texts:
-            words, lines = text.split(), [line for line in text.split(b"\n") if line.strip()]
+            words = text.split()
             docs.append(np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)))
-            repeated.append(1 - len(set(lines)) / max(1, len(lines)))
         for w in list(islice(self.place, len(self.word), None)):
             low = w.lower()
             self.word.append(crc32(b"\x01" + low) % self.buckets)
             self.shape.append(crc32(b"\x02" + _shape(w)) % self.buckets)
             self.low.append(self.lower[low])
         word, shape, low = (np.array(x, np.int32) for x in (self.word, self.shape, self.low))
-        for doc, line in zip(docs, repeated):
+        for doc, share in zip(docs, map(shares, texts) if found is None else found):
             n = max(1, len(doc))
             small = low[doc]
             same = float((small[1:] == small[:-1]).sum()) / n
             again = 1 - len(np.unique(small)) / n if len(doc) else 0.0
             index = np.concatenate([word[doc], shape[doc], self.whole])
             value = np.full(len(index), 1 / n)
-            value[-4:] = same, again, line, 1.0
+            value[-5:] = same, again, share[LINES], share[RUNS], 1.0
             yield index, value
 
 
@@ -204,11 +206,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_docs: i
         features = Features()
         for part in frames:
             texts = [t.encode() for t in part["text"]]
-            made = []
-            for index, value in features.of(texts):
+            found, made = list(map(shares, texts)), []
+            for index, value in features.of(texts, found):
                 bucket, where = np.unique(index, return_inverse=True)
                 made.append((bucket.astype(np.int32), np.bincount(where, value).astype(np.float32)))
-            yield pd.DataFrame({"pattern": [votes(t) for t in texts], "bucket": [m[0] for m in made], "value": [m[1] for m in made]})
+            yield pd.DataFrame({"pattern": list(map(votes, texts, found)), "bucket": [m[0] for m in made], "value": [m[1] for m in made]})
 
     picked = rows.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("h", F.xxhash64("id")).select("h", "text")
     chosen = pick_by_hash(picked, fit_docs)
@@ -231,11 +233,12 @@ class Judge:
 
     def __call__(self, texts: list[str]) -> tuple[list[str], list[float], np.ndarray]:
         coded = [t.encode() for t in texts]
-        given = [votes(t) for t in coded]
+        found = list(map(shares, coded))
+        given = list(map(votes, coded, found))
         new = [p for p in set(given) if p not in self.known]
         if new:
             self.known.update(zip(new, self.model.labels.posterior(new).tolist() if self.model else [0.0] * len(new)))
-        total = np.array([float(self.model.weights[i] @ v) if self.model else 0.0 for i, v in self.features.of(coded)])
+        total = np.array([float(self.model.weights[i] @ v) if self.model else 0.0 for i, v in self.features.of(coded, found)])
         some = np.array([bool(t.strip()) for t in coded], bool)
         return given, [self.known[p] for p in given], np.where(some, 1 / (1 + np.exp(-np.clip(total, -500, 500))), 0.0)
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
 
 import pytest
 
-from demandspark.llm.quality import BUCKETS, LABELLERS, Features, LabelModel, QualityModel, fit, fit_label_model, keep_good, score, votes
+from demandspark.llm.quality import BUCKETS, LABELLERS, Features, LabelModel, QualityModel, fit, fit_label_model, keep_good, score, votes, _shape
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, quality string"
 
@@ -89,3 +90,28 @@ def test_votes_and_features():
     features = Features(kept=1)
     one, two = (list(features.of([b"Ab ab c"])) for _ in range(2))
     assert (one[0][0] == two[0][0]).all() and one[0][1][-1] == 1.0
+
+
+def long_passage(rng):
+    """One line of a passage of 250 different words, again and again."""
+    return " ".join([" ".join(rng.sample(WORDS, 250))] * 100)
+
+
+WORDS = ["".join(p) + q for p in itertools.product(["an", "the", "ion", "or", "st", "wa"], repeat=3) for q in ("", "s", "ly", "er")]
+
+
+def test_repetition_of_long_passages_is_seen_whatever_their_length(spark):
+    rng = random.Random(6)
+    column = [name for name, _, _ in LABELLERS].index("seen_runs")
+    for times, vote in ((1, "g"), (2, "b"), (100, "b")):
+        assert votes(" ".join([" ".join(rng.sample(WORDS, 250))] * times).encode())[column] == vote
+    assert [votes(" ".join(rng.choices(WORDS, k=n)).encode())[column] for n in (100, 50_000)] == ["g", "g"]
+    model = fit(spark.createDataFrame(corpus(), COLUMNS))
+    fresh = [(i, long_passage(rng) if i else " ".join(rng.choices(WORDS, k=25_000)), "en", "s", 1, "extra") for i in range(4)]
+    got = {r.doc_id: r.quality for r in score(spark.createDataFrame(fresh, COLUMNS), model).collect()}
+    assert max(got[i] for i in (1, 2, 3)) < got[0] - 0.02
+
+
+def test_shapes_of_whole_words():
+    assert [_shape(w) for w in (b"Ab12x.", b"AAAAA--", "été".encode(), b"(\n")] == [b"Aa00a.", b"AA--", b"aa", b"(\n"]
+    assert _shape(b"a1" * 40 + b"#") != _shape(b"a1" * 40)
