@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from demandspark.llm import quality
 from demandspark.llm.exact_dedup import drop_exact_duplicates
-from demandspark.llm.jaccard_join import drop_near_duplicates
+from demandspark.llm.jaccard_join import one_of_each_group
 from demandspark.llm.mixing import mix
 from demandspark.llm.queries import byte_bpe
 from demandspark.session import shared_path
@@ -23,8 +23,8 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a Jaccard similarity of 0.8 or more the smallest id stays."""
-    return drop_near_duplicates(docs)
+    """Of documents connected by a Jaccard similarity of 0.8 or more one stays, that with the smallest id."""
+    return one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -347,3 +347,18 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     answer = jaccard_components(docs, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
     return rows.filter("id is null").unionByName(rows.join(answer, F.col("id") == F.col("_stays"), "left_semi")).select("doc.*")
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns, whatever ids repeat or are null.
+
+    Rows are numbered in a stored table and linked by that number. The smallest id stays, one that is null only
+    where the component has no other; of rows with that id the one whose text has the smallest digest.
+    """
+    order = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = staged(docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), order.alias("order"))
+                  .withColumn("row", F.monotonically_increasing_id()))
+    answer = jaccard_components(rows, percent, "row", "text").select(F.col("doc_id").alias("of"), "component_id")
+    first = (rows.select("order", "row").join(answer, F.col("row") == F.col("of"))
+             .groupBy("component_id").agg(F.min(F.struct("order", "row")).alias("first")))
+    return rows.select("doc", "row").join(first.select(F.col("first.row").alias("stays")), F.col("row") == F.col("stays"), "left_semi").select("doc.*")

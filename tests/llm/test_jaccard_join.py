@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
 import numpy as np
 import pytest
 
-from demandspark.llm.jaccard_join import Shingler, _from_planes, _planes, drop_near_duplicates, jaccard_components, shared_counts
+from demandspark.llm.jaccard_join import Shingler, _from_planes, _planes, drop_near_duplicates, jaccard_components, one_of_each_group, shared_counts
 
 SCHEMA = "doc_id long, text string, n int, digest string"
 
@@ -103,6 +104,20 @@ def test_repeated_rows_null_ids_and_none(spark):
     assert jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "wv")
+    rows = [(3, text, 1, "x"), (3, text, 2, "x"), (3, text + " edit", 1, "x"), (None, text, 1, "x"), (None, "alone here", 1, "x"),
+            (5, text + " more", 1, "x"), (3, "far from all", 1, "x"), (None, other, 1, "x"), (None, other + " more", 1, "x"), (9, None, 1, "x")]
+    stays = [(-1, "alone here"), (-1, min(other, other + " more", key=lambda t: hashlib.md5(t.encode()).hexdigest())), (3, "far from all"),
+             (3, min(text, text + " edit", key=lambda t: hashlib.md5(t.encode()).hexdigest())), (9, "")]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, SCHEMA)
+        got = one_of_each_group(df)
+        assert got.columns == df.columns
+        assert sorted((-1 if r[0] is None else r[0], r[1] or "") for r in got.collect()) == sorted(stays)
+    assert one_of_each_group(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_shared_counts_are_never_too_low(spark):
     rows = copies(8)
     df = spark.createDataFrame([(d, t) for d, t in rows], "doc_id long, text string")
