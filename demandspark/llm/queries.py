@@ -14,6 +14,7 @@ from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.jaccard_join import jaccard_components
 from demandspark.llm.lm_score import score_documents
 from demandspark.llm.mixing import balance
+from demandspark.llm.phrase_index import contamination
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
@@ -132,3 +133,30 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_lm_score")
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_phrase_index", r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, w[i:i + 9] AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+    starts AS (
+        SELECT r, i, k, w[i:i + k - 1] AS g
+        FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT len(g) AS k FROM windows) WHERE len(w) >= k)),
+    found AS (SELECT s.r, s.i, s.k, x.item_id FROM starts s JOIN windows x ON s.g = x.g),
+    hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY r),
+    listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+               FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+""")
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
