@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from demandspark.llm import html_extract, quality
 from demandspark.llm.bpe import encode_documents
 from demandspark.llm.common import table
+from demandspark.llm.drift_clusters import CLUSTERS, ROUNDS, cluster_vectors
 from demandspark.llm.embedding_dedup import near_duplicates
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.jaccard_join import jaccard_components
 from demandspark.llm.lm_score import score_documents
 from demandspark.llm.mixing import balance
 from demandspark.llm.phrase_index import contamination
+from demandspark.llm.token_align import align_documents
 from demandspark.llm.token_files import read_documents, write_tokens
 from demandspark.llm.url_filter import Rule, fit_ratio, judge, seed_labels
 
@@ -160,3 +162,45 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _cluster_sql() -> str:
+    """Plain rounds over all vectors and centroids; the last pass only assigns."""
+    nearest = """SELECT r, vec_id, q, min({{'d': d, 'c': c}}) AS best
+        FROM (SELECT p.r, p.vec_id, p.q, k.c,
+                     CAST(list_sum(list_transform(list_zip(p.q, k.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+              FROM kept p, c{0} k) GROUP BY r, vec_id, q"""
+    means = """SELECT c, list(m ORDER BY i) AS q
+        FROM (SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m
+              FROM (SELECT best.c AS c, i, sum(q[i]) AS s, CAST(count(*) AS HUGEINT) AS n FROM a{0}, range(1, 65) t(i) GROUP BY best.c, i))
+        GROUP BY c UNION ALL SELECT c, q FROM c{0} WHERE c NOT IN (SELECT best.c FROM a{0})"""
+    steps = [f"a{i} AS MATERIALIZED ({nearest.format(i)}), c{i + 1} AS MATERIALIZED ({means.format(i)})" for i in range(ROUNDS)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64),
+    c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, q) - 1 AS c, q FROM kept QUALIFY c < {CLUSTERS}),
+    {", ".join(steps)}, a{ROUNDS} AS MATERIALIZED ({nearest.format(ROUNDS)})
+    SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k.q, ',')) AS centroid_sha256
+    FROM a{ROUNDS} a JOIN c{ROUNDS} k ON k.c = a.best.c
+    """
+
+
+@query("op13_drift_clusters", _cluster_sql())
+def op13_drift_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def two_tokenizers(docs: DataFrame, **options) -> DataFrame:
+    """The byte-level and the piece vocabulary of the public tokenizer files."""
+    import public_tokenizers as public
+
+    with open(public.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public.path("piece_bpe_32k.model"), "rb") as b:
+        return align_documents(docs, a.read(), b.read(), **options)
+
+
+@query("op11_token_align")
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_tokenizers(table(spark, sf_dir, "documents"))
