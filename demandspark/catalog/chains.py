@@ -87,8 +87,8 @@ def erp_exchange_chain(r: Retail):
     orders = inventory.purchase_orders(r.alerts, RUN_DATE).where(number_of("material_id") % 4 < 2)
     orders = orders.select("po_number", "material_id", "store_id", F.floor(F.col("quantity") / 2).cast("int").alias("quantity"), "unit_price",
                            F.lit("APPROVED").alias("status"), "expected_delivery", "supplier")
-    stages.write_stages({"erp_stock": stock, "erp_orders": orders}, root)
-    found = reporting.erp_exchange(r.spark, f"{root}/erp_stock", f"{root}/erp_orders", r.panel, r.naive, RUN_DATE, f"{root}/out")
+    paths = stages.write_stages({"erp_stock": stock, "erp_orders": orders}, root)
+    found = reporting.erp_exchange(r.spark, paths["erp_stock"], paths["erp_orders"], r.panel, r.naive, RUN_DATE, f"{root}/out")
     return found["purchase_orders"].select("store_id", "material_id", "quantity")
 
 

@@ -35,8 +35,7 @@ def write_stage_tables(r: Retail):
 
 @query("write_text_reports", "SELECT count(*) AS n_lines FROM v_alerts")
 def write_text_reports(r: Retail):
-    path = shared_path(r.spark, "alerts")
-    stages.write_text_report(r.alerts.select(labels.alert_line().alias("line")), path)
+    path = stages.write_text_report(r.alerts.select(labels.alert_line().alias("line")), shared_path(r.spark, "alerts"))
     return r.spark.read.text(path).agg(F.count("*").alias("n_lines"))
 
 
@@ -66,8 +65,7 @@ def stock_snapshot_normalise(r: Retail):
         F.when(F.col("plant") == "A", half).otherwise(F.col("current_stock") - half).cast("int").alias("unrestricted_stock"),
         (F.col("current_stock") % 50).cast("int").alias("in_transit_qty"),
         (F.col("current_stock") % 20).cast("int").alias("reserved_qty"))
-    path = shared_path(r.spark, "stock")
-    stages.write_stage(rows.withColumns({"last_updated": F.lit(dt.datetime(2002, 1, 7)), "unit": F.lit("EA")}), path)
+    path = stages.write_stage(rows.withColumns({"last_updated": F.lit(dt.datetime(2002, 1, 7)), "unit": F.lit("EA")}), shared_path(r.spark, "stock"))
     return erp.stock_snapshot(erp.read_erp_stock(r.spark, path))
 
 
@@ -82,6 +80,27 @@ def open_po_by_item(r: Retail):
                    (number_of("material_id") % 4).cast("int"))
     rows = orders.withColumns({"status": status, "quantity": F.col("quantity").cast("int")}).select(
         "po_number", "material_id", "store_id", "quantity", "unit_price", "status", "expected_delivery", "supplier")
-    path = shared_path(r.spark, "orders")
-    stages.write_stage(rows, path)
+    path = stages.write_stage(rows, shared_path(r.spark, "orders"))
     return erp.open_orders_by_item(erp.read_erp_orders(r.spark, path))
+
+
+@query("stage_versions", """
+    SELECT 'weekly' AS stage, 1 AS version, count(*) AS n_rows, CAST(sum(units_sold) AS BIGINT) AS units_sold FROM v_weekly
+    UNION ALL SELECT 'weekly', 2, count(*), CAST(sum(units_sold) AS BIGINT) FROM v_weekly WHERE units_sold > 100
+    UNION ALL SELECT 'items', 2, count(*), CAST(sum(units_sold) AS BIGINT) FROM (SELECT sum(units_sold) AS units_sold FROM v_weekly GROUP BY store_id, product_id)""")
+def stage_versions(r: Retail):
+    """A second run replaces one table and adds another in one step; a third breaks off and changes nothing."""
+    store = stages.StageStore(r.spark, shared_path(r.spark, "versions"))
+    facts = lambda df, name, version: df.agg(
+        F.lit(name).alias("stage"), F.lit(version).alias("version"), F.count("*").alias("n_rows"), F.sum("units_sold").alias("units_sold"))
+    with store.begin() as stage:
+        stage.write("weekly", r.weekly)
+    first = store.read("weekly")
+    with store.begin() as stage:
+        items = first.groupBy("store_id", "product_id").agg(F.sum("units_sold").alias("units_sold"))
+        stage.write("weekly", first.where("units_sold > 100"))
+        stage.write("items", items)
+    broken = store.begin()
+    broken.write("weekly", first.limit(0))  # written, but never committed
+    return (facts(first, "weekly", 1).unionByName(facts(store.read("weekly"), "weekly", 2))
+            .unionByName(facts(store.read("items"), "items", 2)))

@@ -38,14 +38,14 @@ def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
              categories: Sequence[str] | None = None, models_of: Callable[[Sequence[str]], Mapping[str, Pipeline]] | None = None,
              split: Callable[[DataFrame], DataFrame] = models.split_by_week, weeks: int = 12) -> CoreTables:
     """Run all stages. Clean rows and panel are written below ``root`` and read back, so the later
-    stages neither repeat the work nor depend on cached blocks of one executor.
+    stages neither repeat the work nor depend on cached blocks of one executor. They hold together: a run
+    that breaks off between them leaves the former pair.
     """
-    clean_path, panel_path = f"{root}/clean", f"{root}/features"
     # Clustered by day, so a date range reads few files; the hint also splits a busy day by size.
     daily = add_time_features(clean_daily(raw)).hint("rebalance", "date")
-    stages.write_stage(daily, clean_path)
-    clean = stages.read_stage(spark, clean_path)
-    stages.write_stage(build_panel(clean, categories), panel_path)
+    with stages.StageStore(spark, root).begin() as stage:
+        clean = stage.write("clean", daily)
+        stage.write("features", build_panel(clean, categories))
     return resume_core(spark, stock, root, models_of, split, weeks)
 
 
@@ -55,26 +55,30 @@ def resume_core(spark: SparkSession, stock: DataFrame, root: str,
                 retrain: bool = True) -> CoreTables:
     """Go on from the clean rows and the panel stored below ``root``.
 
-    Without ``retrain`` the stored model forecasts, and the tables have no metrics.
+    Without ``retrain`` the stored model forecasts, and the tables have no metrics. Model and results are
+    stored in one step.
     """
+    stage = stages.StageStore(spark, root).begin()
     clean, panel = stages.read_stage(spark, f"{root}/clean", fmt=fmt), stages.read_stage(spark, f"{root}/features", fmt=fmt)
     if not features.feature_columns(panel):  # text keeps no marks
         panel = features.mark_inputs(panel)
     metrics = None
     if retrain:
         trained = models.train_models(panel, (models_of or models.default_models)(features.feature_columns(panel)), split)
-        models.save_model(trained.best_model, f"{root}/model")
+        models.save_model(trained.best_model, stage.folder("model", "model"))
         model, metrics = trained.best_model, trained.metrics
     else:
-        model = models.load_model(f"{root}/model")
+        model = models.load_model(stage.store.path("model"))
     forecast = recursive_forecast(panel, model.transform, weeks)
     report = inventory.inventory_report(panel, stock, forecast)
     tables = CoreTables(clean, panel, forecast, metrics, report, inventory.reorder_alerts(report),
                         reports.category_forecast_summary(forecast))
-    rest = {k: v for k, v in tables.as_dict().items() if k not in ("clean", "panel")}
-    stages.write_stages(rest, root)
+    for name, table in tables.as_dict().items():
+        if name not in ("clean", "panel"):
+            stage.write(name, table)
     if metrics is not None:
-        stages.write_text_report(stages.metrics_report(metrics), f"{root}/model_comparison")
+        stage.write("model_comparison", stages.metrics_report(metrics), "text")
+    stage.commit()
     return tables
 
 

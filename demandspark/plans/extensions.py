@@ -96,19 +96,20 @@ def run_extensions(panel: DataFrame, report: DataFrame, given: ExtensionInputs,
                    steps: Sequence[str] = tuple(STEPS)) -> ExtensionResults:
     """Run and write every analysis below ``root``; a failing one is recorded and the others go on.
 
-    A step executes inside its own guard, so an error that shows only on rows is caught too, and its
-    tables written before stay. The alert lines and the errors are written as text. ``panel`` should be
-    a stage table, since every analysis reads it; ``steps`` names a part to run again.
+    A step executes inside its own guard, so an error that shows only on rows is caught too. Its tables hold
+    in one step after the last is written, so a failed one leaves the versions of the run before. The alert
+    lines and the errors are written as text. ``panel`` should be a stage table, since every analysis reads
+    it; ``steps`` names a part to run again.
     """
-    results = ExtensionResults()
+    results, store = ExtensionResults(), stages.StageStore(panel.sparkSession, root)
     for name in steps:
         try:
-            for table, df in STEPS[name](panel, report, given).items():
-                stages.write_stage(df, f"{root}/{table}")
-                results.tables[table] = stages.read_stage(panel.sparkSession, f"{root}/{table}")
-            if name == "alerts":
-                lines = results.tables["alert_digest"].where("line IS NOT NULL").orderBy("position").select("line")
-                stages.write_text_report(lines, f"{root}/alert_log")
+            with store.begin() as stage:
+                written = {table: stage.write(table, df) for table, df in STEPS[name](panel, report, given).items()}
+                if name == "alerts":
+                    lines = written["alert_digest"].where("line IS NOT NULL").orderBy("position").select("line")
+                    stage.write("alert_log", lines, "text")
+            results.tables |= written
         except Exception as error:  # one analysis must not stop the others
             results.errors[name] = str(error)
     if results.errors:

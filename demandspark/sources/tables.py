@@ -10,18 +10,19 @@ from pyspark.sql.types import StructType
 
 from demandspark.functions.numeric import round_half_even
 from demandspark.sources.schemas import DAILY_SALES
+from demandspark.sources.stages import current_folder
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str | None = None) -> DataFrame:
-    """CSV or Parquet scan; a CSV needs a declared schema. A missing path raises on analysis."""
+    """CSV or Parquet scan of files or of a stage table; a CSV needs a declared schema. A missing path raises on analysis."""
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV scan needs a declared schema")
-        return reader.option("header", True).csv(path)
-    return reader.format(fmt).load(path)
+        return reader.option("header", True).csv(current_folder(spark, path))
+    return reader.format(fmt).load(current_folder(spark, path))
 
 
 def read_daily_sales(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
