@@ -10,6 +10,7 @@ from demandspark.catalog.sql import he as sql_he
 from demandspark.constants import WEEKLY_INPUTS
 from demandspark.functions import calendar
 from demandspark.operators import features, models, reports
+from demandspark.session import staged
 
 KEYS = ["store_id", "product_id", "week_start"]
 CYCLIC = ["month_sin", "month_cos", "week_num_sin", "week_num_cos"]
@@ -61,6 +62,26 @@ def category_onehot(r: Retail):
     return features.add_category_onehot(products, features.category_domain(products))
 
 
+@query("category_onehot_wide", f"""
+    SELECT category, CAST(count(*) OVER () AS BIGINT) AS n_values, CASE WHEN rank > 1 THEN CAST(rank - 2 AS INT) END AS slot, n_rows,
+      {sql_he('mean_units')} AS mean_units, TRUE AS predicts_mean
+    FROM (SELECT category, row_number() OVER (ORDER BY category) AS rank, n_rows, mean_units
+          FROM (SELECT 'P' || l_partkey AS category, count(*) AS n_rows, avg(l_quantity) AS mean_units FROM lineitem GROUP BY 1))""")
+def category_onehot_wide(r: Retail):
+    """Every part as a category, beyond any number of columns: least squares on the sparse vectors gives each its mean."""
+    lines = staged(r.spark.read.parquet(f"{r.sf_dir}/lineitem.parquet").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("category"), F.col("l_quantity").cast("double").alias("units_sold")))
+    domain = features.category_table(lines)
+    n = domain.count()
+    rows = features.add_category_vector(features.add_category_index(lines, domain), n)
+    fitted = models.linear_regression([features.CATEGORY_VECTOR]).fit(rows)
+    scored = fitted.transform(rows).withColumn("at", F.col(features.CATEGORY_INDEX).cast("int"))
+    mean = F.avg("units_sold")
+    return scored.groupBy("category").agg(
+        F.lit(n).cast("bigint").alias("n_values"), F.when(F.max("at") < n - 1, F.max("at")).alias("slot"), F.count("*").alias("n_rows"),
+        he(mean).alias("mean_units"), ((F.abs(F.max("prediction") - mean) < 1e-3) & (F.abs(F.min("prediction") - mean) < 1e-3)).alias("predicts_mean"))
+
+
 @query("column_concat_dummies", f"SELECT {WEEKLY}, {', '.join(ONEHOT)} FROM v_full")
 def column_concat_dummies(r: Retail):
     return features.add_category_onehot(r.weekly.select(*WEEKLY.split(", ")), CATEGORIES)

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from demandspark.constants import EPSILON, ITEM_KEYS, LAGS, ROLL_WINDOWS, SERIES_KEYS
 from demandspark.functions.calendar import add_cyclic_features, add_week_calendar, festival_flag
 from demandspark.functions.numeric import to_units
+from demandspark.operators.features import CATEGORY_VECTOR
 from demandspark.session import ensure_checkpoint_dir
 
 HISTORY = max(*LAGS, *ROLL_WINDOWS)
@@ -18,6 +19,11 @@ CARRIED = ["store_name", "product_name", "category", "avg_price", "lead_time_day
            "holding_cost_pct", "base_price"]
 
 
+def category_features(panel: DataFrame) -> list[str]:
+    """The one-hot columns, or the column of sparse vectors."""
+    return [c for c in panel.columns if c.startswith("cat_") or c == CATEGORY_VECTOR]
+
+
 def last_state(panel: DataFrame, onehot: Sequence[str]) -> DataFrame:
     """One row per series: its last units (at most twelve) and the attributes carried forward."""
     recent = W.partitionBy(*SERIES_KEYS).orderBy(F.desc("week_start"))
@@ -81,7 +87,7 @@ def recursive_forecast(panel: DataFrame, predict: Callable[[DataFrame], DataFram
     far, unfolded once at the end. Checkpoints keep the plan from growing with the horizon.
     """
     ensure_checkpoint_dir(panel.sparkSession)
-    onehot = [c for c in panel.columns if c.startswith("cat_")]
+    onehot = category_features(panel)
     state = last_state(panel, onehot)
     carried = [c for c in state.columns if c != "hist"]
     state = state.checkpoint()

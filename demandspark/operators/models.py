@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,7 +17,7 @@ from pyspark.sql import Window as W
 
 from demandspark.constants import BOOSTING_COLUMN_SHARE, BOOSTING_SETTINGS, EPSILON, FOREST_SETTINGS, SERIES_KEYS
 from demandspark.functions.numeric import to_units
-from demandspark.operators.features import feature_columns
+from demandspark.operators.features import CATEGORY_VECTOR, feature_columns
 from demandspark.session import staged
 
 TARGET = "units_sold"
@@ -89,8 +90,12 @@ def _pipeline(columns: Sequence[str], regressor, scaled: bool) -> Pipeline:
     return Pipeline(stages=[*stages, regressor])
 
 
-def linear_regression(columns: Sequence[str]) -> Pipeline:
-    return _pipeline(columns, LinearRegression(labelCol=TARGET, solver="normal"), scaled=True)
+def linear_regression(columns: Sequence[str], **settings) -> Pipeline:
+    """Least squares on standardised inputs; with sparse categories inputs are not centred and it is solved by steps."""
+    if CATEGORY_VECTOR in columns:
+        settings = {"solver": "l-bfgs", "maxIter": 500, "tol": 1e-10, **settings}
+        return _pipeline(columns, LinearRegression(labelCol=TARGET, **settings), scaled=False)
+    return _pipeline(columns, LinearRegression(labelCol=TARGET, **{"solver": "normal", **settings}), scaled=True)
 
 
 def random_forest(columns: Sequence[str], **settings) -> Pipeline:
@@ -183,9 +188,11 @@ def cross_validate(panel: DataFrame, pipeline: Pipeline, folds: int = 5) -> Data
 
 
 def feature_importance(model: PipelineModel, columns: Sequence[str], spark, n: int = 15) -> DataFrame:
-    """The largest importances of a tree model."""
+    """The largest importances of a tree model; sparse categories count as one feature."""
     values = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(v)) for c, v in zip(columns, values)]
+    width = {CATEGORY_VECTOR: len(values) - len(columns) + 1}
+    ends = list(accumulate(width.get(c, 1) for c in columns))
+    rows = [(c, float(values[end - width.get(c, 1):end].sum())) for c, end in zip(columns, ends)]
     return (spark.createDataFrame(rows, "feature string, importance double")
             .orderBy(F.desc("importance"), "feature").limit(n))
 

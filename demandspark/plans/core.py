@@ -30,12 +30,12 @@ class CoreTables:
         return {k: v for k, v in vars(self).items() if v is not None}
 
 
-def build_panel(clean: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    return features.build_features(weekly_rollup(clean), categories or features.category_domain(clean))
+def build_panel(clean: DataFrame, categories: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    return features.build_features(weekly_rollup(clean), features.category_domain(clean) if categories is None else categories)
 
 
 def run_core(spark: SparkSession, raw: DataFrame, stock: DataFrame, root: str,
-             categories: Sequence[str] | None = None, models_of: Callable[[Sequence[str]], Mapping[str, Pipeline]] | None = None,
+             categories: Sequence[str] | DataFrame | None = None, models_of: Callable[[Sequence[str]], Mapping[str, Pipeline]] | None = None,
              split: Callable[[DataFrame], DataFrame] = models.split_by_week, weeks: int = 12) -> CoreTables:
     """Run all stages. Clean rows and panel are written below ``root`` and read back, so the later
     stages neither repeat the work nor depend on cached blocks of one executor. They hold together: a run
