@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,8 @@ from demandspark.session import staged
 
 #: Bytes of a document that one lane of the merge covers.
 LANE_BYTES = 2048
+#: Chunks that go to a tokenizer at once.
+BATCH_CHUNKS = 10_000
 #: What any of the two tokenizers might take for white space.
 SPACES = "\\s\u180e\u200b-\u200f\u2028-\u202f\u2060-\u2064\ufeff\x1c-\x1f\x85"
 #: A space after white space, which may belong to the chunk before; all other spaces begin a chunk in both tokenizers.
@@ -58,8 +60,11 @@ class TokenizerPair:
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of chunks that follow a space each; the second tokenizer adds that space by itself."""
-        a = [x.ids for x in self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.b.encode(chunks, num_threads=1)
+        a, b = [], []
+        for at in range(0, len(chunks), BATCH_CHUNKS):
+            some = chunks[at:at + BATCH_CHUNKS]
+            a += [x.ids for x in self.a.encode_batch_fast([" " + c for c in some], add_special_tokens=False)]
+            b += self.b.encode(some, num_threads=1)
         return a, [ids if chunk else [self.space] for chunk, ids in zip(chunks, b)]
 
 
@@ -92,13 +97,13 @@ class ChunkEncoder:
             docs.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
         fresh = list(islice(self.place, len(self.bad), None))
         if fresh:
-            both, spelled = self.pair.encode(fresh), (self.pair.bytes_a, self.pair.bytes_b)
-            for k in (0, 1):
+            both, wanted, bad = self.pair.encode(fresh), [(" " + c).encode() for c in fresh], np.zeros(len(fresh), bool)
+            for k, spelled in enumerate((self.pair.bytes_a, self.pair.bytes_b)):
                 size = np.fromiter(map(len, both[k]), np.int64, len(fresh))
-                self.flat[k] = np.concatenate([self.flat[k], np.fromiter((i for ids in both[k] for i in ids), np.int32, size.sum())])
+                self.flat[k] = np.concatenate([self.flat[k], np.fromiter(chain.from_iterable(both[k]), np.int32, size.sum())])
                 self.size[k] = np.concatenate([self.size[k], size])
-            bad = [any(b"".join([spelled[k][i] for i in both[k][n]]) != (" " + chunk).encode() for k in (0, 1)) for n, chunk in enumerate(fresh)]
-            self.bad = np.concatenate([self.bad, np.array(bad, bool)])
+                bad |= [b"".join([spelled[i] for i in ids]) != w for ids, w in zip(both[k], wanted)]
+            self.bad = np.concatenate([self.bad, bad])
         start, out = [np.cumsum(s) - s for s in self.size], []
         for text, doc in zip(texts, docs):
             a, b = (gather(self.flat[k], start[k][doc], self.size[k][doc]) for k in (0, 1))
@@ -194,7 +199,7 @@ class Aligner:
 
 
 def align_blocks(docs: DataFrame, tokenizer_json: str, piece_model: bytes, doc_id: str = "doc_id", text: str = "text",
-                 with_groups: bool = False, block_chars: int = 4_000_000, lane_bytes: int = LANE_BYTES) -> DataFrame:
+                 with_groups: bool = False, block_chars: int = 2_000_000, lane_bytes: int = LANE_BYTES) -> DataFrame:
     """One stored row per block of documents: their numbers and links, and the id pairs linked in the block with their counts."""
     spark, shape = docs.sparkSession, to_arrow_schema(StructType.fromDDL(ALIGNED))
     files = sent(spark, (tokenizer_json, piece_model))
