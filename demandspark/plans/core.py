@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from demandspark.functions.calendar import add_time_features
 from demandspark.operators import features, inventory, models, quality, reports
 from demandspark.operators.cleaning import clean_daily
-from demandspark.operators.forecast import recursive_forecast
+from demandspark.operators.rollout import forecast_with
 from demandspark.operators.rollup import weekly_rollup
 from demandspark.sources import stages
 
@@ -69,7 +69,7 @@ def resume_core(spark: SparkSession, stock: DataFrame, root: str,
         model, metrics = trained.best_model, trained.metrics
     else:
         model = models.load_model(stage.store.path("model"))
-    forecast = recursive_forecast(panel, model.transform, weeks)
+    forecast = forecast_with(panel, model, weeks)
     report = inventory.inventory_report(panel, stock, forecast)
     tables = CoreTables(clean, panel, forecast, metrics, report, inventory.reorder_alerts(report),
                         reports.category_forecast_summary(forecast))
