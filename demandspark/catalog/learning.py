@@ -10,14 +10,36 @@ from demandspark.catalog.features import FEATURES
 from demandspark.catalog.sql import SERIES
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions.numeric import to_units
-from demandspark.operators import models
+from demandspark.operators import folds, models
 from demandspark.operators.features import feature_columns
-from demandspark.operators.forecast import recursive_forecast
+from demandspark.operators.rollout import forecast_with, linear_arrays, roll_forecast
 from demandspark.session import staged
 
 KEYS = ["store_id", "product_id", "week_start"]
 
 
+#: The inputs of the models whose least squares the twins solve themselves.
+TWO_INPUTS = ["lag_1w", "roll_mean_4w"]
+
+
+def two_input_sql(rows: str, group: str = "") -> str:
+    """Least squares of the units on the two inputs by variances and covariances, one row a group."""
+    keys, by = (f"{group}, ", f"GROUP BY {group}") if group else ("", "")
+    return f"""
+        SELECT {keys}n, b1, b2, my - b1 * m1 - b2 * m2 AS b0
+        FROM (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2
+              FROM (SELECT {keys}count(*) AS n, var_pop(lag_1w) AS s11, var_pop(roll_mean_4w) AS s22, covar_pop(lag_1w, roll_mean_4w) AS s12,
+                      covar_pop(lag_1w, units_sold) AS s1y, covar_pop(roll_mean_4w, units_sold) AS s2y,
+                      avg(lag_1w) AS m1, avg(roll_mean_4w) AS m2, avg(units_sold) AS my FROM ({rows}) {by}))"""
+
+
+PREDICTED = f"CAST(greatest(0, {sql_he('b0 + b1 * lag_1w + b2 * roll_mean_4w', 0)}) AS BIGINT)"
+
+
+def two_input_model(r: Retail) -> models.TrainedModels:
+    return models.train_models(r.panel, {"TwoInputs": models.linear_regression(TWO_INPUTS)})
+
+
 def one_model(r: Retail, build) -> models.TrainedModels:
     columns = feature_columns(r.panel)
     return models.train_models(r.panel, {build.__name__: build(columns)})
@@ -95,53 +117,92 @@ def gradient_boosting_colsample(r: Retail):
     return test_facts(one_model(r, models.gradient_boosting_colsample))
 
 
-@query("select_best_model", """
-    SELECT unnest(['GradientBoosting', 'GradientBoostingColsample', 'LinearRegression', 'RandomForest']) AS model, count(*) AS n_test,
-      TRUE AS best_is_lowest, TRUE AS one_is_best FROM v_split WHERE NOT is_train""")
+@query("select_best_model", f"""
+    SELECT unnest(['GradientBoosting', 'GradientBoostingColsample', 'LinearRegression', 'RandomForest']) AS model, n_test, lag_rmse,
+      TRUE AS beats_lag, TRUE AS best_is_lowest, TRUE AS one_is_best FROM ({TEST_FACTS})""")
 def select_best_model(r: Retail):
-    """All four models; one is the best, and none has a lower error."""
+    """All four models, each against last week's error; one is the best, and none has a lower error."""
     r.staged()
     trained = models.train_models(r.panel)
     lowest = trained.metrics.agg(F.min("RMSE")).scalar()
     best = F.col("model") == trained.best_name
-    return trained.metrics.select("model", trained.scored.agg(F.count("*")).scalar().alias("n_test"),
-                                  (~best | (F.col("RMSE") == lowest)).alias("best_is_lowest"),
-                                  (trained.metrics.agg(F.count_if(best)).scalar() == 1).alias("one_is_best"))
+    facts = test_facts(trained).select("n_test", "lag_rmse")
+    lag = trained.scored.agg(F.sqrt(F.avg((F.col("units_sold") - F.col("lag_1w")) * (F.col("units_sold") - F.col("lag_1w")))))
+    return trained.metrics.crossJoin(F.broadcast(facts)).select(  # one row
+        "model", "n_test", "lag_rmse", (F.col("RMSE") < lag.scalar()).alias("beats_lag"),
+        (~best | (F.col("RMSE") == lowest)).alias("best_is_lowest"),
+        (trained.metrics.agg(F.count_if(best)).scalar() == 1).alias("one_is_best"))
+
 
+SCORED = f"""
+    SELECT {', '.join(KEYS)}, units_sold, {PREDICTED} AS predicted
+    FROM v_split, ({two_input_sql("SELECT * FROM v_split WHERE is_train")}) WHERE NOT is_train"""
 
-@query("scored_test_set", f"SELECT {', '.join(KEYS)}, units_sold, TRUE AS is_scored FROM v_split WHERE NOT is_train")
+
+@query("scored_test_set", SCORED)
 def scored_test_set(r: Retail):
     r.staged()
-    return one_model(r, models.linear_regression).scored.select(*KEYS, "units_sold", (F.col("predicted") >= 0).alias("is_scored"))
+    return two_input_model(r).scored.select(*KEYS, "units_sold", "predicted")
 
 
-@query("first_200_scored", f"""
-    SELECT {', '.join(KEYS)}, units_sold, TRUE AS is_scored FROM v_split WHERE NOT is_train ORDER BY {', '.join(KEYS)} LIMIT 200""")
+@query("first_200_scored", f"{SCORED} ORDER BY {', '.join(KEYS)} LIMIT 200")
 def first_200_scored(r: Retail):
     r.staged()
-    scored = one_model(r, models.linear_regression).scored
-    return scored.select(*KEYS, "units_sold", (F.col("predicted") >= 0).alias("is_scored")).orderBy(*KEYS).limit(200)
+    return two_input_model(r).scored.select(*KEYS, "units_sold", "predicted").orderBy(*KEYS).limit(200)
+
+
+@query("model_metrics", f"""
+    SELECT 'TwoInputs' AS model, {sql_he('avg(abs(e))', 4)} AS MAE, {sql_he('sqrt(avg(e * e))', 4)} AS RMSE,
+      {sql_he('1 - avg(e * e) / var_pop(units_sold)', 4)} AS R2, {sql_he('avg(abs(e / (units_sold + 1e-6))) * 100', 2)} AS MAPE
+    FROM (SELECT *, units_sold - predicted AS e FROM ({SCORED}))""")
+def model_metrics(r: Retail):
+    """The metrics table of a trained model."""
+    r.staged()
+    return two_input_model(r).metrics.select("model", he("MAE", 4), he("RMSE", 4), he("R2", 4), he("MAPE", 2))
 
 
 @query("feature_importance_top15", """
-    SELECT CAST(unnest(range(1, 16)) AS INT) AS place, TRUE AS is_input, TRUE AS falls""")
+    SELECT CAST(unnest(range(1, 16)) AS INT) AS place, CASE WHEN place = 1 THEN 'lag_2w' END AS first_feature, place = 1 AS leads, TRUE AS is_input,
+      TRUE AS falls""")
 def feature_importance_top15(r: Retail):
-    """Fifteen different inputs, none more important than the one before."""
+    """Where the target is one of the inputs, that input comes first and leads; the other places fall."""
     r.staged()
-    trained = one_model(r, models.random_forest)
-    top = models.feature_importance(trained.best_model, trained.feature_cols, r.spark)
+    copied = r.panel.withColumn("units_sold", F.col("lag_2w").cast("bigint"))
+    columns = feature_columns(r.panel)
+    fitted = models.random_forest(columns, numTrees=40).fit(copied)
+    top = models.feature_importance(fitted, columns, r.spark)
     # Fifteen rows.
     by_place = W.orderBy(F.desc("importance"), "feature")
-    return top.select(F.row_number().over(by_place).alias("place"), F.col("feature").isin(INPUTS).alias("is_input"),
-                      (F.col("importance") <= F.coalesce(F.lag("importance").over(by_place), F.lit(1.0))).alias("falls"))
-
-
-@query("expanding_cv_metrics", "SELECT TRUE AS errors_are_ordered, TRUE AS explains_something FROM (SELECT count(*) AS n FROM v_panel) WHERE n > 0")
+    before = F.lag("importance").over(by_place)
+    place = F.row_number().over(by_place)
+    return top.select(place.alias("place"), F.when(place == 1, F.col("feature")).alias("first_feature"),
+                      ((place == 1) & (F.col("importance") > F.lead("importance").over(by_place))).alias("leads"),
+                      F.col("feature").isin(INPUTS).alias("is_input"), (F.col("importance") <= F.coalesce(before, F.lit(1.0))).alias("falls"))
+
+
+FOLDS = """
+    SELECT * FROM v_panel JOIN (
+      SELECT week_start, CASE WHEN rank < total - 5 * (total // 6) THEN 0 ELSE (rank - (total - 5 * (total // 6))) // (total // 6) + 1 END AS fold
+      FROM (SELECT week_start, row_number() OVER (ORDER BY week_start) - 1 AS rank, count(*) OVER () AS total FROM (SELECT DISTINCT week_start FROM v_panel)))
+    USING (week_start)"""
+FOLD_FITS = two_input_sql(f"SELECT v AS fold, f.* EXCLUDE (fold) FROM ({FOLDS}) f JOIN range(1, 6) t(v) ON f.fold < v", "fold")
+
+
+@query("expanding_cv_coefficients", f"""
+    SELECT CAST(fold AS INT) AS fold, n AS n_train, {sql_he('b1')} AS lag_1w, {sql_he('b2')} AS roll_mean_4w, {sql_he('b0', 4)} AS intercept FROM ({FOLD_FITS})""")
+def expanding_cv_coefficients(r: Retail):
+    """Each fold's least squares from the prefix of the normal equations."""
+    table, _ = folds.linear_folds(r.panel, TWO_INPUTS)
+    b = F.col("coefficients")
+    return table.select("fold", "n_train", he(b[0]).alias("lag_1w"), he(b[1]).alias("roll_mean_4w"), he("intercept", 4))
+
+
+@query("expanding_cv_metrics", f"""
+    SELECT {sql_he('avg(abs(e))', 4)} AS MAE, {sql_he('sqrt(avg(e * e))', 4)} AS RMSE, {sql_he('1 - avg(e * e) / var_pop(units_sold)', 4)} AS R2,
+      {sql_he('avg(abs(e / (units_sold + 1e-6))) * 100', 2)} AS MAPE
+    FROM (SELECT units_sold, units_sold - {PREDICTED} AS e FROM ({FOLDS}) JOIN ({FOLD_FITS}) USING (fold))""")
 def expanding_cv_metrics(r: Retail):
-    """The mean error is below the root of the mean square, and the model beats the mean."""
-    r.staged()
-    metrics = models.cross_validate(r.panel, models.linear_regression(feature_columns(r.panel)))
-    return metrics.select((F.col("MAE") <= F.col("RMSE")).alias("errors_are_ordered"), (F.col("R2") > 0).alias("explains_something"))
+    return folds.cross_validate_linear(r.panel, TWO_INPUTS).select(he("MAE", 4), he("RMSE", 4), he("R2", 4), he("MAPE", 2))
 
 
 @query("recursive_forecast", f"""
@@ -161,20 +222,25 @@ def expanding_cv_metrics(r: Retail):
       {sql_he('roll_mean_4w')} AS roll_mean_4w, CAST(units AS BIGINT) AS predicted_units
     FROM steps WHERE h > 0""")
 def closed_form_forecast(r: Retail):
-    r.staged()
-    def predict(rows):
-        return rows.withColumn("prediction", 0.6 * F.col("lag_1w") + 0.4 * F.col("roll_mean_4w"))
-
-    out = recursive_forecast(r.panel, predict)
+    """A weighted sum of two features, rolled over all weeks in one pass."""
+    out = roll_forecast(r.panel, linear_arrays({"lag_1w": 0.6, "roll_mean_4w": 0.4}))
     return out.select("store_id", "product_id", "horizon_week", "week_start", "lag_1w", he("roll_mean_4w"),
                       "predicted_units")
 
 
-@query("recursive_forecast_model", """
-    SELECT store_id, product_id, CAST(h AS INT) AS horizon_week, CAST(last_week + CAST(7 * h AS INT) AS DATE) AS week_start, TRUE AS is_scored
-    FROM (SELECT store_id, product_id, max(week_start) AS last_week, unnest(range(1, 13)) AS h FROM v_panel GROUP BY store_id, product_id)""")
+@query("recursive_forecast_model", f"""
+    WITH RECURSIVE fit AS ({two_input_sql("SELECT * FROM v_split WHERE is_train")}),
+    start AS (
+      SELECT store_id, product_id, max(week_start) AS last_week, list(CAST(units_sold AS DOUBLE) ORDER BY week_start) AS hist
+      FROM (SELECT *, row_number() OVER ({SERIES} ORDER BY week_start DESC) AS back FROM v_panel) WHERE back <= 12 GROUP BY store_id, product_id),
+    steps AS (
+      SELECT store_id, product_id, last_week, 0 AS h, hist, CAST(0 AS DOUBLE) AS units, b0, b1, b2 FROM start, fit
+      UNION ALL
+      SELECT store_id, product_id, last_week, h + 1, list_append(hist, u), u, b0, b1, b2
+      FROM (SELECT *, greatest(0, round_even(b0 + b1 * hist[-1] + b2 * list_avg(hist[-4:]), 0)) AS u FROM steps WHERE h < 12))
+    SELECT store_id, product_id, h AS horizon_week, CAST(last_week + 7 * h AS DATE) AS week_start, CAST(units AS BIGINT) AS predicted_units
+    FROM steps WHERE h > 0""")
 def model_forecast(r: Retail):
+    """The fitted model's own forecast, each week fed back."""
     r.staged()
-    trained = one_model(r, models.linear_regression)
-    return recursive_forecast(r.panel, trained.best_model.transform).select(
-        "store_id", "product_id", "horizon_week", "week_start", (F.col("predicted_units") >= 0).alias("is_scored"))
+    return forecast_with(r.panel, two_input_model(r).best_model).select("store_id", "product_id", "horizon_week", "week_start", "predicted_units")

@@ -231,3 +231,30 @@ def test_clusters_of_known_groups(spark):
 def test_standardise_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert [(r.a_z, r.b_z) for r in cluster.standardise(df, ["a", "b"]).orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_prefix_folds_equal_separate_fits(panel):
+    """Coefficients by plain least squares on each fold's training rows, predictions and metrics as the pipelines give."""
+    from demandspark.operators import folds
+
+    columns = ["lag_1w", "roll_mean_4w", "avg_price", "month_sin", "is_promo_week"]
+    table, scored = folds.linear_folds(panel, columns)
+    rows = models.expanding_folds(panel).select("fold", "units_sold", *columns).toPandas()
+    for r in table.collect():
+        train = rows[rows.fold < r.fold]
+        x = np.column_stack([train[columns].to_numpy(float), np.ones(len(train))])
+        want = np.linalg.lstsq(x, train.units_sold.to_numpy(float), rcond=None)[0]
+        assert r.n_train == len(train)
+        assert np.allclose([*r.coefficients, r.intercept], want, rtol=1e-8, atol=1e-8)
+    one, two = (df.first() for df in (models.cross_validate(panel, models.linear_regression(columns)), models.regression_metrics(scored)))
+    assert tuple(one) == pytest.approx(tuple(two), rel=1e-6)
+
+
+def test_prefix_folds_with_dependent_inputs(spark, panel):
+    from demandspark.operators import folds
+
+    wide = panel.withColumns({"twice": F.col("lag_1w") * 2, "same": F.lit(3)})
+    two, four = (folds.linear_folds(wide, c)[1].select("store_id", "product_id", "week_start", "predicted") for c in
+                 (["lag_1w", "avg_price"], ["lag_1w", "twice", "avg_price", "same"]))
+    assert two.exceptAll(four).count() == 0
+    assert folds.linear_folds(wide.limit(0), ["lag_1w"])[0].count() == 0
