@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from demandspark.catalog.base import STORE_NAMES, Retail, he, query
 from demandspark.catalog.dashboard import BOX_SQL
@@ -10,6 +13,7 @@ from demandspark.catalog.sql import ITEM, SERIES
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import describe
 from demandspark.operators import decompose
+from demandspark.session import staged
 
 ITEMS = ITEM.split(", ")
 PARTS = ["observed", "trend", "seasonal", "residual"]
@@ -104,22 +108,40 @@ def linear_trend_baseline(r: Retail):
 LONG = f"SELECT *, count(*) OVER ({SERIES}) AS series_rows FROM v_filled"
 
 
+#: Made series: the mean of each, a line and a yearly wave by the week since its first.
+SLOPE, WAVE = 0.5, 20.0
+WEEK_NO = f"CAST(date_diff('day', min(week_start) OVER ({SERIES}), week_start) // 7 AS INT)"
+MADE_SQL = f"""
+    SELECT {ITEM}, week_start, w, level + {SLOPE}e0 * w AS line, {WAVE}e0 * sin(CAST({2 * math.pi!r} AS DOUBLE) * w / 52) AS wave
+    FROM (SELECT *, {WEEK_NO} AS w, avg(units_sold) OVER ({SERIES}) AS level, count(*) OVER ({SERIES}) AS series_rows FROM v_filled) WHERE series_rows >= 104"""
+
+
+def made_series(filled):
+    """The weeks of every series with values whose trend and season are known."""
+    series = W.partitionBy("store_id", "product_id")
+    w = F.datediff("week_start", F.min("week_start").over(series)) / 7
+    line = F.avg("units_sold").over(series) + SLOPE * w
+    wave = WAVE * F.sin(2 * math.pi * w / 52)
+    return filled.withColumns({"line": line, "wave": wave}).withColumn("units_sold", F.col("line") + F.col("wave"))
+
+
 @query("stl_decompose", f"""
-    SELECT {ITEM}, week_start, {sql_he('units_sold')} AS observed, {sql_he('units_sold')} AS rebuilt
-    FROM ({LONG}) WHERE series_rows >= 104""")
+    SELECT {ITEM}, week_start, {sql_he('line + wave', 4)} AS observed, TRUE AS trend_is_the_line, TRUE AS season_is_the_wave, TRUE AS adds_up FROM ({MADE_SQL})""")
 def stl_decompose(r: Retail):
-    """The observed weeks, and what trend, season and rest add up to."""
-    parts = decompose.stl_decompose(long_filled(r))
-    return parts.select(*ITEMS, "week_start", he("observed"), he(F.col("trend") + F.col("seasonal") + F.col("residual")).alias("rebuilt"))
+    """A line and a wave over the weeks of every series are found again within a hundredth of the wave."""
+    made = staged(made_series(long_filled(r)))
+    parts = decompose.stl_decompose(made).join(made.select("store_id", "product_id", "week_start", "line", "wave"), ["store_id", "product_id", "week_start"])
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < WAVE / 100
+    whole = F.abs(F.col("trend") + F.col("seasonal") + F.col("residual") - F.col("observed")) < 1e-9
+    return parts.select(*ITEMS, "week_start", he("observed", 4), near("trend", "line").alias("trend_is_the_line"),
+                        near("seasonal", "wave").alias("season_is_the_wave"), whole.alias("adds_up"))
 
 
 @query("stl_all_series", f"""
-    SELECT DISTINCT {ITEM}, TRUE AS is_fitted, TRUE AS strengths_are_shares, TRUE AS direction_follows_slope
-    FROM ({LONG}) WHERE series_rows >= 104""")
+    SELECT DISTINCT {ITEM}, TRUE AS is_fitted, TRUE AS slope_is_known, TRUE AS strengths_are_high, 'Growing' AS growth_direction FROM ({MADE_SQL})""")
 def stl_all_series(r: Retail):
-    """Every long series once, fitted, with strengths from zero to one and the direction of its slope."""
-    found = decompose.stl_all_series(r.panel)
-    direction = F.when(F.col("trend_slope") > 0, "Growing").when(F.col("trend_slope") < 0, "Declining").otherwise(F.col("growth_direction"))
-    return found.select(*ITEMS, F.col("error").isNull().alias("is_fitted"),
-                        (F.col("trend_strength").between(0, 1) & F.col("seasonal_strength").between(0, 1)).alias("strengths_are_shares"),
-                        (F.col("growth_direction") == direction).alias("direction_follows_slope"))
+    """Every long series once, of the made values: their slope, strong parts and direction."""
+    made = made_series(decompose.gap_fill(r.panel))
+    found = decompose.stl_all_series(made)
+    return found.select(*ITEMS, F.col("error").isNull().alias("is_fitted"), (F.abs(F.col("trend_slope") - SLOPE) < 0.01).alias("slope_is_known"),
+                        ((F.col("trend_strength") > 0.99) & (F.col("seasonal_strength") > 0.99)).alias("strengths_are_high"), "growth_direction")

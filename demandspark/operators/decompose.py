@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -70,38 +70,60 @@ def classical_decompose(filled: DataFrame, value: str = "units_sold", keys: Sequ
                     "trend", "seasonal", "residual"))
 
 
+def _decompose_batch(period: int, keys: Sequence[str], most_cells: int = 200_000):
+    """Series of one length are decomposed together, at most ``most_cells`` values at once."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from demandspark.functions.stl import stl_batch
+
+        for rows in batches:
+            values = [np.asarray(v, dtype=float) for v in rows["observed"]]
+            parts = {c: [None] * len(rows) for c in ("trend", "seasonal", "residual", "error")}
+            for group in _alike(values, most_cells):
+                try:
+                    found = stl_batch(np.stack([values[i] for i in group]), period)
+                except (ValueError, ArithmeticError) as error:
+                    for i in group:
+                        parts["error"][i] = str(error)
+                    continue
+                for name, matrix in zip(("trend", "seasonal", "residual"), found):
+                    for i, line in zip(group, matrix):
+                        parts[name][i] = line
+            out = rows[[*keys, "weeks", "observed"]]
+            yield out.assign(**{c: pd.Series(v, index=rows.index, dtype=object) for c, v in parts.items()})
+    return run
+
+
+def _alike(values: list[np.ndarray], most_cells: int) -> Iterator[list[int]]:
+    """Positions of equally long series without gaps, in groups of bounded size; others are alone."""
+    places: dict[tuple, list[int]] = {}
+    for i, v in enumerate(values):
+        places.setdefault((len(v), -1 if np.isfinite(v).all() else i), []).append(i)
+    for (n, _), own in places.items():
+        step = max(1, most_cells // max(n, 1))
+        for lo in range(0, len(own), step):
+            yield own[lo:lo + step]
+
+
 def stl_decompose(filled: DataFrame, value: str = "units_sold", keys: Sequence[str] = ITEM_KEYS,
                   time: str = "week_start", period: int = PERIOD) -> DataFrame:
-    """Robust STL of every series, one grouped task per series of calendar length.
+    """Robust STL of every series; equally long series of an Arrow batch are decomposed together.
 
-    A series that cannot be decomposed yields one row with the error text.
+    A series is one row while it is decomposed, with an array of calendar length. One that cannot be
+    decomposed yields one row with the error text.
     """
-    from demandspark.functions.stl import stl
-
     keys = list(keys)
-
-    def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time, ignore_index=True)
-        try:
-            trend, seasonal, residual = stl(pdf[value].to_numpy(dtype=float), period)
-        except (ValueError, ArithmeticError) as error:
-            missing = pd.array([pd.NA], dtype="Float64")
-            return pdf[keys].head(1).assign(
-                **{time: None}, idx=pd.array([pd.NA], dtype="Int32"), observed=missing, trend=missing,
-                seasonal=missing, residual=missing, error=str(error))
-        out = pdf[[*keys, time]].copy()
-        return out.assign(idx=np.arange(len(pdf), dtype=np.int32), observed=pdf[value], trend=trend, seasonal=seasonal,
-                          residual=residual, error=None)
-
-    schema = T.StructType([*[filled.schema[k] for k in keys],
-                           T.StructField(time, filled.schema[time].dataType),
-                           T.StructField("idx", T.IntegerType()),
-                           *[T.StructField(c, T.DoubleType())
-                             for c in ["observed", "trend", "seasonal", "residual"]],
-                           T.StructField("error", T.StringType())])
     # A fit costs far more than its few rows weigh, so the tasks are spread by count, not by size.
-    spread = spread_by(filled.select(*keys, time, value), *keys)
-    return spread.groupBy(*keys).applyInPandas(decompose, schema)
+    spread = spread_by(filled.select(*keys, time, F.col(value).cast("double").alias("value")), *keys)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.coalesce("value", F.lit(float("nan"))).alias("v"))))
+    series = spread.groupBy(*keys).agg(ordered.alias("s")).select(*keys, F.col("s.t").alias("weeks"), F.col("s.v").alias("observed"))
+    arrays = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("observed", "trend", "seasonal", "residual")]
+    schema = T.StructType([*[filled.schema[k] for k in keys], T.StructField("weeks", T.ArrayType(filled.schema[time].dataType)),
+                           *arrays, T.StructField("error", T.StringType())])
+    parts = series.mapInPandas(_decompose_batch(period, keys), schema)
+    names = ["observed", "trend", "seasonal", "residual"]
+    # A failed series has no components, whose zip is null and unfolds to one row of nulls.
+    fitted = parts.select(*keys, "error", F.posexplode_outer(F.arrays_zip("weeks", *names)).alias("idx", "x"))
+    return fitted.select(*keys, F.col("x.weeks").alias(time), "idx", *[F.col(f"x.{c}").alias(c) for c in names], "error")
 
 
 def decomposition_summary(components: DataFrame, keys: Sequence[str] = ITEM_KEYS,

@@ -7,7 +7,7 @@ import pytest
 from conftest import week
 from pyspark.sql import functions as F
 
-from demandspark.functions.stl import loess, stl
+from demandspark.functions.stl import loess, stl, stl_batch
 from demandspark.operators import anomaly, cluster, decompose, features, models
 from demandspark.operators.forecast import append_forecast, naive_forecast, recursive_forecast
 from demandspark.operators.regression import grouped_ols
@@ -136,6 +136,34 @@ def test_stl_recovers_trend_and_season():
         stl(y[:100], 52)
 
 
+def test_stl_in_batches_equals_one_by_one():
+    rng = np.random.default_rng(2)
+    for n, period in ((208, 52), (157, 52), (104, 52), (31, 7), (14, 7)):
+        i = np.arange(n)
+        y = 50 + rng.normal(0, 0.3, (6, 1)) * i + 9 * np.sin(2 * np.pi * i / period) + rng.normal(0, 2, (6, n))
+        y[1, n // 2] += 300
+        y[2] = 7.0
+        y[3] = np.where(i % 5 == 0, 40.0, 0.0)
+        for got, want in zip(zip(*stl_batch(y, period)), (stl(row, period) for row in y)):
+            for a, b in zip(got, want):
+                assert np.abs(a - b).max() < 1e-9
+    with pytest.raises(ValueError):
+        stl_batch(np.zeros((2, 100)), 52)
+
+
+def test_series_of_many_lengths_and_a_gap(make_weekly):
+    rows = [("S001", f"P{k:03d}", i, 100 + i % (7 + k)) for k in range(6) for i in range(104 + k // 2)]
+    filled = decompose.gap_fill(make_weekly(rows))
+    broken = filled.withColumn("units_sold", F.when((F.col("product_id") == "P003") & (F.col("week_start") == F.lit(week(9))), F.lit(None)).otherwise(F.col("units_sold")))
+    parts = decompose.stl_decompose(broken).toPandas()
+    assert set(parts[parts.error.notna()].product_id) == {"P003"} and "missing" in parts.error.dropna().iloc[0]
+    values = filled.toPandas()
+    for product, own in parts[parts.error.isna()].groupby("product_id"):
+        own = own.sort_values("idx")
+        want = stl(values[values.product_id == product].sort_values("week_start").units_sold.to_numpy(), 52)
+        assert (own.idx == np.arange(len(own))).all() and np.abs(own.trend.to_numpy() - want[0]).max() < 1e-9
+
+
 def test_stl_all_series_and_errors(make_weekly):
     rows = [("S001", "P001", i, int(100 + i / 2 + 20 * np.sin(2 * np.pi * i / 52))) for i in range(156)]
     panel = make_weekly(rows + [("S001", "P002", i, 5) for i in range(90)])
