@@ -74,7 +74,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_mixing", r"""
     WITH sized AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-               md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS ord
+               md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))) AS ord
         FROM documents),
     totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
     ranked AS (
@@ -89,7 +89,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates AS (SELECT *, CASE WHEN target > 0 THEN round(target / source_size, 12) ELSE 0.0 END AS rate FROM targets),
     placed AS (
         SELECT s.*, r.source_size, r.target, r.rate,
-               sum(s.size) OVER (PARTITION BY s.source ORDER BY s.ord, s.size) - s.size / 2 AS middle
+               sum(s.size) OVER (PARTITION BY s.source ORDER BY s.ord ROWS UNBOUNDED PRECEDING) - s.size / 2 AS middle
         FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
     copied AS (
         SELECT *, CASE WHEN size > 0 THEN least(floor(rate) + CAST(middle <= (rate - floor(rate)) * source_size AS INTEGER), 3)
