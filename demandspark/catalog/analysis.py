@@ -130,23 +130,27 @@ def promo_roi(r: Retail):
         {"avg_uplift_pct": he("avg_uplift_pct", 4), "total_incremental_rev": he("total_incremental_rev", 2)})
 
 
-TAIL = """(1 / (1 + 0.3275911e0 * z / sqrt(2e0)))"""
+# The integral of cos(u) ** (d - 1) from 0 to the angle of t gives Student's distribution; by Simpson's rule over 2000 steps.
+STUDENT = """
+    1 - 2 * exp(lgamma((d + 1) / 2) - lgamma(d / 2)) / sqrt(pi()) * (angle / 2000 / 3)
+      * list_sum(list_transform(range(0, 2001), lambda i: (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+                                                          * pow(cos(i * angle / 2000), d - 1)))"""
 
 
 @query("ab_effect", f"""
     SELECT product_id, product_name, category, {sql_he('tm', 2)} AS treatment_avg, {sql_he('cm', 2)} AS control_avg,
       {sql_he('tm - cm', 2)} AS ATE, {sql_he('(tm - cm) / (cm + 1e-6) * 100', 2)} AS ATE_pct,
       {sql_he('p', 4)} AS p_value, p < 0.05 AS significant
-    FROM (SELECT *, {TAIL} * (0.254829592e0 + {TAIL} * (-0.284496736e0 + {TAIL} * (1.421413741e0
-                 + {TAIL} * (-1.453152027e0 + {TAIL} * 1.061405429e0)))) * exp(-z * z / 2) AS p
-          FROM (SELECT *, abs((tm - cm) / sqrt(tv / tn + cv / cn)) AS z
+    FROM (SELECT *, {STUDENT} AS p
+          FROM (SELECT *, atan(abs(tm - cm) / sqrt(tv / tn + cv / cn) / sqrt(d)) AS angle
+                FROM (SELECT *, pow(tv / tn + cv / cn, 2) / (pow(tv / tn, 2) / (tn - 1) + pow(cv / cn, 2) / (cn - 1)) AS d
                 FROM (SELECT product_id, product_name, category,
                         count(*) FILTER (WHERE t) AS tn, avg(units_sold) FILTER (WHERE t) AS tm,
                         var_samp(units_sold) FILTER (WHERE t) AS tv,
                         count(*) FILTER (WHERE c) AS cn, avg(units_sold) FILTER (WHERE c) AS cm,
                         var_samp(units_sold) FILTER (WHERE c) AS cv
                       FROM (SELECT *, store_id <= 'S003' AND is_promo_week = 1 AS t, store_id > 'S003' AS c
-                            FROM v_panel) GROUP BY ALL) WHERE tn >= 5 AND cn >= 5))""")
+                            FROM v_panel) GROUP BY ALL) WHERE tn >= 5 AND cn >= 5)))""")
 def ab_effect(r: Retail):
     r.staged()
     return promo.ab_effect(r.panel, promo.ab_assignment(r.panel, order_key="store_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from demandspark.constants import (
     AB_TREATED_SHARE, EPSILON, ITEM_KEYS, PROMO_COST_PER_EVENT, SERIES_KEYS,
 )
-from demandspark.functions.numeric import normal_two_sided_p, round_half_even
+from demandspark.functions.numeric import round_half_even, student_two_sided_p
 
 
 def promo_uplift(panel: DataFrame, weeks: int = 4, min_weeks: int = 2) -> DataFrame:
@@ -74,7 +74,7 @@ def ab_assignment(panel: DataFrame, share: float = AB_TREATED_SHARE, order_key:
 def ab_effect(panel: DataFrame, groups: DataFrame, min_rows: int = 5, ordered: bool = True) -> DataFrame:
     """Mean of the treated promotion weeks less the mean of all control weeks, per product.
 
-    Significance is the two-sided Welch statistic on the normal tail. Rows are reduced to sums per
+    Significance is Welch's statistic on the two-sided tail of Student's t with Welch's degrees of freedom. Rows are reduced to sums per
     product and store before they meet the store's arm, so a hot store is never shuffled whole.
     """
     x = F.col("units_sold")
@@ -99,9 +99,11 @@ def ab_effect(panel: DataFrame, groups: DataFrame, min_rows: int = 5, ordered: b
 
     stats = totals.withColumns({**moments("t"), **moments("c")})
     ate = F.col("t_mean") - F.col("c_mean")
-    error = F.sqrt(F.col("t_var") / F.col("t_n") + F.col("c_var") / F.col("c_n"))
+    t_part, c_part = F.col("t_var") / F.col("t_n"), F.col("c_var") / F.col("c_n")
+    error = F.sqrt(t_part + c_part)
+    degrees = (t_part + c_part) ** 2 / (t_part ** 2 / (F.col("t_n") - 1) + c_part ** 2 / (F.col("c_n") - 1))
     # Without spread any difference is certain and no difference is none.
-    p = F.when(error > 0, normal_two_sided_p(F.try_divide(ate, error))).otherwise(
+    p = F.when(error > 0, student_two_sided_p(ate / error, degrees)).otherwise(
         F.when(ate == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     out = stats.withColumn("p", p).select(
         "product_id", "product_name", "category",
