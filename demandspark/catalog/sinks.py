@@ -10,9 +10,11 @@ from demandspark.catalog.base import Retail, he, number_of, query
 from demandspark.catalog.inventory import RUN_DATE
 from demandspark.catalog.learning import KEYS, one_model
 from demandspark.functions import labels
+from demandspark.functions.calendar import add_time_features
 from demandspark.operators import inventory, models
 from demandspark.session import shared_path
-from demandspark.sources import erp, stages
+from demandspark.sources import erp, quarantine, stages
+from demandspark.sources.schemas import DAILY_SALES
 
 
 @query("scan_stage_outputs", "SELECT store_id, product_id, week_start, units_sold, promo_days FROM v_weekly")
@@ -104,3 +106,25 @@ def stage_versions(r: Retail):
     broken.write("weekly", first.limit(0))  # written, but never committed
     return (facts(first, "weekly", 1).unionByName(facts(store.read("weekly"), "weekly", 2))
             .unionByName(facts(store.read("items"), "items", 2)))
+
+
+@query("quarantine_broken_rows", """
+    SELECT reason, count(*) AS n_rows, CAST(sum(CASE WHEN reason = 'sound' THEN units_sold END) AS BIGINT) AS units_sold
+    FROM (SELECT CASE WHEN l_orderkey % 31 = 0 THEN 'fields: 3' WHEN l_orderkey % 23 = 0 AND l_orderkey % 29 = 0 THEN 'type: date, units_sold'
+                   WHEN l_orderkey % 23 = 0 THEN 'type: units_sold' WHEN l_orderkey % 29 = 0 THEN 'type: date'
+                   WHEN l_orderkey % 37 = 0 THEN 'missing: store_id' ELSE 'sound' END AS reason, units_sold FROM v_lines) GROUP BY reason""")
+def quarantine_broken_rows(r: Retail):
+    """Sales lines as text, some cut short, with a word for a number, an impossible date or no store: by reason, beside the sound rows."""
+    key = F.col("l_orderkey")
+    rows = add_time_features(r.lines).withColumns({
+        "date": F.when(key % 29 == 0, "2024-13-45").otherwise(F.col("date").cast("string")),
+        "units_sold": F.when(key % 23 == 0, "many").otherwise(F.col("units_sold").cast("string")),
+        "store_id": F.when(key % 37 != 0, F.col("store_id"))})
+    fields = F.array(*[F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in DAILY_SALES])
+    line = F.array_join(F.when(key % 31 == 0, F.slice(fields, 1, 3)).otherwise(fields), ",")
+    path, root = shared_path(r.spark, "lines"), shared_path(r.spark, "ingested")
+    rows.select(line.alias("value")).write.text(path)
+    sound = quarantine.ingest(r.spark, path, root, header=False, most_broken=0.5)
+    broken = stages.read_stage(r.spark, f"{root}/quarantine")
+    return (broken.groupBy("reason").agg(F.count("*").alias("n_rows"), F.lit(None).cast("bigint").alias("units_sold"))
+            .unionByName(sound.agg(F.lit("sound").alias("reason"), F.count("*").alias("n_rows"), F.sum("units_sold").alias("units_sold"))))
