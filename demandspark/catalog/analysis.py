@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandspark.catalog.base import Retail, he, query
+from demandspark.catalog.base import Retail, he, number_of, query
 from demandspark.catalog.sql import ITEM, SENSITIVITY, values
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import describe, labels
@@ -357,7 +357,6 @@ def standardise_columns(r: Retail):
 
 def labelled(r: Retail):
     """Products with the stand-in cluster: the product number modulo four."""
-    from demandspark.catalog.base import number_of
     return cluster.product_features(r.panel).withColumn("segment", (number_of("product_id") % 4).cast("int"))
 
 
@@ -407,16 +406,24 @@ def silhouette(r: Retail):
 
 
 @query("store_clusters", """
-    SELECT store_id, store_name, region, TRUE AS is_labelled, TRUE AS is_numbered, TRUE AS score_agrees FROM v_stores""")
+    SELECT store_id, store_name, region, (store_id <= 'S002') AS with_first, 'Cluster-' AS label_text, TRUE AS score_agrees, TRUE AS score_is_high
+    FROM v_stores""")
 def store_clusters(r: Retail):
-    """Every store once, labelled by its cluster's number, with the silhouette that the labels give."""
+    """Stores whose features lie in two known groups come out in these, with the silhouette that the labels give."""
     r.staged()
-    found = staged(cluster.cluster_stores(cluster.store_features(r.panel)))
     columns = cluster.STORE_CLUSTER_FEATURES
+    features = cluster.store_features(r.panel)
+    # Up to a tenth of the distance between the groups is the stores' own.
+    spread = features.agg(*[F.max(c).alias(c) for c in columns])
+    far = F.when(F.col("store_id") <= "S002", F.lit(0)).otherwise(F.lit(10))
+    apart = features.withColumns({c: F.col(c) / spread.select(c).scalar() + far for c in columns})
+    found = staged(cluster.cluster_stores(apart))
     again = cluster.silhouette(cluster.standardise(found, columns), [f"{c}_z" for c in columns], "demand_cluster").scalar()
+    first = found.where("store_id = 'S001'").select("demand_cluster").scalar()
     return found.select(
-        "store_id", "store_name", "region", (F.col("cluster_label") == labels.cluster_label(F.col("demand_cluster"))).alias("is_labelled"),
-        F.col("demand_cluster").between(0, 4).alias("is_numbered"), (F.abs(F.col("silhouette_score") - again) < 1e-9).alias("score_agrees"))
+        "store_id", "store_name", "region", (F.col("demand_cluster") == first).alias("with_first"),
+        F.regexp_replace("cluster_label", "[0-9]+$", "").alias("label_text"), (F.abs(F.col("silhouette_score") - again) < 1e-9).alias("score_agrees"),
+        (F.col("silhouette_score") > 0.9).alias("score_is_high"))
 
 
 @query("pca_2d", """
@@ -432,28 +439,42 @@ def pca_2d(r: Retail):
         (F.abs(one * F.first("pc2_variance") - two * F.first("pc1_variance")) < 1e-9).alias("spread_agrees"))
 
 
-@query("product_segments", f"""
-    SELECT product_id, product_name, category, {sql_he('avg_demand', 4)} AS avg_demand, TRUE AS is_named, TRUE AS names_rise
-    FROM v_products""")
+#: Products in four known groups: the product number modulo four moves every feature.
+GROUP_NO = "CAST(substr(product_id, 2) AS BIGINT) % 4"
+GROUPED_PRODUCTS = f"""
+    SELECT product_id, product_name, category, avg_demand / (max(avg_demand) OVER ()) + 10 * ({GROUP_NO}) AS avg_demand, avg_revenue,
+      ['Slow Movers', 'Stable Core', 'High Velocity', 'Star Products'][1 + {GROUP_NO}] AS segment_name FROM v_products"""
+
+
+def grouped_products(r: Retail):
+    """The products' own features, scaled to one, on top of ten times their group."""
+    features = cluster.product_features(r.panel)
+    most = features.agg(*[F.max(c).alias(c) for c in cluster.PRODUCT_SEGMENT_FEATURES])
+    group = 10 * (number_of("product_id") % 4)
+    return features.withColumns({c: F.col(c) / F.coalesce(F.nullif(most.select(c).scalar(), F.lit(0)), F.lit(1)) + group
+                                 for c in cluster.PRODUCT_SEGMENT_FEATURES})
+
+
+@query("product_segments", f"SELECT product_id, product_name, category, {sql_he('avg_demand', 4)} AS avg_demand, segment_name FROM ({GROUPED_PRODUCTS})")
 def product_segments(r: Retail):
-    """Every product once, in one of the named segments, whose names follow their mean demand."""
+    """Products in known groups come out in these, named by rising demand."""
     r.staged()
-    found = staged(cluster.segment_products(cluster.product_features(r.panel)))
-    place = F.array_position(F.array(*map(F.lit, cluster.SEGMENT_NAMES)), F.col("segment_name"))
-    means = found.groupBy(place.alias("place")).agg(F.avg("avg_demand").alias("mean"))
-    # A row per segment.
-    rises = means.agg(F.array_sort(F.collect_list(F.struct("place", "mean"))).alias("m")).select(
-        (F.array_sort("m.mean") == F.col("m.mean"))).scalar()
-    return found.select("product_id", "product_name", "category", he("avg_demand", 4), (place > 0).alias("is_named"), rises.alias("names_rise"))
+    found = cluster.segment_products(grouped_products(r))
+    return found.select("product_id", "product_name", "category", he("avg_demand", 4), "segment_name")
+
+
+PLANTED = "(week_num * 7 + year * 5 + CAST(substr(product_id, 2) AS BIGINT) * 3 + CAST(substr(store_id, 2) AS BIGINT)) % 397 = 0"
+EXTREME = ("units_sold", "lag_1w", "roll_mean_4w", "roll_std_4w")
 
 
 @query("isolation_forest", f"""
-    SELECT {', '.join(KEYS)}, units_sold, TRUE AS flag_follows_score, CAST(floor(0.05e0 * (count(*) OVER () - 1)) AS BIGINT) + 1 AS n_lowest
-    FROM v_panel""")
+    SELECT {', '.join(KEYS)}, CASE WHEN {PLANTED} THEN units_sold * 40 + 5000 ELSE units_sold END AS units_sold, {PLANTED} AS planted,
+      TRUE AS planted_is_flagged, CAST(floor(0.05e0 * (count(*) OVER () - 1)) AS BIGINT) + 1 AS n_lowest FROM v_panel""")
 def isolation_forest(r: Retail):
-    """Every week once, flagged below zero, where as many scores lie as the contamination asks for."""
+    """Planted weeks with extreme units and history, about one of four hundred, are all among the share that is flagged."""
     r.staged()
-    scored = staged(anomaly.isolation_forest(r.panel))
+    planted = (F.col("week_num") * 7 + F.col("year") * 5 + number_of("product_id") * 3 + number_of("store_id")) % 397 == 0
+    panel = r.panel.withColumns({"planted": planted, **{c: F.when(planted, F.col(c) * 40 + 5000).otherwise(F.col(c)) for c in EXTREME}})
+    scored = staged(anomaly.isolation_forest(panel))
     low = scored.agg(F.count_if(F.col("if_score") < 0)).scalar()
-    return scored.select(*KEYS, "units_sold", (F.col("anomaly_if") == (F.col("if_score") < 0)).alias("flag_follows_score"),
-                         low.alias("n_lowest"))
+    return scored.select(*KEYS, "units_sold", "planted", (~F.col("planted") | F.col("anomaly_if")).alias("planted_is_flagged"), low.alias("n_lowest"))

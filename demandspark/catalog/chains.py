@@ -7,13 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.catalog.analysis import GROUPED_PRODUCTS, grouped_products
 from demandspark.catalog.base import Retail, he, number_of, query
 from demandspark.catalog.dashboard import YEARS
 from demandspark.catalog.inventory import RUN_DATE
-from demandspark.catalog.learning import one_model
+from demandspark.catalog.learning import FORECAST_CTES, two_input_model
 from demandspark.catalog.sql import ITEM
 from demandspark.catalog.sql import he as sql_he
-from demandspark.operators import anomaly, cluster, forecast, inventory, models
+from demandspark.operators import anomaly, cluster, inventory
+from demandspark.operators.rollout import forecast_with
 from demandspark.plans import reporting
 from demandspark.plans.dashboard import dashboard
 from demandspark.session import shared_path
@@ -108,28 +110,22 @@ def forest_anomaly_chain(r: Retail):
 
 
 @query("segment_chain", f"""
-    SELECT count(*) AS products, {sql_he('avg(avg_demand)', 1)} AS avg_demand, TRUE AS all_segments_named FROM v_products""")
+    SELECT segment_name, count(*) AS products, {sql_he('avg(avg_demand)', 1)} AS avg_demand FROM ({GROUPED_PRODUCTS}) GROUP BY segment_name""")
 def segment_chain(r: Retail):
-    """From the fitted segments over their names to the summary, added up again."""
+    """From the fitted segments of products in known groups over the stored table to the summary."""
     r.staged()
-    found = cluster.segment_products(cluster.product_features(r.panel))
     path = shared_path(r.spark, "segments")
-    stages.write_stage(found, path)
-    products = stages.read_stage(r.spark, path)
-    total = cluster.segment_summary(products).agg(F.sum("products").alias("products"), F.count_if(F.col("segment_name").isNull()).alias("unnamed"))
-    return total.select("products", products.agg(he(F.avg("avg_demand"), 1)).scalar().alias("avg_demand"), (F.col("unnamed") == 0).alias("all_segments_named"))
+    stages.write_stage(cluster.segment_products(grouped_products(r)), path)
+    return cluster.segment_summary(stages.read_stage(r.spark, path)).select("segment_name", "products", "avg_demand")
 
 
-@query("model_inventory_chain", f"SELECT {ITEM}, safety_stock, reorder_point, EOQ, current_stock, inventory_status, TRUE AS demand_agrees FROM v_report")
+@query("model_inventory_chain", f"""{FORECAST_CTES}
+    SELECT {ITEM}, safety_stock, reorder_point, EOQ, current_stock, inventory_status, CAST(ahead AS BIGINT) AS forecast_12w_demand
+    FROM v_report JOIN (SELECT store_id, product_id, sum(units) AS ahead FROM steps WHERE h > 0 GROUP BY store_id, product_id) USING (store_id, product_id)""")
 def model_inventory_chain(r: Retail):
-    """From the fitted model over its forecast to the inventory report, whose demand is the forecast's sum."""
+    """From the fitted model over its stored forecast to the inventory report."""
     r.staged()
-    trained = one_model(r, models.linear_regression)
     path = shared_path(r.spark, "forecast")
-    stages.write_stage(forecast.recursive_forecast(r.panel, trained.best_model.transform), path)
-    ahead = stages.read_stage(r.spark, path)
-    report = inventory.inventory_report(r.panel, r.stock, ahead)
-    sums = ahead.groupBy("store_id", "product_id").agg(F.sum("predicted_units").alias("ahead"))
-    return report.join(sums, ["store_id", "product_id"]).select(
-        *ITEM.split(", "), "safety_stock", "reorder_point", "EOQ", "current_stock", "inventory_status",
-        (F.col("forecast_12w_demand") == F.col("ahead")).alias("demand_agrees"))
+    stages.write_stage(forecast_with(r.panel, two_input_model(r).best_model), path)
+    report = inventory.inventory_report(r.panel, r.stock, stages.read_stage(r.spark, path))
+    return report.select(*ITEM.split(", "), "safety_stock", "reorder_point", "EOQ", "current_stock", "inventory_status", "forecast_12w_demand")

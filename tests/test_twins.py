@@ -11,9 +11,6 @@ from demandspark.catalog import QUERIES, SQL_TWINS
 
 SF_DIR = os.environ.get("TWIN_SF_DIR", "/root/testdata/sf0.001")
 
-#: Their pipelines are also fitted by select_best_model; they run when TWIN_ALL is set.
-FITTED_ELSEWHERE = {"gradient_boosting", "gradient_boosting_colsample"} if not os.environ.get("TWIN_ALL") else set()
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
 
 
@@ -22,7 +19,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in SQL_TWINS if n not in FITTED_ELSEWHERE])
+@pytest.mark.parametrize("name", list(SQL_TWINS))
 def test_twin(spark, con, name):
     # Results have six or more decimals; a tie may round apart by one in the last place.
     _, problems = compare(QUERIES[name](spark, SF_DIR), SQL_TWINS[name], con, tolerance=1.1e-6)
