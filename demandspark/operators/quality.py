@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import round_half_even
 from demandspark.functions.quantiles import exact_quantiles
+from demandspark.session import staged
 
 
 def profile(df: DataFrame, date: str = "date",
@@ -42,7 +43,11 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str] = ("units_sold", "unit_price", "revenue"),
              digits: int = 2) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column.
+
+    The columns are stored once, so the passes of the quartiles read neither ``df`` nor its inputs again.
+    """
+    df = staged(df.select(*columns))
     cells = [F.struct(F.lit(c).alias("column"), F.struct(
         F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
         F.max(c).cast("double").alias("max")).alias("s")) for c in columns]

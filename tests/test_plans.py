@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandspark.catalog.base import CATEGORIES, Retail
-from demandspark.operators import features, inventory, models, promo
+from demandspark.functions import describe
+from demandspark.operators import features, inventory, models, promo, quality
 from demandspark.plans.core import data_quality, resume_core, run_core
 from demandspark.plans.dashboard import dashboard
 from demandspark.plans import extensions
@@ -38,6 +39,14 @@ def test_feature_panel_has_one_exchange_for_the_rollup_and_one_for_all_windows(s
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
+def test_reports_do_not_read_the_sales_again(spark):
+    """Quartile reports and correlations read stored columns, or the sales once."""
+    r = Retail(spark, SF_DIR)
+    for df, scans in ((quality.describe(r.dirty), 0), (describe.box_stats(r.sales, "units_sold", "is_promotion"), 0),
+                      (describe.correlations(r.sales, ["units_sold", "unit_price", "revenue"]), 1)):
+        assert plan(df).count("/lineitem.parquet") == scans
+
+
 def test_dimensions_are_broadcast_by_size(spark):
     text = plan(Retail(spark, SF_DIR).sales)
     assert text.count("BroadcastHashJoin") == 4 and shuffles(text) == 0

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from demandspark.functions import describe
 from demandspark.functions.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -62,3 +65,21 @@ def test_signs_zeros_and_infinities(spark):
     df = spark.createDataFrame([(v,) for v in x], "x double")
     q = exact_quantiles(df, ["x"], [i / 9 for i in range(10)]).first()["q"]
     assert q == sorted(x)
+
+
+def test_correlations_of_pairwise_complete_rows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 3)) @ rng.normal(size=(3, 3)) + [1e6, 0, -50]
+    known = rng.random((400, 3)) < 0.8
+    rows = [tuple(float(v) if k else None for v, k in zip(a, b)) + (7.0, None) for a, b in zip(x, known)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, flat double, none double").repartition(5)
+    got = {(r.row_name, r.col_name): r["corr"] for r in describe.correlations(df, df.columns).collect()}
+    assert len(got) == 10
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        both = known[:, i] & known[:, j]
+        assert got["abc"[j], "abc"[i]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert got["flat", "a"] is None and got["none", "b"] is None
+    odd = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, float("nan"), 3.0), (None, float("nan"), 2.0), (4.0, 1.0, None), (5.0, 3.0, 9.0)], "a double, b double, c double")
+    nan = {(r.row_name, r.col_name): r["corr"] for r in describe.correlations(odd, ["a", "b", "c"]).collect()}
+    assert math.isnan(nan["b", "a"]) and nan["c", "a"] == pytest.approx(np.corrcoef([1, 2, 5], [1, 3, 9])[0, 1])
+    assert [r["corr"] for r in describe.correlations(odd.limit(0), ["a", "b"]).collect()] == [None]
