@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from demandspark.catalog.sql import he as sql_he
 from demandspark.operators import anomaly, cluster, inventory
 from demandspark.operators.rollout import forecast_with
 from demandspark.plans import reporting
+from demandspark.plans.cube import SalesCube
 from demandspark.plans.dashboard import dashboard
 from demandspark.session import shared_path
 from demandspark.sources import stages
@@ -61,10 +63,11 @@ def executive_chain(r: Retail):
       (SELECT count(DISTINCT category) FROM v_summary) AS n_boxes, (SELECT least(50, count(*)) FROM v_anomalies) AS n_anomalies
     FROM v_sales WHERE store_name = 'ASIA'""")
 def dashboard_chain(r: Retail):
-    """The numbers of one store, and the sizes of the analyses' tables beside them."""
+    """The numbers of one store from the stored cube, and the sizes of the analyses' tables beside them."""
     from demandspark.catalog.decomposition import summary
 
-    tables = dashboard(r.daily, r.naive, r.report, r.alerts, store="ASIA", uplift=r.uplift, flagged=r.flagged, stl_summary=summary(r))
+    cube = SalesCube(r.spark, shared_path(r.spark, "cube")).build(r.sales)
+    tables = dashboard(cube, r.naive, r.report, r.alerts, store="ASIA", uplift=r.uplift, flagged=r.flagged, stl_summary=summary(r))
     root = shared_path(r.spark, "dashboard")
     paths = stages.write_stages(tables, root)
     read = {name: stages.read_stage(r.spark, path) for name, path in paths.items()}
@@ -74,6 +77,35 @@ def dashboard_chain(r: Retail):
         read["uplift_histogram"].agg(F.sum("n")).scalar().alias("n_uplift"), count("strengths").alias("n_boxes"), count("anomalies").alias("n_anomalies"))
 
 
+PART = "store_name = 'ASIA' AND date BETWEEN DATE '1996-03-14' AND DATE '1998-05-09'"
+
+
+@query("sales_cube", f"""
+    SELECT 'month' AS report, strftime(date, '%Y-%m') AS key, {sql_he('sum(revenue)', 2)} AS value FROM v_sales WHERE {PART} GROUP BY 2
+    UNION ALL SELECT 'category', category, {sql_he('sum(revenue)', 2)} FROM v_sales WHERE {PART} GROUP BY 2
+    UNION ALL SELECT 'stockouts', category, CAST(sum(stockout_flag) AS DOUBLE) FROM v_sales WHERE {PART} AND stockout_flag = 1 GROUP BY 2
+    UNION ALL SELECT 'monday', CAST(month(date) AS VARCHAR), {sql_he('avg(units_sold) FILTER (WHERE isodow(date) = 1)', 4)} FROM v_sales WHERE {PART} GROUP BY 2
+    UNION ALL SELECT 'days', store_name, CAST(count(DISTINCT date) AS DOUBLE) FROM v_sales WHERE {PART} GROUP BY 2
+    UNION ALL SELECT 'units', store_name, CAST(sum(units_sold) AS DOUBLE) FROM v_sales WHERE {PART} GROUP BY 2""")
+def sales_cube(r: Retail):
+    """Reports of a range that cuts its first and last month, from a cube built of two halves of the sales."""
+    cube = SalesCube(r.spark, shared_path(r.spark, "cube"))
+    halves = r.lines.withColumn("half", F.col("l_orderkey") % 2)
+    for half in (0, 1):
+        cube.add(halves.where(F.col("half") == half).drop("half", "l_orderkey", "l_linenumber"))
+    part = cube.slice("ASIA", None, dt.date(1996, 3, 14), dt.date(1998, 5, 9))
+    kpis = part.kpis()
+
+    def rows(df, report, key, value, digits=None):
+        return df.select(F.lit(report).alias("report"), key.cast("string").alias("key"), (he(value, digits) if digits else value).cast("double").alias("value"))
+
+    return (rows(part.monthly_revenue(), "month", F.col("period_label"), F.col("revenue"), 2)
+            .unionByName(rows(part.category_revenue(), "category", F.col("category"), F.col("revenue"), 2))
+            .unionByName(rows(part.stockouts(), "stockouts", F.col("category"), F.col("stockout_days")))
+            .unionByName(rows(part.season(), "monday", F.col("month"), F.col("Mon"), 4))
+            .unionByName(rows(kpis, "days", F.lit("ASIA"), F.col("days"))).unionByName(rows(kpis, "units", F.lit("ASIA"), F.col("total_units"))))
+
+
 @query("erp_exchange_chain", """
     SELECT a.store_id, a.product_id AS material_id, CAST(a.recommended_order_qty - coalesce(o.open_qty, 0) AS BIGINT) AS quantity
     FROM v_alerts a LEFT JOIN (
