@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 FORMATS = ("parquet", "csv", "text", "model")
 _MANIFESTS = "_manifests"
@@ -71,6 +72,13 @@ class StageStore:
             raise FileNotFoundError(f"no stage table {name} below {self.root}")
         return _read_files(self.spark, f"{self.root}/{entry['folder']}", week, entry["format"])
 
+    def read_parts(self, name: str, schema: StructType, parts: Sequence[str] | None = None, entries: Mapping[str, dict] | None = None) -> DataFrame:
+        """The stored parts of a table, or those asked for, as one; parts that do not exist hold no rows."""
+        entries = self.newest()[1] if entries is None else entries
+        known = {n.split("/", 1)[1]: e for n, e in entries.items() if n.startswith(f"{name}/")}
+        folders = [f"{self.root}/{known[p]['folder']}" for p in (sorted(known) if parts is None else parts) if p in known]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
     def begin(self) -> StageWrite:
         return StageWrite(self)
 
@@ -107,16 +115,16 @@ class StageStore:
         Folders younger than ``idle_hours`` may belong to a run that has not switched yet and stay.
         """
         files, numbers = self._files(), self._numbers()
-        kept = [self._read(n) for n in numbers[-max(keep, 1):]]
-        named = {entry["folder"] for tables in kept for entry in tables.values()}
-        ever = {name for n in numbers for name in self._read(n)}
+        version = lambda folder: "/".join(folder.split("/")[:2])
+        named = {version(entry["folder"]) for n in numbers[-max(keep, 1):] for entry in self._read(n).values()}
+        tables = {entry["folder"].split("/")[0] for n in numbers for entry in self._read(n).values()}
         limit, gone = (time.time() - idle_hours * 3600) * 1000, []
-        for name in sorted(ever):
-            folder = self._path(f"{self.root}/{name}")
-            for version in files.listStatus(folder) if files.exists(folder) else []:
-                short = f"{name}/{version.getPath().getName()}"
-                if short not in named and version.getPath().getName().startswith("v-") and version.getModificationTime() <= limit:
-                    files.delete(version.getPath(), True)
+        for table in sorted(tables):
+            folder = self._path(f"{self.root}/{table}")
+            for found in files.listStatus(folder) if files.exists(folder) else []:
+                short = f"{table}/{found.getPath().getName()}"
+                if short not in named and found.getPath().getName().startswith("v-") and found.getModificationTime() <= limit:
+                    files.delete(found.getPath(), True)
                     gone.append(short)
         for n in numbers[:-max(keep, 1)]:
             files.delete(self._path(f"{self.root}/{_MANIFESTS}/{n:010d}.json"), False)
@@ -149,6 +157,19 @@ class StageWrite:
         writer.save(path)
         return _read_files(self.store.spark, path, "week_start", fmt)
 
+    def write_parts(self, name: str, df: DataFrame, column: str, parts: Sequence[str]) -> None:
+        """Write new versions of some parts of a table in one job; the others hold on.
+
+        ``column`` names the part of each row and is not stored with it; all its values are in ``parts``.
+        """
+        folder = f"{name}/v-{uuid4().hex}"
+        df.repartition(column).write.partitionBy(column).parquet(f"{self.store.root}/{folder}")
+        self.changed |= {f"{name}/{p}": {"folder": f"{folder}/{column}={p}", "format": "parquet"} for p in parts}
+
+    def note(self, name: str, **facts) -> None:
+        """Facts that hold with the tables, such as how far a stream has come."""
+        self.changed[name] = {"folder": "", "format": "note", **facts}
+
     def commit(self) -> dict[str, str]:
         """Let all written versions hold; their folders."""
         if self.changed:
