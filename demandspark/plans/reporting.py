@@ -45,13 +45,11 @@ def executive(panel: DataFrame, report: DataFrame, forecast: DataFrame, alerts:
 
 
 def write_report(tables: dict[str, DataFrame], root: str, metrics: DataFrame | None = None) -> dict[str, str]:
-    """Write the tables of a chain, and the model comparison as text; all hold in one step."""
-    stage = stages.StageStore(next(iter(tables.values())).sparkSession, root).begin()
-    for name, table in tables.items():
-        stage.write(name, table)
+    """Write the tables of a chain, which hold in one step, and the model comparison as text."""
+    paths = stages.write_stages(tables, root)
     if metrics is not None:
-        stage.write("model_comparison", stages.metrics_report(metrics), "text")
-    return {name: path for name, path in stage.commit().items() if name in tables}
+        stages.write_text_report(stages.metrics_report(metrics), f"{root}/model_comparison")
+    return paths
 
 
 def erp_exchange(spark: SparkSession, stock_path: str, orders_path: str, panel: DataFrame, forecast: DataFrame, run_date: dt.date,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-FORMATS = ("parquet", "csv", "text", "model")
+FORMATS = ("parquet", "csv", "model")
 _MANIFESTS = "_manifests"
 
 
@@ -185,8 +185,6 @@ class StageWrite:
 
 
 def _read_files(spark: SparkSession, path: str, week: str | None, fmt: str) -> DataFrame:
-    if fmt == "text":
-        return spark.read.text(path)
     df = spark.read.csv(path, header=True, inferSchema=True) if fmt == "csv" else spark.read.parquet(path)
     return df.withColumn(week, F.to_date(week)) if week and week in df.columns else df
 
@@ -234,8 +232,9 @@ def current_folder(spark: SparkSession, path: str) -> str:
 
 
 def write_text_report(lines: DataFrame, path: str, column: str = "line") -> str:
-    """One text line per row; the folder of the new version."""
-    return write_stage(lines.select(F.col(column).cast("string").alias("value")), path, "text")
+    """One text line per row, for readers outside; the files lie at ``path`` itself and have no versions."""
+    lines.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
+    return path
 
 
 def metrics_report(metrics: DataFrame) -> DataFrame:
