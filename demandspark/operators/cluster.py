@@ -131,7 +131,7 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _sums(table: DataFrame, candidates: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """For each set of centres the clusters' sizes, sums, sums of squares, and the cost, in one pass.
 
-    Every partition returns one row per set of centres.
+    A partition returns one row per set of centres; these are added up in Spark, so the driver gets sums only.
     """
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = [np.zeros((len(c), c.shape[1] + 2)) for c in candidates]
@@ -144,13 +144,14 @@ def _sums(table: DataFrame, candidates: list[np.ndarray]) -> list[tuple[np.ndarr
                 costs[i] += far.sum()
         yield pd.DataFrame({"i": range(len(candidates)), "sums": [s.ravel() for s in sums], "cost": costs})
 
-    rows = table.select("x").mapInPandas(part, "i int, sums array<double>, cost double").collect()
-    out = []
-    for i, centres in enumerate(candidates):
-        own = [r for r in rows if r["i"] == i]
-        total = sum((np.array(r["sums"]).reshape(len(centres), -1) for r in own), np.zeros((len(centres), centres.shape[1] + 2)))
-        out.append((total[:, 0], total[:, 2:], total[:, 1], sum(r["cost"] for r in own)))
-    return out
+    parts = table.select("x").mapInPandas(part, "i int, sums array<double>, cost double")
+    cells = parts.select("i", F.posexplode(F.array_append("sums", F.col("cost"))).alias("at", "value"))
+    rows = cells.groupBy("i", "at").agg(F.sum("value").alias("value")).collect()
+    out = [np.zeros(len(c) * (c.shape[1] + 2) + 1) for c in candidates]
+    for r in rows:
+        out[r["i"]][r["at"]] = r["value"]
+    tables = [(o[:-1].reshape(len(c), -1), o[-1]) for o, c in zip(out, candidates)]
+    return [(t[:, 0], t[:, 2:], t[:, 1], cost) for t, cost in tables]
 
 
 def fit_centres(table: DataFrame, ks: Sequence[int], tries: int) -> dict[int, np.ndarray]:
@@ -199,9 +200,9 @@ def _silhouettes(table: DataFrame, fits: dict[int, np.ndarray]) -> dict[int, flo
                 total[i] += np.where((n[at] > 1) & (top > 0) & np.isfinite(b), (b - a) / np.where(top > 0, top, 1), 0.0).sum()
         yield pd.DataFrame({"total": [total], "n": [rows_seen]})
 
-    rows = table.select("x").mapInPandas(part, "total array<double>, n long").collect()
-    n = sum(r["n"] for r in rows)
-    return {k: sum(r["total"][i] for r in rows) / n if (known[i][0] > 0).sum() > 1 else None for i, k in enumerate(fits)}
+    parts = table.select("x").mapInPandas(part, "total array<double>, n long")
+    row = parts.agg(*[F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(len(known))], F.sum("n").alias("n")).first()
+    return {k: row[f"t{i}"] / row["n"] if (known[i][0] > 0).sum() > 1 else None for i, k in enumerate(fits)}
 
 
 def _assign(table: DataFrame, centres: np.ndarray, name: str) -> DataFrame:
