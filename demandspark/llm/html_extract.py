@@ -5,8 +5,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.llm.blocks import map_blocks
 from demandspark.llm.common import sent
 
 SPACES = re.compile("[\x20\x09-\x0d]+")
@@ -21,8 +22,9 @@ SPACES = re.compile("[\x20\x09-\x0d]+")
 MORE = r"""(?:[^>=/]++|/(?!>)|=\s*+(?:"[^"]*"|'[^']*'|(?=>)|[^\s>"'][^\s>]*+))*+"""
 TAG = rf"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>{MORE})(?P<empty>/?)>"
 COMMENT = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-TOKEN = re.compile(rf"{COMMENT}|<(?P<raw>script|style|noscript|template)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)|{TAG}|<[!?/][^>]*>",
+TOKEN = re.compile(rf"{COMMENT}|<(?P<raw>script|style|noscript|template)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|{TAG}|<[!?/][^>]*>",
                    re.S | re.I)
+COMMENTS = re.compile(COMMENT, re.S)
 IN_SVG = re.compile(f"{COMMENT}|{TAG}", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure
@@ -44,6 +46,8 @@ WIDTH = PATH + NEAR + WORDS + NUMBERS
 HIDDEN = 16
 #: Pages of the fit, blocks a page of the fit may have, copies with changed containers, passes.
 FIT_PAGES, FIT_BLOCKS, FIT_COPIES, EPOCHS = 300, 150, 3, 12
+#: Open elements around all blocks of a page of the fit, added up.
+FIT_DEPTH = 20_000
 #: A label for the fit: what stands in these is boilerplate, what else stands in those is main text.
 UNWANTED = frozenset("""head nav header footer aside form button select textarea menu dialog ad ads advert advertisement banner sponsor
     sponsored promo sidebar cookie consent notice popup modal comment comments reply replies related share social newsletter subscribe
@@ -58,12 +62,77 @@ OTHER_BOXES = (("nav",), ("header",), ("footer",), ("aside",), ("form",), ("div"
                ("section", "class:comments"), ("div", "id:comments"), ("div", "class:comment"), ("div", "class:newsletter"), ("div", "class:promo"))
 
 
-@dataclass
+class Node:
+    """An open element: its labels, those around it, and what the network reads of the way to it, carried from its parent."""
+    __slots__ = ("labels", "parent", "depth", "sums", "unwanted", "wanted")
+
+    def __init__(self, labels: tuple[str, ...], parent: Node | None):
+        self.labels, self.parent = labels, parent
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.sums = np.zeros(PATH, np.float32) if parent is None else parent.sums.copy()
+        for part in labels:
+            h = crc32(part.encode())
+            self.sums[h % PATH] += 1.0 if h & 0x10000 else -1.0
+        names = [part.split(":", 1)[-1] for part in labels]
+        self.unwanted = parent is not None and parent.unwanted or "hidden" in names or bool(UNWANTED.intersection(names))
+        self.wanted = parent is not None and parent.wanted or bool(WANTED.intersection(names))
+
+
 class Block:
-    """A stretch of text between block tags: its words joined, open elements from outermost, characters in links."""
-    text: str
-    path: tuple[tuple[str, ...], ...]
-    linked: int
+    """A stretch of text between block tags: its words joined, the innermost open element, characters in links."""
+
+    def __init__(self, text: str, path: Node | tuple[tuple[str, ...], ...], linked: int):
+        self.text, self.linked = text, linked
+        if not isinstance(path, Node):
+            node = Node((), None)
+            for labels in path:
+                node = Node(labels, node)
+            path = node
+        self.node = path
+
+    @property
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        """Labels of the open elements from outermost."""
+        out, node = [], self.node
+        while node.parent is not None:
+            out.append(node.labels)
+            node = node.parent
+        return tuple(reversed(out))
+
+
+class Tags:
+    """Finds markup in a page in time that grows with its length only.
+
+    A tag can fail to match only where no ">" follows, or where a value's quote is never closed, which is the
+    last quote of its kind on the page. Starts that must run into that quote are not tried again.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.next = page, page.rfind(">"), -1
+        self.last_quote = {q: page.rfind(q) for q in "\"'"}
+        self.open = sorted(at for at in self.last_quote.values() if at > 0 and page[max(0, at - 200):at].rstrip().endswith("="))
+
+    def _hopeless(self, at: int) -> bool:
+        if self.next < at:
+            self.next = self.page.find(">", at)
+        for stuck in self.open:
+            if at < stuck:
+                other = self.last_quote["'" if self.page[stuck] == '"' else '"']
+                return self.next > stuck and other < stuck and self.page[at + 1:at + 2] not in ("!", "?")
+        return False
+
+    def search(self, pattern: re.Pattern, at: int) -> re.Match | None:
+        """The first match at or behind ``at``; the pattern's matches begin with "<"."""
+        failed = False
+        while (at := self.page.find("<", at)) >= 0:
+            if at > self.last:
+                return COMMENTS.search(self.page, at)
+            if not (failed and self._hopeless(at)):
+                if found := pattern.match(self.page, at):
+                    return found
+                failed = True
+            at += 1
+        return None
 
 
 def _labels(tag: str, more: str) -> tuple[str, ...]:
@@ -79,11 +148,11 @@ def _labels(tag: str, more: str) -> tuple[str, ...]:
     return tuple(found)
 
 
-def _svg_end(page: str, at: int) -> int:
+def _svg_end(tags: Tags, at: int) -> int:
     """Where the content of an svg that starts at ``at`` ends: behind its end tag, or before a tag that cannot be in it."""
     boxes = ["svg"]
-    for m in IN_SVG.finditer(page, at):
-        tag = (m["tag"] or "").lower()
+    while m := tags.search(IN_SVG, at):
+        at, tag = m.end(), (m.groupdict().get("tag") or "").lower()
         if tag in SVG_BOXES:
             if not m["end"]:
                 if not m["empty"]:
@@ -95,7 +164,7 @@ def _svg_end(page: str, at: int) -> int:
                     return m.end()
         elif boxes[-1] == "svg" and (tag in NOT_SVG or m["end"] and tag in BLOCKS):
             return m.start()
-    return len(page)
+    return len(tags.page)
 
 
 def page_blocks(page: str) -> list[Block]:
@@ -106,7 +175,9 @@ def page_blocks(page: str) -> list[Block]:
     open paragraph, an item the item before it. Blocks without text are left out.
     """
     out: list[Block] = []
-    stack: list[tuple[str, ...]] = []
+    root, tags = Node((), None), Tags(page)
+    stack: list[Node] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = links = at = 0
 
@@ -114,7 +185,7 @@ def page_blocks(page: str) -> list[Block]:
         nonlocal linked
         joined = SPACES.sub(" ", "".join(text)).strip(" ")
         if joined:
-            out.append(Block(joined, tuple(stack), min(linked, len(joined))))
+            out.append(Block(joined, stack[-1] if stack else root, min(linked, len(joined))))
         text.clear()
         linked = 0
 
@@ -126,10 +197,14 @@ def page_blocks(page: str) -> list[Block]:
             if links:
                 linked += len(piece)
 
-    while m := TOKEN.search(page, at):
+    def close(i: int) -> None:
+        opened.subtract(node.labels[0] for node in stack[i:])
+        del stack[i:]
+
+    while m := tags.search(TOKEN, at):
         take(page[at:m.start()])
         at = m.end()
-        if m["tag"] is None:
+        if m.re is not TOKEN or m["tag"] is None:
             continue
         tag = m["tag"].lower()
         if tag not in BLOCKS:
@@ -138,28 +213,28 @@ def page_blocks(page: str) -> list[Block]:
             elif tag == "br":
                 text.append(" ")
             elif tag == "svg" and not m["end"] and not m["empty"]:
-                at = _svg_end(page, at)
+                at = _svg_end(tags, at)
             continue
         flush()
         if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if opened[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].labels[0] == tag))
             continue
         links = 0
         closes, within = ENDS.get(tag, (frozenset(), frozenset()))
         if tag not in IN_P:
             closes, within = closes | {"p"}, within | {"div", "article", "section", "body", "td", "li", "blockquote", "form", "main", "aside"}
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in closes:
-                del stack[i:]
-                if closes <= {"p"}:
+        if any(opened[kind] > 0 for kind in closes):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].labels[0] in closes:
+                    close(i)
+                    if closes <= {"p"}:
+                        break
+                elif stack[i].labels[0] in within:
                     break
-            elif stack[i][0] in within:
-                break
         if tag not in VOID:
-            stack.append(_labels(tag, m["more"]))
+            stack.append(Node(_labels(tag, m["more"]), stack[-1] if stack else root))
+            opened[tag] += 1
     take(page[at:])
     flush()
     return out
@@ -171,25 +246,29 @@ def weak_label(path: tuple[tuple[str, ...], ...]) -> int:
     return 0 if UNWANTED.intersection(names) or "hidden" in names else 1 if WANTED.intersection(names) else -1
 
 
+def block_label(block: Block) -> int:
+    """``weak_label`` of a block's path, as its element carries it."""
+    return 0 if block.node.unwanted else 1 if block.node.wanted else -1
+
+
 def vectors(blocks: list[Block]) -> np.ndarray:
     """One row per block: hashed tag path, hashed nearest elements, hashed words, and plain numbers."""
     out = np.zeros((len(blocks), WIDTH))
     for i, b in enumerate(blocks):
         row = out[i]
-        for depth, element in enumerate(reversed(b.path)):
-            for part in element:
-                h = crc32(part.encode())
-                row[h % PATH] += 1.0 if h & 0x10000 else -1.0
-                if depth < 2:
-                    h = crc32(f"{depth}{part}".encode())
-                    row[PATH + h % NEAR] += 1.0 if h & 0x10000 else -1.0
+        row[:PATH] = b.node.sums
+        near = (b.node, b.node.parent) if b.node.parent is not None else (b.node,)
+        for depth, node in enumerate(near):
+            for part in node.labels:
+                h = crc32(f"{depth}{part}".encode())
+                row[PATH + h % NEAR] += 1.0 if h & 0x10000 else -1.0
         words = b.text.lower().encode().split()
         n = len(words)
         h = np.fromiter(map(crc32, words), np.int64, n)
         row[PATH + NEAR:PATH + NEAR + WORDS] = np.bincount(h % WORDS, np.where(h & 0x10000, 1.0, -1.0), WORDS) / max(1, n)
         size = len(b.text)
         ends = sum(map(b.text.count, ".,;!?"))
-        row[-NUMBERS:] = (np.log1p(n) / 5, b.linked / size, min(1.0, 10 * ends / size), float(b.text[-1] in ".!?:"), len(b.path) / 10,
+        row[-NUMBERS:] = (np.log1p(n) / 5, b.linked / size, min(1.0, 10 * ends / size), float(b.text[-1] in ".!?:"), b.node.depth / 10,
                           float(i == 0), float(i == len(blocks) - 1), i / len(blocks))
     return out
 
@@ -330,7 +409,7 @@ def recast(blocks: list[Block], labels: list[int], rng: random.Random) -> tuple[
 
 def fit(pages: DataFrame, page_id: str = "page_id", html_column: str = "html", fit_pages: int = FIT_PAGES, copies: int = FIT_COPIES,
         seed: int = 0) -> BiLstm | None:
-    """A labeller fitted on at most ``fit_pages`` pages, picked by a hash, of at most FIT_BLOCKS blocks.
+    """A labeller fitted on at most ``fit_pages`` pages, picked by a hash, of at most FIT_BLOCKS blocks and not nested beyond FIT_DEPTH.
 
     The labels come from element names (``weak_label``), and each page enters once as it is and
     ``copies`` times in other designs. None if no picked page has both kinds of block.
@@ -343,7 +422,7 @@ def fit(pages: DataFrame, page_id: str = "page_id", html_column: str = "html", f
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             found = [page_blocks(p) for p in part["html"]]
-            yield pd.DataFrame({"page": [[(b.text, "\n".join(" ".join(e) for e in b.path), b.linked) for b in page] if len(page) <= FIT_BLOCKS else []
+            yield pd.DataFrame({"page": [[(b.text, "\n".join(" ".join(e) for e in b.path), b.linked) for b in page] if len(page) <= FIT_BLOCKS and sum(b.node.depth for b in page) <= FIT_DEPTH else []
                                          for page in found]})
 
     sample = (rows.filter(F.col("h") <= F.lit(cut)).limit(fit_pages).select("html")
@@ -351,7 +430,7 @@ def fit(pages: DataFrame, page_id: str = "page_id", html_column: str = "html", f
     rng, made = random.Random(seed), []
     for row in sorted(sample, key=lambda r: crc32(repr(r).encode())):
         blocks = [Block(b.text, tuple(tuple(e.split(" ")) for e in b.path.split("\n")) if b.path else (), b.linked) for b in row.page]
-        labels = [weak_label(b.path) for b in blocks]
+        labels = [block_label(b) for b in blocks]
         if {0, 1} <= set(labels):
             made.append((vectors(blocks), np.array(labels, float)))
             for _ in range(copies):
@@ -370,7 +449,7 @@ def label_pages(pages: list[list[Block]], model: BiLstm | None, batch: int = 128
     Without a model the element names decide, and unknown blocks are main text.
     """
     if model is None:
-        return [np.array([weak_label(b.path) != 0 for b in page], bool) for page in pages]
+        return [np.array([block_label(b) != 0 for b in page], bool) for page in pages]
     out = [np.zeros(0, bool)] * len(pages)
     order = [i for i in sorted(range(len(pages)), key=lambda i: len(pages[i])) if pages[i]]
     at = 0
@@ -392,15 +471,12 @@ def main_text(pages: DataFrame, model: BiLstm | None, page_id: str = "page_id",
     """
     model_of = sent(pages.sparkSession, model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         labeller = model_of()
-        for part in batches:
-            for at in range(0, len(part), 512):
-                rows = part.iloc[at:at + 512]
-                found = [page_blocks(p or "") for p in rows["html"]]
-                texts = ["\n\n".join(b.text for b, keep in zip(page, kept) if keep) for page, kept in zip(found, label_pages(found, labeller))]
-                yield pd.DataFrame({"page_id": rows["page_id"].to_numpy(), "url": rows["url"].to_numpy(), "text": texts,
-                                    "n_chars": [len(t) for t in texts]})
-
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html_column), F.lit("")).alias("html"))
-    return rows.mapInPandas(run, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")
+        for rows in frames:
+            found = [page_blocks(p) for p in rows["text"]]
+            texts = ["\n\n".join(b.text for b, keep in zip(page, kept) if keep) for page, kept in zip(found, label_pages(found, labeller))]
+            yield pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html_column), F.lit("")).alias("text"))
+    return map_blocks(rows, run, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")

@@ -132,3 +132,16 @@ def test_odd_pages(spark, model):
 
 def test_vectors_of_any_text():
     assert np.isfinite(vectors(page_blocks("<p>\x00</p><p>é</p>" + "<p>" + "w" * 100_000))).all()
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a " * 350_000 + '="', "<a " * 300_000 + '="' + ">", "x" + "<div>y" * 100_000, "<center>z" * 100_000,
+                                  "<script>" + "</script " * 100_000, "<svg>" + "<a " * 300_000 + "='", "<p>" * 200_000 + "</div>" * 100_000,
+                                  "<ul>" + "<li>a" * 100_000, "<!--" * 200_000, "<p title='" * 80_000, "&amp" * 200_000])
+def test_long_pages_take_linear_time(page):
+    import time
+
+    start = time.perf_counter()
+    blocks = page_blocks(page)
+    if blocks:
+        vectors(blocks[:2000])
+    assert time.perf_counter() - start < 4  # some seconds were minutes if a step looked at the whole page each time
