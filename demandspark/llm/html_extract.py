@@ -25,6 +25,7 @@ COMMENT = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
 TOKEN = re.compile(rf"{COMMENT}|<(?P<raw>script|style|noscript|template)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|{TAG}|<[!?/][^>]*>",
                    re.S | re.I)
 COMMENTS = re.compile(COMMENT, re.S)
+UNCLOSED, NAME = re.compile(r"=\s*\Z"), re.compile(r"<(?!(?i:script|style|noscript|template)[\s/])[a-zA-Z][^\s/>]{0,200}+(?=[\s/])")
 IN_SVG = re.compile(f"{COMMENT}|{TAG}", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure
@@ -101,24 +102,33 @@ class Block:
 
 
 class Tags:
-    """Finds markup in a page in time that grows with its length only.
+    """Finds markup in a page without trying every "<" up to the page's end.
 
     A tag can fail to match only where no ">" follows, or where a value's quote is never closed, which is the
-    last quote of its kind on the page. Starts that must run into that quote are not tried again.
+    last quote of its kind on the page. Starts that must run into that quote, with nothing between that could
+    open a value or end the tag, are not tried again.
     """
 
     def __init__(self, page: str):
-        self.page, self.last, self.next = page, page.rfind(">"), -1
-        self.last_quote = {q: page.rfind(q) for q in "\"'"}
-        self.open = sorted(at for at in self.last_quote.values() if at > 0 and page[max(0, at - 200):at].rstrip().endswith("="))
+        self.page, self.last = page, page.rfind(">")
+        #: Unclosed quotes with the place of the "=" before each.
+        self.open = sorted((at, page.rfind("=", 0, at)) for at in (page.rfind(q) for q in "\"'") if at > 0 and UNCLOSED.search(page, max(0, at - 200), at))
+        self.next = {c: -1 for c in ">=\"'"}
+
+    def _find(self, c: str, at: int) -> int:
+        """The next ``c`` at or behind ``at``; asked in rising order, so that the page is read once."""
+        if -1 < self.next[c] < at or self.next[c] == -1:
+            found = self.page.find(c, at)
+            self.next[c] = found if found >= 0 else len(self.page)
+        return self.next[c]
 
     def _hopeless(self, at: int) -> bool:
-        if self.next < at:
-            self.next = self.page.find(">", at)
-        for stuck in self.open:
-            if at < stuck:
-                other = self.last_quote["'" if self.page[stuck] == '"' else '"']
-                return self.next > stuck and other < stuck and self.page[at + 1:at + 2] not in ("!", "?")
+        for quote, equals in self.open:
+            if at < equals:
+                name = NAME.match(self.page, at)
+                other = "'" if self.page[quote] == '"' else '"'
+                return (name is not None and name.end() <= equals and self._find(">", at) > quote and self._find("=", at) == equals
+                        and self._find(self.page[quote], at) == quote and self.page.find(other, quote) < 0)
         return False
 
     def search(self, pattern: re.Pattern, at: int) -> re.Match | None:
@@ -152,7 +162,10 @@ def _svg_end(tags: Tags, at: int) -> int:
     """Where the content of an svg that starts at ``at`` ends: behind its end tag, or before a tag that cannot be in it."""
     boxes = ["svg"]
     while m := tags.search(IN_SVG, at):
-        at, tag = m.end(), (m.groupdict().get("tag") or "").lower()
+        at = m.end()
+        if m.re is not IN_SVG or not m["tag"]:
+            continue
+        tag = m["tag"].lower()
         if tag in SVG_BOXES:
             if not m["end"]:
                 if not m["empty"]:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from demandspark.llm.html_extract import BiLstm, fit, label_pages, main_text, padded, page_blocks, vectors, weak_label
+from demandspark.llm.html_extract import IN_SVG, TOKEN, BiLstm, Tags, fit, label_pages, main_text, padded, page_blocks, vectors, weak_label
 
 SCHEMA = "page_id long, url string, html string, text string"
 
@@ -145,3 +145,18 @@ def test_long_pages_take_linear_time(page):
     if blocks:
         vectors(blocks[:2000])
     assert time.perf_counter() - start < 4  # some seconds were minutes if a step looked at the whole page each time
+
+
+def test_skipped_starts_are_those_that_cannot_match():
+    rng = random.Random(5)
+    bits = ["<a ", "<p>", "</p>", "<div class='x'>", "='", '="', '"', "'", ">", "<", "text", "<svg>", "<!--", "-->", "<script>", "</script ", "</script>", " ", "=", "/",
+            "<![CDATA[", "]]>", "<p title=don't>", '<p a= "', "<style "]
+    for _ in range(20_000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randint(1, 40)))
+        for pattern in (TOKEN, IN_SVG):
+            tags, at = Tags(page), 0
+            for want in pattern.finditer(page):
+                found = tags.search(pattern, at)
+                assert found.span() == want.span(), page
+                at = found.end()
+            assert tags.search(pattern, at) is None
