@@ -24,36 +24,56 @@ from demandspark.session import shared_path
 from demandspark.sources import stages
 
 
-def sizes(r: Retail, paths: Mapping[str, str]) -> DataFrame:
-    """The rows of each stored table."""
-    counts = [stages.read_stage(r.spark, path).agg(F.lit(name).alias("stage"), F.count("*").alias("n_rows")) for name, path in paths.items()]
-    out = counts[0]
-    for one in counts[1:]:
-        out = out.unionByName(one)
+def totals(r: Retail, paths: Mapping[str, str], **measured: str) -> DataFrame:
+    """The rows of each stored table and a total over them, by an expression of each."""
+    out = None
+    for name, measure in measured.items():
+        one = stages.read_stage(r.spark, paths[name]).agg(
+            F.lit(name).alias("stage"), F.count("*").alias("n_rows"), he(F.expr(measure).cast("double"), 2).alias("total"))
+        out = one if out is None else out.unionByName(one)
     return out
 
 
-def sizes_sql(**counted: str) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS stage, CAST(({sql}) AS BIGINT) AS n_rows" for name, sql in counted.items())
+def totals_sql(**counted: tuple[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS stage, CAST(({rows}) AS BIGINT) AS n_rows, {sql_he(f'({total})', 2)} AS total"
+                              for name, (rows, total) in counted.items())
 
 
-@query("exploration_chain", sizes_sql(
-    monthly_trend="SELECT count(DISTINCT (year(date), month(date))) FROM v_sales", category_revenue="SELECT count(DISTINCT category) FROM v_sales",
-    store_years="SELECT count(DISTINCT store_name) FROM v_sales", top_products="SELECT least(10, count(DISTINCT product_name)) FROM v_sales",
-    season="SELECT count(DISTINCT month(date)) FROM v_sales", promotion_boxes="SELECT count(DISTINCT is_promotion) FROM v_sales",
-    stockouts="SELECT count(DISTINCT category) FROM v_sales WHERE stockout_flag = 1", correlations="SELECT 28 FROM v_sales LIMIT 1"))
-def exploration_chain(r: Retail):
-    return sizes(r, reporting.write_report(reporting.exploration(r.daily, YEARS), shared_path(r.spark, "exploration")))
+REVENUE = "SELECT sum(revenue) FROM v_sales"
 
 
-@query("executive_chain", sizes_sql(
-    kpis="SELECT 1 FROM v_panel LIMIT 1", category_weeks="SELECT count(DISTINCT (week_start, category)) FROM v_naive",
-    month_ends="SELECT date_diff('month', min(week_start), max(week_start)) + 1 FROM v_panel",
-    top_products="SELECT least(10, count(DISTINCT product_name)) FROM v_naive", status="SELECT count(DISTINCT inventory_status) FROM v_report",
-    category_forecast="SELECT count(DISTINCT (store_name, category)) FROM v_naive"))
+@query("exploration_chain", totals_sql(
+    monthly_trend=("SELECT count(DISTINCT (year(date), month(date))) FROM v_sales", REVENUE),
+    category_revenue=("SELECT count(DISTINCT category) FROM v_sales", REVENUE),
+    store_years=("SELECT count(DISTINCT store_name) FROM v_sales", "SELECT sum(revenue) FROM v_daily WHERE year = 1996"),
+    top_products=("SELECT least(10, count(DISTINCT product_name)) FROM v_sales",
+                  "SELECT sum(r) FROM (SELECT sum(revenue) AS r FROM v_sales GROUP BY product_name ORDER BY r DESC, product_name LIMIT 10)"),
+    season=("SELECT count(DISTINCT month(date)) FROM v_sales", "SELECT sum(m) FROM (SELECT avg(units_sold) AS m FROM v_daily WHERE day_of_week = 2 GROUP BY month)"),
+    promotion_boxes=("SELECT count(DISTINCT is_promotion) FROM v_sales", "SELECT sum(m) FROM (SELECT median(units_sold) AS m FROM v_sales GROUP BY is_promotion)"),
+    stockouts=("SELECT count(DISTINCT category) FROM v_sales WHERE stockout_flag = 1", "SELECT sum(stockout_flag) FROM v_sales"),
+    correlations=("SELECT 28 FROM v_sales LIMIT 1", "SELECT corr(units_sold, revenue) FROM v_sales")))
+def exploration_chain(r: Retail):
+    """The stored tables of the exploration, each with a total over its values."""
+    paths = reporting.write_report(reporting.exploration(r.daily, YEARS), shared_path(r.spark, "exploration"))
+    return totals(r, paths, monthly_trend="sum(revenue)", category_revenue="sum(revenue)", store_years="sum(`1996`)", top_products="sum(revenue)",
+                  season="sum(Wed)", promotion_boxes="sum(median)", stockouts="sum(stockout_days)",
+                  correlations="max(CASE WHEN row_name = 'revenue' AND col_name = 'units_sold' THEN corr END)")
+
+
+@query("executive_chain", totals_sql(
+    kpis=("SELECT 1 FROM v_panel LIMIT 1", "SELECT sum(revenue) FROM v_panel"),
+    category_weeks=("SELECT count(DISTINCT (week_start, category)) FROM v_naive", "SELECT sum(predicted_units) FROM v_naive"),
+    month_ends=("SELECT date_diff('month', min(week_start), max(week_start)) + 1 FROM v_panel", "SELECT sum(revenue) FROM v_panel"),
+    top_products=("SELECT least(10, count(DISTINCT product_name)) FROM v_naive",
+                  "SELECT sum(u) FROM (SELECT sum(predicted_units) AS u FROM v_naive GROUP BY product_name ORDER BY u DESC, product_name LIMIT 10)"),
+    status=("SELECT count(DISTINCT inventory_status) FROM v_report", "SELECT count(*) FROM v_report"),
+    category_forecast=("SELECT count(DISTINCT (store_name, category)) FROM v_naive", "SELECT sum(predicted_units) FROM v_naive")))
 def executive_chain(r: Retail):
+    """The stored tables of the executive report, each with a total over its values."""
     tables = reporting.executive(r.panel, r.report, r.naive, r.alerts, anomalies=r.anomalies)
-    return sizes(r, reporting.write_report(tables, shared_path(r.spark, "executive")))
+    paths = reporting.write_report(tables, shared_path(r.spark, "executive"))
+    return totals(r, paths, kpis="sum(total_revenue)", category_weeks="sum(predicted_units)", month_ends="sum(revenue)", top_products="sum(predicted_units)",
+                  status="sum(n)", category_forecast="sum(total_predicted_12w)")
 
 
 @query("dashboard_chain", f"""
