@@ -36,6 +36,8 @@ REST_SHIFT = 6.0
 BLOCK_DOCS = 30_000
 #: Larger blocks than elsewhere, as each sends its words and triples once.
 BLOCK_CHARS = 8_000_000
+#: Characters of the corpus to a shard, which bounds what one task holds, and bits of a triple's packed numbers.
+SHARD_CHARS, PACKED_BITS = 50_000_000, 63
 
 MESSAGE = "shard int, block string, kind string, body binary"
 
@@ -331,6 +333,14 @@ def _known(values: np.ndarray, x: np.ndarray, shift: int = 0) -> tuple[np.ndarra
     return (values[at] == x if len(values) else np.zeros(len(x), bool)), at + shift
 
 
+def packed_bits(*counts: int, most: int = PACKED_BITS) -> list[int]:
+    """Bits of the numbers of all kinds but the first; raises before numbers of all kinds would not fit one integer."""
+    bits = [int(n).bit_length() for n in counts]
+    if sum(bits) > most:
+        raise ValueError(f"a shard's triples need {sum(bits)} bits of {most}; use more shards")
+    return bits[1:]
+
+
 def _score(totals: Totals):
     """A shard's trie from the counts of all blocks, and its answers to each block."""
     def score(rows: pd.DataFrame) -> pd.DataFrame:
@@ -343,7 +353,7 @@ def _score(totals: Totals):
         one, mid, two, learned = (np.concatenate([p[i] for p in parts]) for i in range(4))
         parts = [p[4:] for p in parts]
         (ones, a), (mids, b), (twos, c) = _ranked(one), _ranked(mid), _ranked(two)
-        bits_b, bits_c = int(len(mids)).bit_length(), int(len(twos)).bit_length()
+        bits_b, bits_c = packed_bits(len(ones), len(mids), len(twos))
         gram, number = _ranked((((a << bits_b) + b) << bits_c) + c)
         del one, mid, two, a, b, c
         n = np.bincount(number, learned, len(gram)).astype(np.int64)
@@ -381,6 +391,14 @@ def _total(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": doc_id, "held_out": held.astype(bool), "n_tokens": sizes, "n_known": known, "logs": logs, "score": score})
 
 
+def _shards(docs: DataFrame, text: str) -> int:
+    """Three for every task that runs at once, and more where a shard's part of the text would pass SHARD_CHARS."""
+    spark = docs.sparkSession
+    parallel = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    return max(3 * parallel, -(-chars // SHARD_CHARS))
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = FOLDS, held_out: int = HELD_OUT,
                     block_chars: int = BLOCK_CHARS, shards: int | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
@@ -396,7 +414,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     back instead. The documents must read the same twice, as stored tables do.
     """
     spark = docs.sparkSession
-    shards = shards or 3 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or _shards(docs, text)
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        (F.crc32(name) % folds == held_out).alias("held_out"))

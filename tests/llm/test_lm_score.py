@@ -142,3 +142,13 @@ def test_counts_in_ids():
     c = np.array([0, 1, 32_767, 32_768, 10**6, 10**12])
     back = count_of((lm_score.CODES - code_of(c)) << lm_score.ID_BITS)
     assert (back[:4] == c[:4]).all() and np.abs(back / np.maximum(c, 1) - (c > 0)).max() < 0.0005
+
+
+def test_shards_follow_the_text_and_too_many_bits_raise(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "d" * 90)], "doc_id long, text string")
+    few = lm_score._shards(docs, "text")
+    monkeypatch.setattr(lm_score, "SHARD_CHARS", 1)
+    assert lm_score._shards(docs, "text") == 95 > few
+    assert lm_score.packed_bits(1000, 255, 256) == [8, 9]
+    with pytest.raises(ValueError, match="use more shards"):
+        lm_score.packed_bits(1000, 255, 256, most=26)
