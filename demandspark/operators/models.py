@@ -11,12 +11,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from demandspark.constants import BOOSTING_COLUMN_SHARE, BOOSTING_SETTINGS, EPSILON, FOREST_SETTINGS, SERIES_KEYS
 from demandspark.functions.numeric import to_units
+from demandspark.operators.boosting import ArraysModel, ColumnBoosting
 from demandspark.operators.features import CATEGORY_VECTOR, feature_columns
 from demandspark.session import staged
 
@@ -106,8 +107,11 @@ def gradient_boosting(columns: Sequence[str], **settings) -> Pipeline:
     return _pipeline(columns, GBTRegressor(labelCol=TARGET, **{**BOOSTING_SETTINGS, **settings}), scaled=False)
 
 
-def gradient_boosting_colsample(columns: Sequence[str], **settings) -> Pipeline:
-    return gradient_boosting(columns, **{"featureSubsetStrategy": BOOSTING_COLUMN_SHARE, **settings})
+def gradient_boosting_colsample(columns: Sequence[str], **settings) -> ColumnBoosting | Pipeline:
+    """Boosting that draws its columns once per tree; with sparse categories Spark's own, which draws them at every node."""
+    if CATEGORY_VECTOR in columns:
+        return gradient_boosting(columns, **{"featureSubsetStrategy": BOOSTING_COLUMN_SHARE, **settings})
+    return ColumnBoosting(columns, TARGET, **{**BOOSTING_SETTINGS, "columnRate": float(BOOSTING_COLUMN_SHARE), **settings})
 
 
 def default_models(columns: Sequence[str]) -> dict[str, Pipeline]:
@@ -189,7 +193,7 @@ def cross_validate(panel: DataFrame, pipeline: Pipeline, folds: int = 5) -> Data
 
 def feature_importance(model: PipelineModel, columns: Sequence[str], spark, n: int = 15) -> DataFrame:
     """The largest importances of a tree model; sparse categories count as one feature."""
-    values = model.stages[-1].featureImportances.toArray()
+    values = model.importances() if isinstance(model, ArraysModel) else model.stages[-1].featureImportances.toArray()
     width = {CATEGORY_VECTOR: len(values) - len(columns) + 1}
     ends = list(accumulate(width.get(c, 1) for c in columns))
     rows = [(c, float(values[end - width.get(c, 1):end].sum())) for c, end in zip(columns, ends)]
@@ -197,9 +201,16 @@ def feature_importance(model: PipelineModel, columns: Sequence[str], spark, n: i
             .orderBy(F.desc("importance"), "feature").limit(n))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | ArraysModel, path: str) -> None:
+    if isinstance(model, ArraysModel):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | ArraysModel:
+    spark = SparkSession.active()
+    arrays = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/arrays")
+    if arrays.getFileSystem(spark._jsc.hadoopConfiguration()).exists(arrays):
+        return ArraysModel.load(spark, path)
     return PipelineModel.load(path)

@@ -61,7 +61,7 @@ class ModelArrays:
         if self.mean is not None:
             x = (x - self.mean) * self.factor
         if self.trees is not None:
-            return self.trees.predict(x)
+            return self.trees.predict(x) + self.intercept
         # Term by term, so that a row's sum does not depend on its batch.
         total = np.zeros(len(x))
         for j, c in enumerate(self.coefficients):
@@ -104,7 +104,12 @@ def _tree_arrays(model, spark) -> Trees:
 
 
 def export_model(model: PipelineModel, spark) -> ModelArrays | None:
-    """The arrays of a pipeline of assembler, scaler and a linear or tree model; None for any other, or with vector inputs."""
+    """The arrays of a model that has them, or of a pipeline of assembler, scaler and a linear or tree model.
+
+    None for any other, or with vector inputs.
+    """
+    if isinstance(getattr(model, "arrays", None), ModelArrays):
+        return model.arrays
     *early, last = model.stages
     if not early or not isinstance(early[0], VectorAssembler) or CATEGORY_VECTOR in early[0].getInputCols():
         return None
