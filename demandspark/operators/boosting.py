@@ -8,14 +8,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.operators.rollout import ModelArrays, Trees
-from demandspark.session import staged
+from demandspark.session import shared_path, staged
 
 #: Bins of a column, rows in a block, trees between two stagings of the fitted values, partitions summed on the driver.
-BINS, BLOCK_ROWS, STAGE_EVERY, DRIVER_PARTS = 32, 65_536, 25, 32
+BINS, BLOCK_ROWS, STAGE_EVERY, DRIVER_PARTS = 32, 65_536, 5, 32
 BLOCKS = "bins binary, y binary, chance binary, fitted binary"
 
 
@@ -76,23 +76,23 @@ class ColumnBoosting:
         base = data.agg(F.avg("y")).first()[0]
         if base is None:
             raise ValueError("no rows to learn from")
-        blocks = staged(data.select(*names, "y", F.xxhash64(*names, "y").alias("chance")).mapInArrow(_pack(cuts, base), BLOCKS))
-        parts = blocks.rdd.getNumPartitions()
+        store = _Blocks(rows.sparkSession)
+        blocks, parts = store.write(data.select(*names, "y", F.xxhash64(*names, "y").alias("chance")).mapInArrow(_pack(cuts, base), BLOCKS))
         rng, done, recent = np.random.default_rng(self.seed), [], []
         n_columns = max(1, int(self.columnRate * len(columns)))
         for number in range(self.maxIter):
             drawn = np.sort(rng.choice(len(columns), n_columns, replace=False))
             recent.append(self._grow(blocks, parts, drawn, recent, number))
             if len(recent) == STAGE_EVERY and number + 1 < self.maxIter:
-                blocks, done, recent = staged(blocks.mapInArrow(_refit(recent, self.maxDepth), BLOCKS)), done + recent, []
-                parts = blocks.rdd.getNumPartitions()
+                blocks, parts = store.write(blocks.mapInArrow(_refit(recent, self.maxDepth), BLOCKS))
+                done, recent = done + recent, []
         return ArraysModel(ModelArrays(columns, intercept=float(base), trees=_arrays(done + recent, cuts, self.maxDepth)))
 
     def _grow(self, blocks: DataFrame, parts: int, drawn: np.ndarray, before: list[Tree], number: int) -> Tree:
         tree, open_nodes = Tree(), [0]
         for depth in range(self.maxDepth):
             work = _histograms(list(before), tree, open_nodes, depth, drawn, self.maxDepth, number, self.subsamplingRate)
-            sums = _added(blocks.mapInArrow(work, "sums array<double>"), parts, len(open_nodes) * len(drawn) * BINS * 2)
+            sums = _added(blocks.mapInArrow(work, "sums binary"), parts, len(open_nodes) * len(drawn) * BINS * 2)
             n, s = np.moveaxis(sums.reshape(len(open_nodes), len(drawn), BINS, 2), 3, 0)
             if depth == 0:
                 tree.value[0] = self.stepSize * s[0, 0].sum() / max(n[0, 0].sum(), 1)
@@ -115,6 +115,23 @@ class ColumnBoosting:
         return tree
 
 
+class _Blocks:
+    """The binned table in the shared folder; a new one replaces the one it was made from."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, None
+
+    def write(self, blocks: DataFrame) -> tuple[DataFrame, int]:
+        """The stored blocks and their number of partitions."""
+        before, self.path = self.path, shared_path(self.spark, "boosting")
+        blocks.write.parquet(self.path)
+        if before is not None:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        stored = self.spark.read.schema(BLOCKS).parquet(self.path)
+        return stored, stored.rdd.getNumPartitions()
+
+
 @dataclass
 class ArraysModel:
     """A model as arrays that scores rows as a fitted pipeline does."""
@@ -212,7 +229,7 @@ def _histograms(before: list[Tree], tree: Tree, open_nodes: list[int], depth: in
                     total[k, :, 0] += np.bincount(key, minlength=size)
                     total[k, :, 1] += np.bincount(key, residual, size)
         by_node = total.reshape(len(drawn), len(open_nodes), BINS, 2).transpose(1, 0, 2, 3)
-        yield pa.RecordBatch.from_arrays([pa.array([by_node.reshape(-1)], pa.list_(pa.float64()))], ["sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([by_node.tobytes()], pa.binary())], ["sums"])
     return run
 
 
@@ -222,13 +239,13 @@ def _added(arrays: DataFrame, parts: int, size: int) -> np.ndarray:
         total = np.zeros(size)
         for rows in batches:
             for value in rows.column(0):
-                total += value.values.to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
+                total += np.frombuffer(value.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
     while parts > DRIVER_PARTS:
         parts = -(-parts // DRIVER_PARTS)
-        arrays = arrays.repartition(parts).mapInArrow(add, "sums array<double>")
-    return sum((np.array(r["sums"]) for r in arrays.collect()), np.zeros(size))
+        arrays = arrays.repartition(parts).mapInArrow(add, "sums binary")
+    return sum((np.frombuffer(r["sums"]) for r in arrays.collect()), np.zeros(size))
 
 
 def _arrays(trees: list[Tree], cuts: list[np.ndarray], depth: int) -> Trees:
