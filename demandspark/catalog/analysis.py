@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandspark.catalog.base import Retail, he, number_of, query
-from demandspark.catalog.sql import ITEM, SENSITIVITY, values
+from demandspark.catalog.sql import SENSITIVITY, values
 from demandspark.catalog.sql import he as sql_he
 from demandspark.functions import describe, labels
 from demandspark.operators import anomaly, cluster, pricing, promo, reports, weather

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from demandspark.catalog.base import Retail, he, number_of, query
+from demandspark.catalog.base import Retail, number_of, query
 from demandspark.catalog.inventory import RUN_DATE
 from demandspark.catalog.learning import KEYS, one_model
 from demandspark.functions import labels
