@@ -23,6 +23,8 @@ from demandspark.session import staged
 #: Entities from which the fits take their first centres; all entities fit and are scored.
 START_SAMPLE = 10_000
 MAX_ROUNDS = 50
+#: Partitions whose sums may come to the driver one by one.
+DRIVER_PARTS = 32
 SEED = 42
 
 
@@ -131,7 +133,7 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _sums(table: DataFrame, candidates: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """For each set of centres the clusters' sizes, sums, sums of squares, and the cost, in one pass.
 
-    A partition returns one row per set of centres; these are added up in Spark, so the driver gets sums only.
+    A partition returns one row per set of centres; those of more than DRIVER_PARTS partitions are added up in Spark.
     """
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = [np.zeros((len(c), c.shape[1] + 2)) for c in candidates]
@@ -145,11 +147,15 @@ def _sums(table: DataFrame, candidates: list[np.ndarray]) -> list[tuple[np.ndarr
         yield pd.DataFrame({"i": range(len(candidates)), "sums": [s.ravel() for s in sums], "cost": costs})
 
     parts = table.select("x").mapInPandas(part, "i int, sums array<double>, cost double")
-    cells = parts.select("i", F.posexplode(F.array_append("sums", F.col("cost"))).alias("at", "value"))
-    rows = cells.groupBy("i", "at").agg(F.sum("value").alias("value")).collect()
+    parts = parts.select("i", F.array_append("sums", F.col("cost")).alias("sums"))
     out = [np.zeros(len(c) * (c.shape[1] + 2) + 1) for c in candidates]
-    for r in rows:
-        out[r["i"]][r["at"]] = r["value"]
+    if table.rdd.getNumPartitions() <= DRIVER_PARTS:
+        for r in parts.collect():
+            out[r["i"]] += r["sums"]
+    else:
+        cells = parts.select("i", F.posexplode("sums").alias("at", "value")).groupBy("i", "at").agg(F.sum("value").alias("value"))
+        for r in cells.collect():
+            out[r["i"]][r["at"]] = r["value"]
     tables = [(o[:-1].reshape(len(c), -1), o[-1]) for o, c in zip(out, candidates)]
     return [(t[:, 0], t[:, 2:], t[:, 1], cost) for t, cost in tables]
 

@@ -256,6 +256,16 @@ def test_clusters_of_known_groups(spark):
     assert got.first().silhouette_score == pytest.approx(cluster.silhouette(scaled, ["a_z", "b_z"], "demand_cluster").first()[0])
 
 
+def test_sums_of_few_and_of_many_partitions_agree(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    table = spark.createDataFrame([([float(a), float(b)],) for a, b in rng.normal(size=(200, 2))], "x array<double>").repartition(6)
+    centres = [rng.normal(size=(k, 2)) for k in (2, 3)]
+    few = cluster._sums(table, centres)
+    monkeypatch.setattr(cluster, "DRIVER_PARTS", 2)
+    for one, two in zip(few, cluster._sums(table, centres)):
+        assert all(np.allclose(a, b) for a, b in zip(one, two))
+
+
 def test_standardise_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert [(r.a_z, r.b_z) for r in cluster.standardise(df, ["a", "b"]).orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
