@@ -88,6 +88,12 @@ def rmse(predicted: str = "predicted"):
     return F.sqrt(F.avg(error * error))
 
 
+def correlation(one: str, two: str):
+    """Pearson's r; null where a column is constant, for which ``corr`` divides by zero."""
+    x, y = F.col(one).cast("double"), F.col(two).cast("double")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def test_facts(r: Retail, build):
     """Size of the test weeks, the target's spread on them, and whether the model's error is below half of that."""
     r.staged()
@@ -106,7 +112,7 @@ def linear_regression(r: Retail):
     marked = models.split_by_week(r.panel)
     fitted = trained.best_model.transform(marked).withColumn("rest", F.col("units_sold") - F.col("prediction"))
     train = fitted.where("is_train")
-    alike = [F.abs(F.coalesce(F.nanvl(F.corr("rest", F.col(c).cast("double")), F.lit(0.0)), F.lit(0.0))) for c in trained.feature_cols]
+    alike = [F.abs(F.coalesce(F.nanvl(correlation("rest", c), F.lit(0.0)), F.lit(0.0))) for c in trained.feature_cols]
     facts = train.agg(F.count("*").alias("n_train"), (F.abs(F.avg("rest")) < 1e-6 * F.avg("units_sold")).alias("is_unbiased"),
                       (F.greatest(*alike) < 1e-3).alias("is_orthogonal"))
     return facts.select("n_train", trained.scored.agg(F.count("*")).scalar().alias("n_test"), "is_unbiased", "is_orthogonal")

@@ -296,3 +296,15 @@ def test_prefix_folds_with_dependent_inputs(spark, panel):
                  (["lag_1w", "avg_price"], ["lag_1w", "twice", "avg_price", "same"]))
     assert two.exceptAll(four).count() == 0
     assert folds.linear_folds(wide.limit(0), ["lag_1w"])[0].count() == 0
+
+
+def test_least_squares_facts_where_every_week_has_a_promotion(spark, make_weekly):
+    """A constant input correlates with nothing, and its products repeat other inputs."""
+    from demandspark.catalog import learning
+    from demandspark.catalog.base import Retail
+    rng = np.random.default_rng(5)
+    rows = [("S001", p, i, int(rng.integers(20, 90)), {"promo": 1, "price": 10.0 + i % 5}) for p in ("P001", "P002") for i in range(90)]
+    r = Retail(spark, "")
+    r.panel = features.build_features(make_weekly(rows), ["CAT0"])
+    got = learning.linear_regression(r).first()
+    assert got.n_train + got.n_test == r.panel.count() and got.is_unbiased and got.is_orthogonal
