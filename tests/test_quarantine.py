@@ -59,3 +59,10 @@ def test_parquet_and_empty_inputs(spark, tmp_path):
     assert quarantine.ingest(spark, f"{tmp_path}/e", f"{tmp_path}/r", SHAPE, "parquet").count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         quarantine.scan_checked(spark, f"{tmp_path}/absent", DAILY_SALES)
+
+
+def test_a_broken_record_is_taken_apart_once(spark, tmp_path):
+    """Not once for every column, and not at all to find the sound rows."""
+    scan = quarantine.scan_checked(spark, files(tmp_path), SHAPE)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (scan.rows, scan.broken)]
+    assert [plan.count("from_csv") for plan in plans] == [0, 1]
