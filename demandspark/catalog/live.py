@@ -14,11 +14,11 @@ KEYS = ["store_id", "product_id", "week_start"]
 
 def followed(r: Retail) -> LivePanel:
     """Even and odd orders arrive as two batches, so that the second brings late rows for nearly all weeks."""
-    source = shared_path(r.spark, "arrivals")
-    for half in (0, 1):
-        r.lines.where(F.col("l_orderkey") % 2 == half).drop("l_orderkey", "l_linenumber").coalesce(1).write.mode("append").parquet(source)
+    source, progress = shared_path(r.spark, "arrivals"), shared_path(r.spark, "progress")
     live = LivePanel(r.spark, shared_path(r.spark, "live"), CATEGORIES)
-    follow_sales(r.spark, source, r.sales.schema, live, shared_path(r.spark, "progress"), files_per_batch=1)
+    for half in (0, 1):
+        r.lines.where(F.col("l_orderkey") % 2 == half).drop("l_orderkey", "l_linenumber").write.mode("append").parquet(source)
+        follow_sales(r.spark, source, r.sales.schema, live, progress, files_per_batch=None)
     return live
 
 

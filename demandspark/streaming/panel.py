@@ -118,12 +118,16 @@ class LivePanel:
         late.select(F.lit(batch).cast("bigint").alias("batch"), "week_start", "n_rows").coalesce(1).write.parquet(path)  # a row per week
 
 
-def follow_sales(spark: SparkSession, source: str, shape: StructType, live: LivePanel, checkpoint: str, files_per_batch: int = 100) -> None:
+def follow_sales(spark: SparkSession, source: str, shape: StructType, live: LivePanel, checkpoint: str, files_per_batch: int | None = 100) -> None:
     """Take in all sales files below ``source`` that were not taken in before, batch by batch, and stop.
 
+    Without ``files_per_batch`` they are one batch, whatever their number.
     The stream's checkpoint names the files of each batch; a batch that broke off is delivered again with its number.
     """
-    sales = spark.readStream.schema(shape).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    reader = spark.readStream.schema(shape)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    sales = reader.parquet(source)
     query = (sales.writeStream.foreachBatch(live.fold).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()

@@ -86,3 +86,15 @@ def test_stream_of_files(spark, daily, tmp_path):
     daily.where("store_id = 'S2'").coalesce(2).write.mode("append").parquet(source)
     follow_sales(spark, source, DAILY_SALES, live, f"{tmp_path}/progress", 1)
     check(live, daily)
+
+
+def test_all_files_are_one_batch_and_no_task_writes_them_all(spark, daily, tmp_path, monkeypatch):
+    from demandspark.catalog import live as queries
+    from demandspark.catalog.base import Retail
+    monkeypatch.setattr(queries, "CATEGORIES", DOMAIN)
+    monkeypatch.setattr(queries, "shared_path", lambda _, kind: f"{tmp_path}/{kind}")
+    r = Retail(spark, "")
+    r.lines = daily.withColumns({"l_orderkey": F.monotonically_increasing_id(), "l_linenumber": F.lit(1)}).repartition(5)
+    live = queries.followed(r)
+    assert len(list((tmp_path / "arrivals").glob("*.parquet"))) == 10 and live.mark()["batch"] == 1
+    check(live, daily)
