@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from demandspark.constants import BOOSTING_COLUMN_SHARE, BOOSTING_SETTINGS, EPSILON, FOREST_SETTINGS, SERIES_KEYS
 from demandspark.functions.numeric import to_units
 from demandspark.operators.boosting import ArraysModel, ColumnBoosting
+from demandspark.operators.categories import CategoryModel, CategoryRegression
 from demandspark.operators.features import CATEGORY_VECTOR, feature_columns
 from demandspark.session import staged
 
@@ -91,8 +92,10 @@ def _pipeline(columns: Sequence[str], regressor, scaled: bool) -> Pipeline:
     return Pipeline(stages=[*stages, regressor])
 
 
-def linear_regression(columns: Sequence[str], **settings) -> Pipeline:
-    """Least squares on standardised inputs; with sparse categories inputs are not centred and it is solved by steps."""
+def linear_regression(columns: Sequence[str], **settings) -> CategoryRegression | Pipeline:
+    """Least squares on standardised inputs; with sparse categories these are eliminated first, or with settings solved by steps."""
+    if CATEGORY_VECTOR in columns and not settings:
+        return CategoryRegression(columns, TARGET)
     if CATEGORY_VECTOR in columns:
         settings = {"solver": "l-bfgs", "maxIter": 500, "tol": 1e-10, **settings}
         return _pipeline(columns, LinearRegression(labelCol=TARGET, **settings), scaled=False)
@@ -201,16 +204,17 @@ def feature_importance(model: PipelineModel, columns: Sequence[str], spark, n: i
             .orderBy(F.desc("importance"), "feature").limit(n))
 
 
-def save_model(model: PipelineModel | ArraysModel, path: str) -> None:
-    if isinstance(model, ArraysModel):
+def save_model(model: PipelineModel | ArraysModel | CategoryModel, path: str) -> None:
+    if isinstance(model, ArraysModel | CategoryModel):
         model.save(SparkSession.active(), path)
     else:
         model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel | ArraysModel:
+def load_model(path: str) -> PipelineModel | ArraysModel | CategoryModel:
     spark = SparkSession.active()
-    arrays = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/arrays")
-    if arrays.getFileSystem(spark._jsc.hadoopConfiguration()).exists(arrays):
-        return ArraysModel.load(spark, path)
+    for part, kind in (("arrays", ArraysModel), ("categories", CategoryModel)):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return kind.load(spark, path)
     return PipelineModel.load(path)

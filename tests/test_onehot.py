@@ -66,3 +66,29 @@ def test_five_thousand_categories_fit_models_and_forecast(spark):
     grown = models.gradient_boosting(["lag_1w", features.CATEGORY_VECTOR], maxIter=1, maxDepth=2).fit(panel.limit(2000))
     names = [r.feature for r in models.feature_importance(grown, ["lag_1w", features.CATEGORY_VECTOR], spark).collect()]
     assert sorted(names) == [features.CATEGORY_VECTOR, "lag_1w"]
+
+
+def test_sparse_least_squares_solve_all_columns_at_once(spark, tmp_path):
+    """Numbers that go with the categories, one that repeats them, rows of the first category or none; saved and read back."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    c = rng.integers(0, 5, 300)
+    a, b, level = rng.normal(size=300) + c, rng.normal(size=300) * 1000, np.array([3.0, -5.0, 0.0, 8.0, 1.0])
+    y = 2 * a - 0.01 * b + level[c] + rng.normal(size=300)
+    rows = spark.createDataFrame([(f"c{i}", float(u), float(v), float(level[i]), float(t)) for i, u, v, t in zip(c, a, b, y)],
+                                 "category string, a double, b double, base double, units_sold double").repartition(3)
+    domain = features.category_table(rows)
+    rows = features.add_category_vector(features.add_category_index(rows, domain), domain.count())
+    assert not rows.schema[features.CATEGORY_VECTOR].metadata
+    inputs = ["a", features.CATEGORY_VECTOR, "b", "base"]
+    for part in (rows, rows.where("category <> 'c0'")):
+        fitted = models.linear_regression(inputs).fit(part)
+        got = {(r.a, r.b): r.prediction for r in fitted.transform(part).collect()}
+        keep = np.array([(u, v) in got for u, v in zip(a, b)])
+        x = np.column_stack([a, b, *[c == i for i in range(5)]])[keep].astype(float)
+        want = x @ np.linalg.lstsq(x, y[keep], rcond=None)[0]
+        assert len(got) == keep.sum() and np.allclose([got[u, v] for u, v in zip(a[keep], b[keep])], want, atol=1e-8)
+        assert np.allclose(fitted.weights[2], 0) and not hasattr(fitted, "coefficients")  # the table of categories stays in Spark
+    models.save_model(fitted, f"{tmp_path}/m")
+    again = models.load_model(f"{tmp_path}/m").transform(rows.where("category <> 'c0'"))
+    assert {(r.a, r.b): r.prediction for r in again.collect()} == got
