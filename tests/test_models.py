@@ -308,3 +308,26 @@ def test_least_squares_facts_where_every_week_has_a_promotion(spark, make_weekly
     r.panel = features.build_features(make_weekly(rows), ["CAT0"])
     got = learning.linear_regression(r).first()
     assert got.n_train + got.n_test == r.panel.count() and got.is_unbiased and got.is_orthogonal
+
+
+def test_boosting_is_fitted_to_the_demand_too(spark, make_weekly, monkeypatch):
+    from demandspark.catalog import learning
+    from demandspark.catalog.base import Retail
+    build, targets = models.gradient_boosting, []
+    rng = np.random.default_rng(6)
+    rows = [("S001", p, i, int(rng.integers(20, 90))) for p in ("P001", "P002") for i in range(60)]
+    r = Retail(spark, "")
+    r.panel = features.build_features(make_weekly(rows), ["CAT0"])
+    train = models.train_models
+
+    def watched(panel, *args):
+        targets.append(panel.agg(F.sum("units_sold")).first()[0])
+        return train(panel, *args)
+
+    monkeypatch.setattr(models, "train_models", watched)
+    monkeypatch.setattr(models, "gradient_boosting", lambda columns: build(columns, maxIter=3, maxDepth=2))
+    got = learning.gradient_boosting(r).first()
+    test = models.split_by_week(r.panel).where("NOT is_train").select("units_sold", "lag_1w").toPandas()
+    assert got.n_test == len(test) and got.beats_lag
+    assert got.lag_rmse == pytest.approx(float(np.sqrt(((test.units_sold - test.lag_1w) ** 2).mean())), abs=1e-4)
+    assert r.panel.agg(F.sum("units_sold")).first()[0] in targets and len(targets) == 2
